@@ -14,7 +14,9 @@ MISSED_ENTRY = "missed entry"
 _BARE_DIGITS = r"\A[0-9]+\z"
 _LEADING_DIGITS = r"\A([0-9]+)"
 
+# Statuses the archive may carry; the live feed never reports a missed entry.
 DELAY_STATUSES = ("reported", "not_applicable", "not_reported", "closed", "missed_entry", "unknown")
+LIVE_DELAY_STATUSES = ("reported", "not_applicable", "not_reported", "closed", "unknown")
 
 
 def parse_delay_minutes(text: Column) -> Column:

@@ -233,8 +233,8 @@ def agg_border_delay_profile(history: DataFrame) -> DataFrame:
         "delayed_observations",
         round_ratio(F.col("delayed_observations"), observations, 4).alias("delay_probability"),
         round_ratio(F.col("minutes_sum"), observations, 2).alias("mean_delay_minutes"),
-        F.col("quantiles")[0].alias("median_delay_minutes"),
-        F.col("quantiles")[1].alias("p90_delay_minutes"),
+        round_half_away(F.col("quantiles")[0], 6).alias("median_delay_minutes"),
+        round_half_away(F.col("quantiles")[1], 6).alias("p90_delay_minutes"),
         "max_delay_minutes",
         round_half_away(spread, 2).alias("stddev_delay_minutes"),
         "closed_observations",

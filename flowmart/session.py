@@ -30,7 +30,11 @@ def build_session(app: str = "flowmart", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {"spark.ui.enabled": "false", **RUNTIME_SETTINGS}
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        **RUNTIME_SETTINGS,
+    }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -1,7 +1,7 @@
 """Raw-layer rows derived from the sample tables `events`, `lineitem`, `customer`.
 
-The expressions are the ones of FIXTURES.md section 3; the oracle SQL carries
-the same text as common table expressions.
+The expressions are the ones of FIXTURES.md section 3, coordinates rounded to
+six digits; the oracle SQL carries the same text as common table expressions.
 """
 
 from __future__ import annotations
@@ -70,8 +70,8 @@ select event_id as snapshot_id,
        case when user_id % 4 = 0 then 'prince_rupert' else 'vancouver' end as region,
        user_id as mmsi,
        case when user_id % 7 = 0 then '  ' else concat('SHIP ', cast(user_id as string)) end as ship_name,
-       cast(48.90 + (event_id % 50) / 100.0 as double) as latitude,
-       cast(-123.70 + (event_id % 80) / 100.0 as double) as longitude,
+       cast(round(48.90 + (event_id % 50) / 100.0, 6) as double) as latitude,
+       cast(round(-123.70 + (event_id % 80) / 100.0, 6) as double) as longitude,
        case when event_id % 11 = 0 then null else value / 100 end as sog,
        cast(event_id % 360 as double) as cog,
        cast(event_id % 17 as int) as navigational_status,
