@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The words delay cells use, lower case after trimming.
 NO_DELAY = "no delay"
@@ -25,20 +25,34 @@ def parse_delay_minutes(text: Column) -> Column:
     Bare digits may be padded; `N minute(s)` and `N hour(s)` may not, and are
     case-sensitive. Digits beyond the int range give null.
     """
-    padded = F.trim(text)
+    return _minutes(text, F.trim(text), F.lower(F.trim(text)))
+
+
+def delay_status(text: Column) -> Column:
+    """Why a delay cell does or does not carry minutes (P5); first match wins."""
+    return _status(text, F.trim(text), F.lower(F.trim(text)))
+
+
+def with_delay(df: DataFrame, text: str) -> DataFrame:
+    """Add `delay_minutes` and `delay_status`; the text is trimmed and lowered once."""
+    trimmed = df.withColumn("_padded", F.trim(text)).withColumn("_word", F.lower("_padded"))
+    shared = F.col(text), F.col("_padded"), F.col("_word")
+    return trimmed.withColumns(
+        {"delay_minutes": _minutes(*shared), "delay_status": _status(*shared)}
+    ).drop("_padded", "_word")
+
+
+def _minutes(text: Column, padded: Column, word: Column) -> Column:
     leading = F.regexp_extract(text, _LEADING_DIGITS, 1).try_cast("int")
     return (
-        F.when(F.lower(padded) == NO_DELAY, F.lit(0))
+        F.when(word == NO_DELAY, F.lit(0))
         .when(padded.rlike(_BARE_DIGITS), padded.try_cast("int"))
         .when(text.rlike(r"\A[0-9]+ minute"), leading)
         .when(text.rlike(r"\A[0-9]+ hour"), F.try_multiply(leading, F.lit(60)))
     )
 
 
-def delay_status(text: Column) -> Column:
-    """Why a delay cell does or does not carry minutes (P5); first match wins."""
-    padded = F.trim(text)
-    word = F.lower(padded)
+def _status(text: Column, padded: Column, word: Column) -> Column:
     return (
         F.when(text.isNull(), "unknown")
         .when(word == NOT_APPLICABLE, "not_applicable")

@@ -46,8 +46,8 @@ def local_to_utc(
 
 
 def to_local(ts: Column, zone: str = LOCAL_ZONE) -> Column:
-    """UTC timestamp to wall time in `zone`."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
+    """UTC timestamp to one that reads as wall time of `zone` in a UTC session."""
+    return F.from_utc_timestamp(ts, zone)
 
 
 def local_parts(ts: Column, zone: str = LOCAL_ZONE) -> dict[str, Column]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowmart.functions.delay import delay_status, parse_delay_minutes
+from flowmart.functions.delay import with_delay
 from flowmart.functions.keys import composite_key
 from flowmart.functions.text import blank_to_null
 from flowmart.functions.timez import local_parts, local_to_utc
@@ -17,15 +17,9 @@ from flowmart.functions.vessel import (
 )
 
 
-def _long_form(df: DataFrame, flows: list[str]) -> DataFrame:
-    """One row per reading and flow column, nulls kept; one scan plus Expand."""
-    ids = [name for name in df.columns if name not in flows]
-    return df.unpivot(ids, flows, "flow", "delay_text_raw")
-
-
-def _delay_columns() -> dict[str, Column]:
-    text = F.col("delay_text_raw")
-    return {"delay_minutes": parse_delay_minutes(text), "delay_status": delay_status(text)}
+# The flow columns of both feeds, as <traffic>_<direction>_bound and <traffic>_flow.
+TRAFFIC = ("commercial", "travellers")
+LIVE_FLOWS = tuple((traffic, direction) for traffic in TRAFFIC for direction in ("canada", "us"))
 
 
 def stg_border_waits(raw: DataFrame) -> DataFrame:
@@ -34,12 +28,6 @@ def stg_border_waits(raw: DataFrame) -> DataFrame:
     Everything that depends on the reading alone is computed before the unpivot,
     once instead of four times.
     """
-    flows = [
-        "commercial_canada_bound",
-        "commercial_us_bound",
-        "travellers_canada_bound",
-        "travellers_us_bound",
-    ]
     calendar = local_parts(F.col("fetched_at"))
     readings = raw.select(
         "observation_id",
@@ -48,13 +36,18 @@ def stg_border_waits(raw: DataFrame) -> DataFrame:
         F.trim("location").alias("crossing_location"),
         local_to_utc(F.col("last_updated_text")).alias("cbsa_updated_at_utc"),
         *[calendar[n].alias(n) for n in ("local_hour_pt", "local_dow_pt", "local_month_pt")],
-        *flows,
+        *[f"{traffic}_{direction}_bound" for traffic, direction in LIVE_FLOWS],
+    )
+    flows = [
+        cell
+        for traffic, direction in LIVE_FLOWS
+        for cell in (F.lit(traffic), F.lit(direction), F.col(f"{traffic}_{direction}_bound"))
+    ]
+    long_form = F.stack(F.lit(len(LIVE_FLOWS)), *flows).alias(
+        "traffic_type", "direction", "delay_text_raw"
     )
-    traffic = F.split_part(F.col("flow"), F.lit("_"), F.lit(1))
-    direction = F.split_part(F.col("flow"), F.lit("_"), F.lit(2))
     return (
-        _long_form(readings, flows)
-        .withColumns({"traffic_type": traffic, "direction": direction, **_delay_columns()})
+        with_delay(readings.select("*", long_form), "delay_text_raw")
         .select(
             composite_key(
                 F.col("observation_id"), F.col("traffic_type"), F.col("direction")
@@ -79,24 +72,30 @@ def stg_border_waits(raw: DataFrame) -> DataFrame:
 def stg_border_waits_historical(raw: DataFrame) -> DataFrame:
     """Archive readings in long form, all Canada-bound.
 
-    Readings without a usable time are dropped before the unpivot (P22).
+    Readings without a usable time are dropped (P22). The time travels through
+    the unpivot, so that the test on it is not pushed below the parse and the
+    parse done a second time there.
     """
-    flows = ["commercial_flow", "travellers_flow"]
     readings = raw.select(
         "historical_id",
         "source_file",
         F.trim("customs_office").alias("crossing_name"),
         F.trim("location").alias("crossing_location"),
-        local_to_utc(F.col("updated_text")).alias("observed_at_utc"),
-        *flows,
-    ).where(F.col("observed_at_utc").isNotNull())
-    readings = readings.withColumns(local_parts(F.col("observed_at_utc")))
-    traffic = F.split_part(F.col("flow"), F.lit("_"), F.lit(1))
+        local_to_utc(F.col("updated_text")).alias("utc"),
+        *[f"{traffic}_flow" for traffic in TRAFFIC],
+    ).withColumns(local_parts(F.col("utc")))
+    flows = [
+        cell
+        for traffic in TRAFFIC
+        for cell in (F.lit(traffic), F.col(f"{traffic}_flow"), F.col("utc"))
+    ]
+    long_form = F.stack(F.lit(len(TRAFFIC)), *flows).alias(
+        "traffic_type", "delay_text_raw", "observed_at_utc"
+    )
+    timed = readings.select("*", long_form).where(F.col("observed_at_utc").isNotNull())
     return (
-        _long_form(readings, flows)
-        .withColumns(
-            {"traffic_type": traffic, "direction": F.lit("canada"), **_delay_columns()}
-        )
+        with_delay(timed, "delay_text_raw")
+        .withColumn("direction", F.lit("canada"))
         .select(
             composite_key(F.col("historical_id"), F.col("traffic_type")).alias(
                 "wait_observation_key"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmart.operators.latest import latest_per_key
+from flowmart.session import read_spread
 
 _PLACES = """
     case {n} % 5 when 0 then 'Surrey, BC/Blaine, WA' when 1 then 'Windsor, ON/Detroit, MI'
@@ -92,7 +93,7 @@ where c_custkey % 3 <> 0
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_spread(spark, f"{sf_dir}/{name}.parquet")
 
 
 def border_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
