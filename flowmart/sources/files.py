@@ -10,10 +10,16 @@ class EmptyLoad(RuntimeError):
 
 
 def refuse_empty_files(spark: SparkSession, *paths: str) -> None:
-    """Fail when a landed file has no bytes; only file lengths are read."""
-    empty = (
-        spark.read.format("binaryFile").load(list(paths)).select("path", "length").where("length = 0")
-    )
-    first = empty.first()
-    if first:
-        raise EmptyLoad(f"{first.path} is empty")
+    """Fail when a landed file or a file of a landed folder has no bytes.
+
+    A scan skips such files without a word, so their lengths are listed instead;
+    names starting with `_` or `.` are not data.
+    """
+    for path in paths:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        listing = location.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(location, True)
+        while listing.hasNext():
+            status = listing.next()
+            name = status.getPath().getName()
+            if status.getLen() == 0 and not name.startswith(("_", ".")):
+                raise EmptyLoad(f"{name} is empty")
