@@ -92,10 +92,10 @@ def parse_message_time(text: Column) -> Column:
     Everything from the first ` +` on is dropped and the fraction cut to six
     digits; text of any other shape gives null.
     """
-    head = F.regexp_replace(text, r"(?s) \+.*\z", "")
+    head = F.substring_index(text, " +", 1)
     shaped = head.rlike(r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}(:\d{2}(\.\d+)?)?\z")
-    cut = F.regexp_replace(head, r"(\.\d{6})\d+\z", "$1")
-    return F.when(shaped, cut.try_cast("timestamp_ntz").cast("timestamp"))
+    # Up to six digits of the fraction end at character 26.
+    return F.when(shaped, F.substring(head, 1, 26).try_cast("timestamp_ntz").cast("timestamp"))
 
 
 def eta_text(parts: Column) -> Column:

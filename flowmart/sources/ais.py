@@ -9,14 +9,14 @@ from flowmart.functions.text import strip_to_null
 from flowmart.functions.timez import eta_text, parse_message_time
 from flowmart.sources.ids import snapshot_id
 
-# The position body is read as a map because an absent coordinate falls back to
-# the metadata while a null one does not, and a struct cannot tell the two apart.
 MESSAGE_SCHEMA = """
     MessageType string,
     MetaData struct<MMSI: bigint, ShipName: string, latitude: double, longitude: double,
                     time_utc: string>,
     Message struct<
-        PositionReport: map<string, string>,
+        PositionReport: struct<
+            Latitude: double, Longitude: double, Sog: double, Cog: double, TrueHeading: int,
+            NavigationalStatus: int>,
         ShipStaticData: struct<
             Name: string, Type: int, ImoNumber: bigint, CallSign: string, Destination: string,
             Dimension: struct<A: int, B: int, C: int, D: int>,
@@ -64,40 +64,47 @@ def _with_arrival(lines: DataFrame) -> DataFrame:
 def decode_messages(lines: DataFrame) -> DataFrame:
     """Text to typed messages; broken JSON and missing vessel numbers drop.
 
-    All other columns of `lines` are kept.
+    All other columns of `lines` are kept. The parsed message passes through
+    `inline`, which later filters and field reads cannot be pushed below; without
+    it the optimizer would parse the text again for each of them.
     """
     parsed = F.from_json(
         "value", " ".join(MESSAGE_SCHEMA.split()), {"columnNameOfCorruptRecord": "_corrupt"}
     )
     rest = [c for c in lines.columns if c != "value"]
+    report = "Message.PositionReport"
+    # An absent coordinate falls back to the metadata, a null one does not; the
+    # keys are looked up in the text for the few reports that lack a value.
+    lacks_value = F.col(f"{report}.Latitude").isNull() | F.col(f"{report}.Longitude").isNull()
+    keys = F.json_object_keys(F.get_json_object("value", f"$.{report}"))
     return (
-        lines.withColumn("msg", parsed)
-        .where(F.col("msg._corrupt").isNull() & F.col("msg.MetaData.MMSI").isNotNull())
-        .select(*rest, "msg", F.col("msg.MetaData.MMSI").alias("mmsi"))
+        lines.select(*rest, "value", F.inline(F.array(parsed)))
+        .where(F.col("_corrupt").isNull() & F.col("MetaData.MMSI").isNotNull())
+        .select(
+            *rest,
+            F.struct("MessageType", "MetaData", "Message").alias("msg"),
+            F.when(lacks_value, keys).alias("report_keys"),
+            F.col("MetaData.MMSI").alias("mmsi"),
+        )
     )
 
 
-def _coordinate(body: Column, key: str, fallback: Column) -> Column:
-    present = F.coalesce(F.map_contains_key(body, key), F.lit(False))
-    return F.when(present, F.try_element_at(body, F.lit(key)).try_cast("double")).otherwise(
-        fallback
-    )
+def _coordinate(key: str) -> Column:
+    given = F.coalesce(F.array_contains("report_keys", key), F.lit(False))
+    fallback = F.when(~given, F.col(f"msg.MetaData.{key.lower()}"))
+    return F.coalesce(F.col(f"msg.Message.PositionReport.{key}"), fallback)
 
 
 def position_reports(messages: DataFrame) -> DataFrame:
     """Position messages inside a port box, typed and named."""
-    body = F.col("msg.Message.PositionReport")
-
-    def part(key: str, kind: str) -> Column:
-        return F.try_element_at(body, F.lit(key)).try_cast(kind)
-
-    rest = [c for c in messages.columns if c not in ("msg", "mmsi")]
+    body = "msg.Message.PositionReport"
+    rest = [c for c in messages.columns if c not in ("msg", "mmsi", "report_keys")]
     return (
         messages.where(F.col("msg.MessageType") == "PositionReport")
         .withColumns(
             {
-                "latitude": _coordinate(body, "Latitude", F.col("msg.MetaData.latitude")),
-                "longitude": _coordinate(body, "Longitude", F.col("msg.MetaData.longitude")),
+                "latitude": _coordinate("Latitude"),
+                "longitude": _coordinate("Longitude"),
             }
         )
         .withColumn("region", port_region(F.col("latitude"), F.col("longitude")))
@@ -109,10 +116,10 @@ def position_reports(messages: DataFrame) -> DataFrame:
             strip_to_null(F.col("msg.MetaData.ShipName")).alias("ship_name"),
             "latitude",
             "longitude",
-            part("Sog", "double").alias("sog"),
-            part("Cog", "double").alias("cog"),
-            part("TrueHeading", "int").alias("true_heading"),
-            part("NavigationalStatus", "int").alias("navigational_status"),
+            F.col(f"{body}.Sog").alias("sog"),
+            F.col(f"{body}.Cog").alias("cog"),
+            F.col(f"{body}.TrueHeading").alias("true_heading"),
+            F.col(f"{body}.NavigationalStatus").alias("navigational_status"),
             parse_message_time(F.col("msg.MetaData.time_utc")).alias("message_ts"),
         )
     )
@@ -121,7 +128,7 @@ def position_reports(messages: DataFrame) -> DataFrame:
 def static_reports(messages: DataFrame) -> DataFrame:
     """Static messages as vessel attributes."""
     body = "msg.Message.ShipStaticData"
-    rest = [c for c in messages.columns if c not in ("msg", "mmsi")]
+    rest = [c for c in messages.columns if c not in ("msg", "mmsi", "report_keys")]
     return messages.where(F.col("msg.MessageType") == "ShipStaticData").select(
         *rest,
         "mmsi",
