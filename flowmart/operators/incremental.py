@@ -19,14 +19,17 @@ def newer_than(
 ) -> DataFrame:
     """Rows of `source` strictly newer than anything in `target`.
 
-    With no target every row passes. `lookback` re-reads the last stretch, for
-    feeds whose rows may arrive late; replacing by key then removes repeats.
+    With no target every row passes. `target` may be the newest partition alone,
+    see `newest_partition`. `lookback` re-reads the last stretch, for feeds whose
+    rows may arrive late; replacing by key then removes repeats.
     """
     if target is None:
         return source
     mark = F.coalesce(F.max(column), F.lit(FIRST_RUN_MARK).cast("timestamp"))
     newest = target.select((mark - F.lit(lookback)).alias("mark")).scalar()
-    return source.where(F.col(column) > newest)
+    fresh = source.where(F.col(column) > newest)
+    # A source partitioned by day also skips the folders before the mark.
+    return fresh.where(F.col("day") >= F.to_date(newest)) if "day" in source.columns else fresh
 
 
 def replace_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,36 +47,62 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def newest_partition(spark: SparkSession, path: str, partition: str) -> DataFrame | None:
+    """Rows of the highest partition of a table, or None before its first write.
+
+    Only the folder names are listed, so finding the newest rows costs the same
+    however long the history is.
+    """
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(location):
+        return None
+    names = [status.getPath().getName() for status in files.listStatus(location)]
+    folders = sorted(name for name in names if name.startswith(f"{partition}="))
+    if not folders:
+        return None
+    return spark.read.option("basePath", path).parquet(f"{path}/{folders[-1]}")
+
+
+def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "append") -> None:
+    """Write by partition value, few large files each.
+
+    `rebalance` gathers the rows of a value and splits a value that holds too
+    many, so a hot day neither becomes one task nor scatters over all files.
+    """
+    (
+        df.hint("rebalance", partition)
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def write_replacing(path: str, new: DataFrame, keys: Sequence[str], partition: str) -> None:
     """Replace by key inside a Parquet table partitioned by `partition`.
 
     A key must not change its partition value, so only partitions present in
-    `new` are looked at. Without a clash, the usual case, the rows are appended;
+    `new` are read. Without a clash, the usual case, the rows are appended;
     otherwise just those partitions are rewritten, from a pinned copy, with a
     dynamic overwrite. Running the same load again after a crash gives the same
     table.
     """
     spark = new.sparkSession
-    existing = read_if_exists(spark, path)
-    if existing is None:
-        new.write.partitionBy(partition).parquet(path)
+    if newest_partition(spark, path, partition) is None:
+        write_partitioned(new, path, partition)
         return
     # Pinned: `new` is read several times and may itself read this table.
     new = pin(new, "load")
-    old = spark.read.schema(new.schema).parquet(path)
-    touched = pin(new.select(partition).distinct(), "partitions")
-    nearby = old.join(touched, partition, "left_semi")
+    # Partition values are folder names; the driver holds those in any case.
+    touched = [row[0] for row in new.select(partition).distinct().collect()]
+    nearby = spark.read.schema(new.schema).parquet(path).where(F.col(partition).isin(touched))
     clash = nearby.join(new.select(*keys), list(keys), "left_semi")
     if clash.isEmpty():
-        new.write.mode("append").partitionBy(partition).parquet(path)
+        write_partitioned(new, path, partition)
         return
     merged = pin(replace_by_key(nearby, new, keys), "merged")
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    write_partitioned(merged, path, partition, "overwrite")
 
 
 def merge_attributes(

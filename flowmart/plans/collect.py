@@ -56,7 +56,7 @@ def collect_vessels(house: Warehouse, lines: DataFrame, snapshot_ts: datetime) -
 
 def raw_positions(house: Warehouse) -> DataFrame:
     """Stored positions of all windows."""
-    return house.read("raw", "ais_positions").drop("day")
+    return house.read("raw", "ais_positions")
 
 
 def raw_static(house: Warehouse) -> DataFrame:

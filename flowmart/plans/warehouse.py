@@ -119,6 +119,7 @@ def mart_checks(crossings: DataFrame) -> dict[str, TableChecks]:
 
 
 def _with_day(df: DataFrame, column: str) -> DataFrame:
+    # Partition column of the stored tables; time filters on it skip whole folders.
     return df.withColumn("day", F.to_date(column))
 
 
@@ -140,12 +141,13 @@ def _load(
     """
     path = house.path(layer, name)
     if full_refresh:
-        rows = _with_day(build(source), mark)
+        rows = _with_day(build(source), mark).hint("rebalance", "day")
         rows.write.mode("overwrite").partitionBy("day").parquet(path)
     else:
-        fresh = newer_than(source, house.find(layer, name), mark, lookback)
+        # The highest mark lies in the newest day, so only that one is read.
+        fresh = newer_than(source, house.newest(layer, name), mark, lookback)
         write_replacing(path, _with_day(build(fresh), mark), [key], "day")
-    return house.read(layer, name).drop("day")
+    return house.read(layer, name)
 
 
 def build_border(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmart.operators.incremental import read_if_exists
+from flowmart.operators.incremental import newest_partition, read_if_exists
 
 # The layers of the warehouse and how each is materialised.
 LAYERS = {
@@ -42,6 +42,10 @@ class Warehouse:
     def find(self, layer: str, name: str) -> DataFrame | None:
         return read_if_exists(self.spark, self.path(layer, name))
 
+    def newest(self, layer: str, name: str, partition: str = "day") -> DataFrame | None:
+        """Newest partition of a table, enough for marks and freshness."""
+        return newest_partition(self.spark, self.path(layer, name), partition)
+
     def replace(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         replace_table(df, self.path(layer, name))
         return self.read(layer, name)

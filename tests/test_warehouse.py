@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import contextlib
+import io
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from flowmart.operators.incremental import newer_than
 from flowmart.operators.quality import CheckFailure, run_checks
 from flowmart.plans import marts, serving, staging, warehouse
 from flowmart.session import pin, scratch_path
@@ -27,6 +30,13 @@ def raw(spark, small):
     }
 
 
+def plan_text(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("simple")
+    return text.getvalue()
+
+
 def cut(df, column, upto):
     return df.where(F.col(column) < F.lit(upto).cast("timestamp"))
 
@@ -46,7 +56,7 @@ def test_ports_and_checks(spark, raw):
     house = Warehouse(spark, scratch_path(spark, "house"))
     warehouse.build_border(house, raw["border"])
     warehouse.build_ports(house, cut(raw["positions"], "snapshot_ts", "2024-01-15 00:00:00"), raw["static"])
-    sliced = bag(warehouse.build_ports(house, raw["positions"], raw["static"]))
+    sliced = bag(warehouse.build_ports(house, raw["positions"], raw["static"]).drop("day"))
     whole = marts.fct_port_congestion(
         staging.stg_vessel_positions(raw["positions"]), staging.stg_vessels(raw["static"])
     )
@@ -164,6 +174,20 @@ def test_empty_headline_and_short_trend(spark, raw):
     assert serving.congestion_pivot(more, as_of, 3).count() == 4
 
 
+def test_loads_read_only_the_newest_folder(spark, raw):
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    facts = warehouse.build_border(house, raw["border"])
+    newest = house.newest("analytics_marts", "fct_border_waits")
+    assert newest.agg(F.max("fetched_at")).first() == facts.agg(F.max("fetched_at")).first()
+    assert newest.select("day").distinct().count() == 1
+    fresh = newer_than(facts, newest.where("fetched_at < timestamp '2024-01-30 12:00:00'"), "fetched_at")
+    assert "PartitionFilters: [isnotnull(day" in plan_text(fresh)
+    mark = newest.where("fetched_at < timestamp '2024-01-30 12:00:00'").agg(F.max("fetched_at")).first()[0]
+    assert fresh.count() == facts.where(F.col("fetched_at") > mark).count()
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    assert "PartitionFilters: [isnotnull(day" in plan_text(serving.within_days(facts, "fetched_at", as_of, 3))
+
+
 def test_readers(spark, raw):
     path = scratch_path(spark, "csv")
     raw["static"].select("mmsi", "ship_name").write.csv(path, header=True)
