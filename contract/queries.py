@@ -705,7 +705,7 @@ def lookup_baseline(spark, sf):
 
 def _baseline_scored(spark, sf):
     train, test = split_cells(spark, sf)
-    scored = model.lookup_probability(train, model.lookup_baseline(train, test))
+    scored = model.lookup_scores(train, test)
     return scored.withColumn("delayed", F.col("delay_minutes") > 0)
 
 
@@ -767,9 +767,7 @@ def grid_cells(spark, sf):
 def _lookup_grid(spark, sf):
     train, _ = split_cells(spark, sf)
     grid = model.prediction_grid(model.crossing_codes(train))
-    scored = model.lookup_probability(
-        train, model.lookup_baseline(train, grid, "expected_delay_minutes"), "delay_probability"
-    )
+    scored = model.lookup_scores(train, grid, "expected_delay_minutes", "delay_probability")
     return scored.drop("month_of_year")
 
 

@@ -2,32 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 
 def fallback_means(
-    train: DataFrame, targets: DataFrame, keys: Sequence[str], total: str, weight: str, name: str
+    train: DataFrame, targets: DataFrame, keys: Sequence[str], totals: Mapping[str, str], weight: str
 ) -> DataFrame:
-    """Mean of the finest known cell for each target row, as column `name`.
+    """Means of the finest known cell for each target row.
 
-    `keys` run from coarse to fine. `train` holds a sum and a row count per
-    finest cell; coarser tables add those up, so the raw rows are read once.
-    Cells missing at every grain get the global mean. Pass pinned cells: their
-    file size then decides how each join runs.
+    `keys` run from coarse to fine. `train` holds sums and a row count per finest
+    cell; `totals` maps each output column to the column of its sum. Coarser
+    tables add finer ones up, so the raw rows are read once. Cells missing at
+    every grain get the global mean. Pass pinned cells: their file size then
+    decides how each join runs.
     """
     result = targets
     grain = train
-    names = []
-    for depth in range(len(keys), 0, -1):
+    depths = range(len(keys), 0, -1)
+    for depth in depths:
         cell = list(keys[:depth])
-        grain = grain.groupBy(*cell).agg(F.sum(total).alias(total), F.sum(weight).alias(weight))
-        mean = f"_mean_{depth}"
-        table = grain.select(*cell, (F.col(total) / F.col(weight)).alias(mean))
-        result = result.join(table, cell, "left")
-        names.append(mean)
-    overall = train.select((F.sum(total) / F.sum(weight)).alias("overall")).scalar()
+        grain = grain.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in (*totals.values(), weight)])
+        means = [
+            (F.col(total) / F.col(weight)).alias(f"_{name}_{depth}") for name, total in totals.items()
+        ]
+        result = result.join(grain.select(*cell, *means), cell, "left")
+    overall = {
+        name: train.select((F.sum(total) / F.sum(weight)).alias("overall")).scalar()
+        for name, total in totals.items()
+    }
     return result.select(
-        *targets.columns, F.coalesce(*[F.col(c) for c in names], overall).alias(name)
+        *targets.columns,
+        *[
+            F.coalesce(*[F.col(f"_{name}_{depth}") for depth in depths], overall[name]).alias(name)
+            for name in totals
+        ],
     )

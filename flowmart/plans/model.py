@@ -127,21 +127,28 @@ def with_features(df: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def lookup_baseline(train: DataFrame, targets: DataFrame, name: str = "baseline") -> DataFrame:
-    """Historical mean delay for the cell of each target row (M7)."""
+def lookup_scores(
+    train: DataFrame,
+    targets: DataFrame,
+    minutes: str | None = "baseline",
+    probability: str | None = "probability",
+) -> DataFrame:
+    """Historical mean delay and share of delayed readings for the cell of each
+    target row, under the given names (M7); None leaves a column out."""
+    delayed = F.when(F.col("delay_minutes") > 0, F.col("n")).otherwise(0)
     sums = train.groupBy(*CELL).agg(
-        F.sum(F.col("delay_minutes") * F.col("n")).alias("total"), F.sum("n").alias("n")
+        F.sum(F.col("delay_minutes") * F.col("n")).alias("_minutes"),
+        F.sum(delayed).alias("_delayed"),
+        F.sum("n").alias("n"),
     )
-    return fallback_means(sums, targets, CELL, "total", "n", name)
+    wanted = {minutes: "_minutes", probability: "_delayed"}
+    totals = {name: total for name, total in wanted.items() if name}
+    return fallback_means(sums, targets, CELL, totals, "n")
 
 
-def lookup_probability(train: DataFrame, targets: DataFrame, name: str = "probability") -> DataFrame:
-    """Historical share of delayed readings for the cell of each target row."""
-    sums = train.groupBy(*CELL).agg(
-        F.sum(F.when(F.col("delay_minutes") > 0, F.col("n")).otherwise(0)).alias("total"),
-        F.sum("n").alias("n"),
-    )
-    return fallback_means(sums, targets, CELL, "total", "n", name)
+def lookup_baseline(train: DataFrame, targets: DataFrame) -> DataFrame:
+    """Add `baseline`, the historical mean delay (M7)."""
+    return lookup_scores(train, targets, probability=None)
 
 
 @dataclass(frozen=True)

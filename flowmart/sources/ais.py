@@ -99,14 +99,13 @@ def position_reports(messages: DataFrame) -> DataFrame:
     """Position messages inside a port box, typed and named."""
     body = "msg.Message.PositionReport"
     rest = [c for c in messages.columns if c not in ("msg", "mmsi", "report_keys")]
+    # Through `inline` again: the region test then reads values, not their look-up.
+    spot = F.struct(
+        _coordinate("Latitude").alias("latitude"), _coordinate("Longitude").alias("longitude")
+    )
     return (
         messages.where(F.col("msg.MessageType") == "PositionReport")
-        .withColumns(
-            {
-                "latitude": _coordinate("Latitude"),
-                "longitude": _coordinate("Longitude"),
-            }
-        )
+        .select(*rest, "msg", "mmsi", F.inline(F.array(spot)))
         .withColumn("region", port_region(F.col("latitude"), F.col("longitude")))
         .where(F.col("region").isNotNull())
         .select(

@@ -99,7 +99,7 @@ def test_fallback_means_use_the_finest_known_cell(spark):
         [("a", 1, 10, 2), ("a", 2, 30, 1), ("b", 1, 8, 4)], "k string, h int, total int, n int"
     )
     target = spark.createDataFrame([("a", 1), ("a", 9), ("b", 2), ("z", 1)], "k string, h int")
-    got = lookup.fallback_means(train, target, ["k", "h"], "total", "n", "m")
+    got = lookup.fallback_means(train, target, ["k", "h"], {"m": "total"}, "n")
     assert rows_of(got, "k", "h", "m") == [
         ("a", 1, 5.0), ("a", 9, 40 / 3), ("b", 2, 2.0), ("z", 1, 48 / 7),
     ]
