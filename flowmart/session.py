@@ -82,6 +82,12 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(location).getLength()
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """Largest piece of a file one task reads."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def read_spread(spark: SparkSession, path: str) -> DataFrame:
     """Parquet at `path`; a source below one split's size is dealt out to all cores.
 
@@ -89,8 +95,6 @@ def read_spread(spark: SparkSession, path: str) -> DataFrame:
     the expressions on top. Larger sources split by themselves and are read as is.
     """
     df = spark.read.parquet(path)
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-    if stored_bytes(spark, path) >= split:
+    if stored_bytes(spark, path) >= split_bytes(spark):
         return df
     return df.repartition(spark.sparkContext.defaultParallelism)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flowmart.functions.text import strip_to_null
 from flowmart.operators.incremental import read_if_exists
-from flowmart.session import pin
-from flowmart.sources.files import refuse_empty_files
+from flowmart.session import pin, split_bytes
+from flowmart.sources.files import landed_files, refuse_empty_files
 from flowmart.sources.ids import row_id
 from flowmart.sources.schemas import LEDGER
 
+# Few files, each possibly large.
+ROW_BITS = 30
+
 # What the header of a usable file contains.
 HEADER_MARKERS = ("office", "location", "updated")
 ARCHIVE_COLUMNS = (
@@ -57,17 +62,48 @@ def pending_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
     return manifest.join(ledger.select("source_file"), "source_file", "left_anti")
 
 
+def _files_with_quoted_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Names of the files in which some line leaves a quote open."""
+    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
+    lines = spark.read.text(paths).where(quotes % 2 == 1)
+    # At most one name per listed file.
+    return {row[0] for row in lines.select("_metadata.file_name").distinct().collect()}
+
+
 def read_archive_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every CSV record of the files with its cell count and position id.
+    """Every CSV record of the files with its cell count and position.
+
+    A quoted cell may hold line breaks, and a file that is read with them in mind
+    cannot be split. Files beyond one split are therefore looked through first:
+    if no line leaves a quote open they are read by many tasks, a huge file too.
+    """
+    limit = split_bytes(spark)
+    files = landed_files(spark, *paths)
+    large = [path for path, size in files if size > limit]
+    whole = [path for path, size in files if size <= limit]
+    if large:
+        broken = _files_with_quoted_breaks(spark, large)
+        whole += [path for path in large if basename_of(path) in broken]
+        large = [path for path in large if basename_of(path) not in broken]
+    parts = [_parse_csv(spark, whole, True)] if whole else []
+    parts += [_parse_csv(spark, large, False)] if large else []
+    return reduce(DataFrame.unionByName, parts)
 
-    Quoted cells may hold line breaks, so each file is read by one task. Short
-    and long records land in the corrupt-record column; their cells are counted
-    from the text with quoted stretches removed.
+
+def basename_of(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
+def _parse_csv(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+    """Records with the start of their block, an id growing within it, and width.
+
+    Short and long records land in the corrupt-record column; their cells are
+    counted from the text with quoted stretches removed.
     """
     names = [f"c{i}" for i in range(len(ARCHIVE_COLUMNS))]
     spec = ", ".join(f"{name} string" for name in (*names, "_bad"))
     parsed = spark.read.csv(
-        paths, schema=spec, header=False, multiLine=True, quote='"', escape='"',
+        paths, schema=spec, header=False, multiLine=multi_line, quote='"', escape='"',
         columnNameOfCorruptRecord="_bad",
     )
     unquoted = F.regexp_replace("_bad", r'"[^"]*"', "")
@@ -76,6 +112,7 @@ def read_archive_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
     return parsed.select(
         F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
         width.alias("_width"),
         *[strip_to_null(F.col(c)).alias(target) for c, target in zip(names, ARCHIVE_COLUMNS)],
@@ -83,39 +120,48 @@ def read_archive_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _first_rows(rows: DataFrame) -> DataFrame:
-    """Per file the id of its first record and whether that is a wait-time header."""
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Per file block its first record, first header-like one and the records before it."""
     texts = F.concat_ws("\n", *[F.lower(c) for c in ARCHIVE_COLUMNS], "_long_text")
     header_like = F.col("_width") >= len(ARCHIVE_COLUMNS)
     for marker in HEADER_MARKERS:
         header_like = header_like & texts.contains(marker)
-    return (
-        rows.groupBy("source_file")
-        .agg(
-            F.min("_id").alias("_first"),
-            F.min(F.when(header_like, F.col("_id"))).alias("_header"),
-        )
-        .select("source_file", "_first", F.col("_header").eqNullSafe(F.col("_first")).alias("usable"))
+    blocks = rows.groupBy("source_file", "_block").agg(
+        F.min("_id").alias("_first"),
+        F.min(F.when(header_like, F.col("_id"))).alias("_header"),
+        F.count("*").alias("_n"),
+    )
+    # One row per block, so a file is a handful of rows here.
+    earlier = Window.partitionBy("source_file").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1
     )
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    return blocks.select("source_file", "_block", "_first", "_header", before)
 
 
 def split_archive_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Data rows of usable files, and one (source_file, usable) row per file.
 
-    `rows` must be pinned: positions are read twice and have to agree.
+    A file is usable if its very first record is a wait-time header. `rows` must
+    be pinned: ids are read twice and have to agree.
     """
-    files = _first_rows(rows)
-    data = rows.join(files.where("usable"), "source_file").where(
-        (F.col("_id") > F.col("_first")) & (F.col("_width") >= len(ARCHIVE_COLUMNS))
+    blocks = pin(_blocks(rows), "blocks")
+    files = blocks.where("_block = 0").select(
+        "source_file", F.col("_header").eqNullSafe(F.col("_first")).alias("usable")
+    )
+    starts = blocks.join(files.where("usable").select("source_file"), "source_file").drop("_header")
+    is_header = (F.col("_block") == 0) & (F.col("_id") == F.col("_first"))
+    data = rows.join(starts, ["source_file", "_block"]).where(
+        ~is_header & (F.col("_width") >= len(ARCHIVE_COLUMNS))
     )
-    position = F.col("_id") - F.col("_first")
+    position = F.col("_before") + F.col("_id") - F.col("_first")
     raw = data.select(
-        row_id(F.col("source_file"), position).alias("historical_id"),
+        row_id(F.col("source_file"), position, ROW_BITS).alias("historical_id"),
         "source_file",
         *ARCHIVE_COLUMNS,
         F.current_timestamp().alias("ingested_at"),
     )
-    return raw, files.select("source_file", "usable")
+    return raw, files
 
 
 def load_archive(spark: SparkSession, paths: list[str]) -> DataFrame:

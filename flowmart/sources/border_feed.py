@@ -21,6 +21,9 @@ FEED_COLUMNS = (
     "travellers_us_bound",
 )
 
+# Many files of a few lines each.
+ROW_BITS = 18
+
 _LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
@@ -83,7 +86,7 @@ def parse_feed(lines: DataFrame, fetched_at: Column | None = None) -> DataFrame:
     """
     stamp = F.col("landed_at") if fetched_at is None else fetched_at
     return lines.where(~F.col("malformed")).select(
-        row_id(F.col("source_file"), F.col("line_no")).alias("observation_id"),
+        row_id(F.col("source_file"), F.col("line_no"), ROW_BITS).alias("observation_id"),
         stamp.cast("timestamp").alias("fetched_at"),
         *[F.col("cells")[i].alias(name) for i, name in enumerate(FEED_COLUMNS)],
         F.current_timestamp().alias("ingested_at"),

@@ -9,17 +9,24 @@ class EmptyLoad(RuntimeError):
     """A load that would have written no rows."""
 
 
-def refuse_empty_files(spark: SparkSession, *paths: str) -> None:
-    """Fail when a landed file or a file of a landed folder has no bytes.
+def landed_files(spark: SparkSession, *paths: str) -> list[tuple[str, int]]:
+    """(path, bytes) of each file and of each file below a folder.
 
-    A scan skips such files without a word, so their lengths are listed instead;
-    names starting with `_` or `.` are not data.
+    Names starting with `_` or `.` are not data.
     """
+    found = []
     for path in paths:
         location = spark._jvm.org.apache.hadoop.fs.Path(path)
         listing = location.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(location, True)
         while listing.hasNext():
             status = listing.next()
-            name = status.getPath().getName()
-            if status.getLen() == 0 and not name.startswith(("_", ".")):
-                raise EmptyLoad(f"{name} is empty")
+            if not status.getPath().getName().startswith(("_", ".")):
+                found.append((status.getPath().toString(), status.getLen()))
+    return found
+
+
+def refuse_empty_files(spark: SparkSession, *paths: str) -> None:
+    """Fail when a landed file has no bytes; a scan would skip it without a word."""
+    for path, size in landed_files(spark, *paths):
+        if size == 0:
+            raise EmptyLoad(f"{path} is empty")

@@ -4,18 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_FILE_BITS = 35
-_ROW_BITS = 28
 
+def row_id(source_file: Column, position: Column, row_bits: int) -> Column:
+    """File hash in the high bits, position in the low `row_bits`; same on every run.
 
-def row_id(source_file: Column, position: Column) -> Column:
-    """File hash in the high bits, position in the low ones; same on every run.
-
-    Rows of one file never collide; two files sharing a hash would show up in
-    the uniqueness check of the table.
+    Rows of one file never collide as long as it has fewer than 2**row_bits; two
+    files sharing a hash would show up in the uniqueness check of the table.
     """
-    file_part = F.pmod(F.xxhash64(source_file), F.lit(2**_FILE_BITS))
-    return F.shiftleft(file_part, _ROW_BITS) + position.cast("bigint")
+    file_part = F.pmod(F.xxhash64(source_file), F.lit(2 ** (63 - row_bits)))
+    return F.shiftleft(file_part, row_bits) + position.cast("bigint")
 
 
 def snapshot_id(snapshot_ts: Column, mmsi: Column) -> Column:

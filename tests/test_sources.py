@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowmart.functions import vessel
 from flowmart.plans import collect, warehouse
@@ -111,6 +112,28 @@ def test_archive_cases(spark, tmp_path):
     assert ids == {r[0] for r in archive.load_archive(spark, paths[::-1]).select("historical_id").collect()}
 
 
+def test_large_files_are_split_with_the_same_result(spark, tmp_path):
+    plain = "\ufeffCustoms Office,Location,Updated,Commercial Flow,Travellers Flow\r\n" + "".join(
+        f'Office {i},"Surrey, BC/Blaine, WA",2015-01-02 14:51 PST,No delay,{i}\r\n' for i in range(200)
+    )
+    paths = [land(tmp_path, "big.csv", plain), land(tmp_path, "odd.csv", ARCHIVE), land(tmp_path, "std.csv", OTHER * 30)]
+    loaded = archive.load_archive(spark, paths)
+    whole, ids = archive_rows(loaded), {r[0] for r in loaded.select("historical_id").collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        split = archive.load_archive(spark, paths)
+        assert archive_rows(split) == whole and len(whole) == 203
+        assert {r[0] for r in split.select("historical_id").collect()} == ids and len(ids) == 203
+        blocks = archive.read_archive_rows(spark, paths).groupBy("source_file").agg(
+            F.count_distinct("_block").alias("n")
+        )
+        assert {r.source_file: r.n > 1 for r in blocks.collect()} == {
+            "big.csv": True, "odd.csv": False, "std.csv": True,
+        }
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_header_must_come_first(spark, tmp_path):
     late = "x,y,z,1,2\n" + ARCHIVE.lstrip("﻿")
     assert archive.load_archive(spark, [land(tmp_path, "late.csv", late)]).count() == 0
