@@ -12,18 +12,20 @@ def fallback_means(
 ) -> DataFrame:
     """Means of the finest known cell for each target row.
 
-    `keys` run from coarse to fine. `train` holds sums and a row count per finest
-    cell; `totals` maps each output column to the column of its sum. Coarser
-    tables add finer ones up, so the raw rows are read once. Cells missing at
+    `keys` run from coarse to fine. `train` has one row of sums and a row count
+    per finest cell; `totals` maps each output column to the column of its sum.
+    Coarser tables add those rows up, so raw rows are read once. Cells missing at
     every grain get the global mean. Pass pinned cells: their file size then
     decides how each join runs.
     """
     result = targets
-    grain = train
     depths = range(len(keys), 0, -1)
     for depth in depths:
         cell = list(keys[:depth])
-        grain = grain.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in (*totals.values(), weight)])
+        grain = train
+        if depth < len(keys):
+            sums = [F.sum(c).alias(c) for c in (*totals.values(), weight)]
+            grain = train.groupBy(*cell).agg(*sums)
         means = [
             (F.col(total) / F.col(weight)).alias(f"_{name}_{depth}") for name, total in totals.items()
         ]

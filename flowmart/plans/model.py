@@ -136,10 +136,13 @@ def lookup_scores(
     """Historical mean delay and share of delayed readings for the cell of each
     target row, under the given names (M7); None leaves a column out."""
     delayed = F.when(F.col("delay_minutes") > 0, F.col("n")).otherwise(0)
-    sums = train.groupBy(*CELL).agg(
-        F.sum(F.col("delay_minutes") * F.col("n")).alias("_minutes"),
-        F.sum(delayed).alias("_delayed"),
-        F.sum("n").alias("n"),
+    sums = pin(
+        train.groupBy(*CELL).agg(
+            F.sum(F.col("delay_minutes") * F.col("n")).alias("_minutes"),
+            F.sum(delayed).alias("_delayed"),
+            F.sum("n").alias("n"),
+        ),
+        "sums",
     )
     wanted = {minutes: "_minutes", probability: "_delayed"}
     totals = {name: total for name, total in wanted.items() if name}
