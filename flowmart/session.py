@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,12 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see, as named by `spark.checkpoint.dir`.
 
     Only a local master, where driver and executors are one process, may fall
-    back to a temporary folder; a cluster without the setting is an error.
+    back to a folder of its own; a cluster without the setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     named = tempfile.mkdtemp(prefix="flowmart-")
     spark.conf.set("spark.checkpoint.dir", named)
@@ -59,8 +60,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/flowmart/{label}-{uuid.uuid4().hex}"
+    """Fresh path below the shared folder, removed at the latest when the driver ends."""
+    path = f"{shared_dir(spark)}/flowmart/{label}-{uuid.uuid4().hex}"
+    files, location = _located(spark, path)
+    files.deleteOnExit(location)
+    return path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders that nothing reads any more."""
+    for path in paths:
+        files, location = _located(spark, path)
+        files.delete(location, True)
+
+
+def _located(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:
@@ -75,6 +91,36 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Pinned tables of one job. Leaving the block removes those that were not kept."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def pin(self, df: DataFrame, label: str) -> DataFrame:
+        """As `pin`; a table pinned under the same label before is removed afterwards."""
+        old = self.paths.get(label)
+        path = self.paths[label] = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        if old:
+            discard(self.spark, old)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep(self, label: str) -> None:
+        """A returned frame still reads this table; it goes when the driver ends."""
+        self.paths.pop(label)
+
+    def drop(self, *labels: str) -> None:
+        discard(self.spark, *[self.paths.pop(label) for label in labels])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.drop(*list(self.paths))
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of a file or folder on whatever file system holds it."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
