@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import public_tokenizers
+
+from flowmart.llm import neighbours
 from flowmart.llm.block_naming import exact_groups
+from flowmart.llm.bpe import token_round_trip
+from flowmart.llm.contamination import with_contamination
 from flowmart.llm.near_duplicates import near_components
+from flowmart.llm.rank_profiles import held_out, languages
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +24,53 @@ def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir), size=3, percent=85).drop("text_mark")
 
 
+def op6_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "found")
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        "found.n_items",
+        F.sha2(F.concat_ws(",", "found.items").cast("binary"), 256).alias("items_sha256"),
+        "found.contaminated",
+    )
+
+
+def op7_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(documents(spark, sf_dir))
+
+
+def op8_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    marked = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out("doc_id", 3, 1))
+    model = neighbours.fit(docs, marked.select("doc_id", F.col("quality").alias("label")))
+    scored = docs.select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), neighbours.score("text", model, spark).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op10_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = token_round_trip(documents(spark, sf_dir), TOKENIZER)
+    return made.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 REGISTRY = {
     "op5_hyperminhash": op5_hyperminhash,
+    "op6_prefix_join": op6_prefix_join,
+    "op7_rank_profiles": op7_rank_profiles,
+    "op8_neighbour_votes": op8_neighbour_votes,
     "op9_block_naming": op9_block_naming,
+    "op10_transducer": op10_transducer,
 }
 
 ORACLES = {

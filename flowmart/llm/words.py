@@ -92,7 +92,7 @@ def _names(data: np.ndarray, is_word: np.ndarray, breaks: np.ndarray):
     return starts, mix((total[ends] - begun) * down[starts])
 
 
-def _pieces(data: np.ndarray, is_word: np.ndarray) -> Iterator[np.ndarray]:
+def pieces(data: np.ndarray, is_word: np.ndarray) -> Iterator[np.ndarray]:
     """A long text cut between words into pieces of about a slice."""
     at = 0
     while at < len(data):
@@ -104,15 +104,27 @@ def _pieces(data: np.ndarray, is_word: np.ndarray) -> Iterator[np.ndarray]:
         at = end
 
 
-def word_slices(column: pa.Array, is_word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, names of all words, word offset of each row) for runs of whole texts."""
+def word_slices(
+    column: pa.Array, is_word: np.ndarray, recode: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, names of all words, word offset of each row) for runs of whole texts.
+
+    With `recode`, bytes are replaced by the table first and repeats of one are dropped.
+    """
     data, bounds = text_buffers(column)
+    if recode is not None and len(data):
+        data = recode[data]
+        keep = np.ones(len(data), bool)
+        keep[1:] = data[1:] != data[:-1]
+        keep[bounds[:-1][bounds[:-1] < len(data)]] = True
+        bounds = np.concatenate([[0], np.cumsum(keep)])[bounds]
+        data = data[keep]
     row, rows = 0, len(bounds) - 1
     while row < rows:
         end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + SLICE_BYTES, "right")) - 1)
         part = data[bounds[row] : bounds[end]]
         if end == row + 1 and len(part) > SLICE_BYTES:
-            names = np.concatenate([_names(p, is_word, np.zeros(1, np.int64))[1] for p in _pieces(part, is_word)])
+            names = np.concatenate([_names(p, is_word, np.zeros(1, np.int64))[1] for p in pieces(part, is_word)])
             yield row, names, np.array([0, len(names)])
         else:
             local = bounds[row : end + 1] - bounds[row]
