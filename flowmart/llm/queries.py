@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from flowmart.llm import neighbours
+from flowmart.llm import consensus_html, neighbours
 from flowmart.llm.block_naming import exact_groups
 from flowmart.llm.bpe import token_round_trip
 from flowmart.llm.contamination import with_contamination
 from flowmart.llm.near_duplicates import near_components
 from flowmart.llm.rank_profiles import held_out, languages
+from flowmart.llm.token_records import read_records, write_records
+from flowmart.llm.warc import read_captures, write_archive
+from flowmart.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -20,6 +23,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def op1_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "archive")
+    write_archive(pages(spark, sf_dir), folder)
+    return read_captures(spark, folder, pages(spark, sf_dir)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "records")
+    write_records(documents(spark, sf_dir), folder, TOKENIZER)
+    return read_records(spark, folder, TOKENIZER)
+
+
+def op4_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = consensus_html.extract(pages(spark, sf_dir), "main_text")
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("bigint").alias("n_chars"))
+
+
 def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir), size=3, percent=85).drop("text_mark")
 
@@ -65,6 +91,9 @@ def op10_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_capture_index": op1_capture_index,
+    "op3_token_records": op3_token_records,
+    "op4_consensus_html": op4_consensus_html,
     "op5_hyperminhash": op5_hyperminhash,
     "op6_prefix_join": op6_prefix_join,
     "op7_rank_profiles": op7_rank_profiles,
