@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows Spark hands to Python at a time, and their bytes; a longer text comes alone.
 BATCH_ROWS = 2048
@@ -18,6 +18,14 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that `df` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_function(make: Callable[[], Callable[[pa.Array], pa.Array]], kind: str) -> Callable[..., Column]:
     """A column function of Spark type `kind`; `make` prepares one task's function of arrays.
 

@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flowmart.llm.arrow import unused
 from flowmart.session import Scratch
 
 BLOCK_BYTES = 4096
@@ -121,10 +122,11 @@ def exact_dedup(docs: DataFrame, **options) -> DataFrame:
             .agg(F.count("*").alias("_copies")),
             "kept",
         )
-        mine = docs.withColumn("_kept_text", text_sha256(F.col("text")))
-        same = [mine.doc_id.eqNullSafe(kept._kept_id), mine._kept_text == kept._kept_sha]
+        sha = unused(docs, "_sha")
+        mine = docs.withColumn(sha, text_sha256(F.col("text")))
+        same = [mine.doc_id.eqNullSafe(kept._kept_id), mine[sha] == kept._kept_sha]
         left = mine.join(kept.drop("_copies"), same, "left_semi")
         if not kept.where("_copies > 1").isEmpty():
-            left = left.dropDuplicates(["doc_id", "_kept_text"])
+            left = left.dropDuplicates(["doc_id", sha])
         scratch.keep("kept")
-        return left.drop("_kept_text")
+        return left.drop(sha)

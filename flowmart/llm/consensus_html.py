@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowmart.llm.arrow import bound_batches, text_function
+from flowmart.llm.arrow import bound_batches, text_function, unused
 from flowmart.session import Scratch
 
 # Element names of HTML, and names sites give to what is not the article.
@@ -273,9 +273,10 @@ def extract(pages: DataFrame, name: str = "main_text") -> DataFrame:
     with Scratch(spark) as scratch:
         # Written first: a small table of winners is broadcast, a large one is joined by
         # shuffles, where the pages of a host with many are split.
-        winners = scratch.pin(winning_paths(pages).withColumnsRenamed({"host": "_host", "winner": "_winner"}), "winners")
+        key, path = unused(pages, "_host"), unused(pages, "_winner")
+        winners = scratch.pin(winning_paths(pages).withColumnsRenamed({"host": key, "winner": path}), "winners")
         texts = text_function(lambda: _extracted, "string")
-        joined = pages.join(winners, host(pages.url) == winners._host, "left")
-        out = joined.withColumn(name, texts("html", "_winner")).drop("_host", "_winner")
+        joined = pages.join(winners, host(pages.url) == winners[key], "left")
+        out = joined.withColumn(name, texts("html", path)).drop(key, path)
         scratch.keep("winners")
         return out

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowmart.llm.arrow import bound_batches, text_function
+from flowmart.llm.arrow import bound_batches, text_function, unused
 from flowmart.llm.words import ALPHANUMERIC, shingles, text_buffers, word_slices
 from flowmart.session import Scratch
 
@@ -280,5 +280,6 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, name: str = "conta
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of `docs` that are not contaminated, with all their columns."""
-    marked = with_contamination(docs, benchmark, "_contamination", **options)
-    return marked.where(~F.col("_contamination.contaminated")).drop("_contamination")
+    name = unused(docs, "_contamination")
+    marked = with_contamination(docs, benchmark, name, **options)
+    return marked.where(~F.col(name)["contaminated"]).drop(name)

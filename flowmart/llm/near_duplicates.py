@@ -20,7 +20,8 @@ A link of the threshold similarity s escapes all bands with probability (1 - s^4
 Defined cases: null and empty texts and texts without words have no shingles and link
 with nothing, their component is their own doc_id. Texts of fewer words than a shingle
 has are one shingle. Rows that repeat a doc_id are told apart by their texts; equal rows
-share one result. A component whose rows all lack doc_id has a null name.
+share one result. A component whose rows all lack doc_id has a null name, its rows count
+as kept. `near_dedup` leaves one of equal rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flowmart.llm import hyperminhash
-from flowmart.llm.arrow import bound_batches, text_function
+from flowmart.llm.arrow import bound_batches, text_function, unused
 from flowmart.llm.links import components
 from flowmart.llm.words import SPACED, distinct, shingles, word_slices
 from flowmart.session import Scratch
@@ -333,16 +334,13 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Rows of `docs` that stay, one of each component, with all their columns."""
     with Scratch(docs.sparkSession) as scratch:
         found = near_components(docs, size, percent).where("kept")
-        kept = scratch.pin(
-            found.groupBy(F.col("doc_id").alias("_kept_id")).agg(
-                F.min("text_mark").alias("_kept_mark"), F.count("*").alias("_copies")
-            ),
-            "kept",
-        )
-        mine = docs.withColumn("_mark", F.xxhash64(F.coalesce("text", F.lit(""))))
-        same = [mine.doc_id.eqNullSafe(kept._kept_id), mine._mark == kept._kept_mark]
+        kept = found.groupBy(F.col("doc_id").alias("_kept_id"), F.col("text_mark").alias("_kept_mark"))
+        kept = scratch.pin(kept.agg(F.count("*").alias("_copies")), "kept")
+        mark = unused(docs, "_mark")
+        mine = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
+        same = [mine.doc_id.eqNullSafe(kept._kept_id), mine[mark] == kept._kept_mark]
         left = mine.join(kept, same, "left_semi")
         if not kept.where("_copies > 1").isEmpty():
-            left = left.dropDuplicates(["doc_id"])
+            left = left.dropDuplicates(["doc_id", mark])
         scratch.keep("kept")
-        return left.drop("_mark")
+        return left.drop(mark)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowmart.llm.arrow import bound_batches, text_function
+from flowmart.llm.arrow import bound_batches, text_function, unused
 from flowmart.llm.words import SLICE_BYTES, pieces, text_buffers
 
 PROFILE = 400
@@ -224,5 +224,6 @@ def in_a_language(docs: DataFrame, length: int = PROFILE) -> DataFrame:
     """Rows of `docs` whose language can be told, with all their columns; others go."""
     bound_batches(docs.sparkSession)
     learned = profiles(docs.where(~held_out("doc_id", 4, 2)).select("lang", "text"), length)
-    told = docs.withColumn("_language", predict("text", learned, length))
-    return told.where(F.col("_language.lang") != UNDETERMINED).drop("_language")
+    name = unused(docs, "_language")
+    told = docs.withColumn(name, predict("text", learned, length))
+    return told.where(F.col(name)["lang"] != UNDETERMINED).drop(name)
