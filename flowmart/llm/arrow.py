@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +20,20 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def once(key: tuple, make: Callable[[], object]):
+    """What `make` gives, made once per Python worker; the few latest keys are kept.
+
+    Functions travel to workers by value, with new globals for each task, so the
+    store hangs on the interpreter's table of modules.
+    """
+    store = sys.modules.setdefault("_flowmart_worker_store", types.ModuleType("_flowmart_worker_store")).__dict__
+    if key not in store:
+        for old in [k for k in store if isinstance(k, tuple)][:-3]:
+            del store[old]
+        store[key] = make()
+    return store[key]
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like `name` that `df` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -20,7 +20,6 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -28,10 +27,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowmart.llm.arrow import bound_batches, text_function
+from flowmart.llm.arrow import bound_batches, once, text_function
 
-#: Steps or words remembered at a time.
-REMEMBERED = 1 << 18
+#: Steps, or pieces between white space, remembered at a time; of pieces twice as many.
+REMEMBERED = 1 << 16
 #: Longer pieces between white space are not remembered.
 LONGEST_REMEMBERED = 64
 
@@ -219,9 +218,166 @@ class Transducer:
         yield from (steps.get((state, last)) or self._step(state, last))[1]
 
 
+class LockStep:
+    """The transducer's recurrence for many short words at once, a symbol of each per step.
+
+    Words that end inside the lookahead are final when they end, so nothing has to be
+    emitted before: the last token of each prefix is found for all words together, and
+    the tokens are read off backwards from the ends.
+    """
+
+    #: Symbols of a word; longer ones go through the transducer. Words taken together.
+    SYMBOLS = 64
+    WORDS = 8192
+    _BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, merges: MergeList):
+        made = {left + right for left, right in merges.merges}
+        if not merges.ordered or len(made) != len(merges.merges):
+            raise ValueError("merges must come after those that make their parts, one for each token")
+        self.size = max(merges.vocab.values()) + 1
+        codes = {t: self._codes(merges, t) for t in merges.vocab}
+        self.length = np.zeros(self.size, np.int64)
+        for t, i in merges.vocab.items():
+            self.length[i] = len(codes[t])
+        self.longest = int(self.length.max())
+        with np.errstate(over="ignore"):
+            self.powers = self._power_table()
+            marks = np.array([self._mark(c) for c in codes.values()], np.uint64)
+        order = np.argsort(marks)
+        self.marks, self.ids = marks[order], np.array(list(merges.vocab.values()))[order]
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(marks >> np.uint64(44)).astype(np.int64)] = True
+        pairs = np.array([merges.vocab[x] * self.size + merges.vocab[y] for x, y in merges.merges], np.int64)
+        by = np.argsort(pairs)
+        self.pairs, self.ranks = pairs[by], by.astype(np.int64)
+        self.paired = np.zeros(1 << 20, bool)
+        self.paired[self._slot(pairs)] = True
+        self._edges(merges)
+
+    def _power_table(self) -> np.ndarray:
+        table = np.ones(self.SYMBOLS + 1, np.uint64)
+        table[1:] = np.cumprod(np.full(self.SYMBOLS, self._BASE))
+        return table
+
+    @staticmethod
+    def _codes(merges: MergeList, token: str) -> list[int]:
+        """Bytes of a token; the last one of a word is 256 higher."""
+        end = token.endswith(merges.word_end) and len(token) > len(merges.word_end)
+        codes = [_TO_BYTES[ord(c)] for c in (token[: -len(merges.word_end)] if end else token)]
+        return [*codes[:-1], codes[-1] + 256 * end]
+
+    def _mark(self, codes: list[int]) -> int:
+        value = 0
+        for c in codes:
+            value = (value * int(self._BASE) + c + 1) & 0xFFFFFFFFFFFFFFFF
+        return value
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * self._BASE) >> np.uint64(44)).astype(np.int64)
+
+    def _edges(self, merges: MergeList) -> None:
+        """Parts on each token's left and right edge and the rank that takes each, one list for all."""
+        vocab, never = merges.vocab, np.iinfo(np.int64).max
+        lefts = {t: [(i, never)] for t, i in vocab.items()}
+        rights = {t: [(i, never)] for t, i in vocab.items()}
+        for rank, (left, right) in enumerate(merges.merges):
+            token = left + right
+            lefts[token] = [*lefts[left][:-1], (vocab[left], rank), (vocab[token], never)]
+            rights[token] = [*rights[right][:-1], (vocab[right], rank), (vocab[token], never)]
+        for name, edges in (("left", lefts), ("right", rights)):
+            counts = np.zeros(self.size, np.int64)
+            for t, i in vocab.items():
+                counts[i] = len(edges[t])
+            flat = [part for t in sorted(vocab, key=vocab.get) for part in edges[t]]
+            setattr(self, f"{name}_start", np.concatenate([[0], np.cumsum(counts)]))
+            setattr(self, f"{name}_part", np.array([p for p, _ in flat], np.int64))
+            setattr(self, f"{name}_taken", np.array([r for _, r in flat], np.int64))
+
+    def _tokens(self, marks: np.ndarray) -> np.ndarray:
+        """Token id of each mark, or -1."""
+        out = np.full(marks.shape, -1, np.int64)
+        at = np.flatnonzero(self.seen[(marks >> np.uint64(44)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.marks, marks[at]), len(self.marks) - 1)
+        hit = self.marks[place] == marks[at]
+        out[at[hit]] = self.ids[place[hit]]
+        return out
+
+    def _stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """As `MergeList.stay_apart`, for arrays of token ids."""
+        n_right = self.right_start[left + 1] - self.right_start[left]
+        n_left = self.left_start[right + 1] - self.left_start[right]
+        counts = n_right * n_left
+        source = np.repeat(np.arange(len(left)), counts)
+        inner = np.arange(len(source)) - np.repeat(np.cumsum(counts) - counts, counts)
+        x = self.right_start[left][source] + inner // n_left[source]
+        y = self.left_start[right][source] + inner % n_left[source]
+        pair = self.right_part[x] * self.size + self.left_part[y]
+        at = np.flatnonzero(self.paired[self._slot(pair)])
+        pair = pair[at]
+        place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        known = self.pairs[place] == pair
+        at, over = at[known], self.ranks[place[known]]
+        merged = (over < self.right_taken[x[at]]) & (over <= self.left_taken[y[at]])
+        out = np.ones(len(left), bool)
+        out[source[at[merged]]] = False
+        return out
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of each word as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = [b""] * len(words)
+        by_length = sorted(range(len(words)), key=lambda k: len(words[k]))
+        for start in range(0, len(words), self.WORDS):
+            rows = by_length[start : start + self.WORDS]
+            for row, ids in zip(rows, self._together([words[k] for k in rows]), strict=True):
+                out[row] = ids
+        return out
+
+    def _together(self, words: list[bytes]) -> list[bytes]:
+        lengths = np.array([len(w) for w in words])
+        wide = int(lengths.max())
+        codes = np.frombuffer(b"".join([w.ljust(wide, b"\0") for w in words]), np.uint8).reshape(-1, wide).astype(np.uint64)
+        codes[np.arange(len(words)), lengths - 1] += np.uint64(256)
+        total = np.zeros((len(words), wide + 1), np.uint64)
+        for k in range(wide):
+            total[:, k + 1] = total[:, k] * self._BASE + codes[:, k] + np.uint64(1)
+        last = np.full((len(words), wide + 1), -1, np.int64)
+        for end in range(1, wide + 1):
+            rows = np.arange(np.searchsorted(lengths, end), len(words))  # sorted by length
+            first = max(0, end - self.longest)
+            marks = total[rows, end][:, None] - total[rows, first:end] * self.powers[end - first : 0 : -1]
+            token = self._tokens(marks.ravel())
+            found = np.flatnonzero(token >= 0)
+            row, begin, token = rows[found // (end - first)], first + found % (end - first), token[found]
+            left = last[row, begin]
+            begins = begin == 0
+            last[row[begins], end] = token[begins]
+            inner = np.flatnonzero(~begins & (left >= 0))
+            good = inner[self._stay_apart(left[inner], token[inner])]
+            # A prefix has one last token, unless the whole prefix is one.
+            last[row[good], end] = token[good]
+        return self._read_off(last, lengths)
+
+    def _read_off(self, last: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        at, rows = lengths.copy(), np.arange(len(lengths))
+        columns = []
+        counts = np.zeros(len(lengths), np.int64)
+        while (active := at > 0).any():
+            token = np.where(active, last[rows, at], 0)
+            columns.append(token)
+            counts += active
+            at = at - np.where(active, self.length[token], 0)
+        table = np.stack(columns[::-1], axis=1).astype("<u4")
+        width = table.shape[1]
+        return [table[k, width - n :].tobytes() for k, n in enumerate(counts.tolist())]
+
+
 class Encoder:
     """A tokenizer file's encoding, piece by piece between white space."""
 
+    #: Bytes of text whose unknown pieces are worked on together.
+    TOGETHER = 1 << 20
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -234,44 +390,88 @@ class Encoder:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.merges = MergeList(model["vocab"], merges, model["end_of_word_suffix"])
         self.transducer = Transducer(self.merges)
+        self.lock_step = LockStep(self.merges)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text = self.merges.text | {i: t for t, i in self.special.items()}
         self.splits = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         self.known: dict[str, bytes] = {}
         self.known_before: dict[str, bytes] = {}
 
-    def _plain(self, piece: str) -> Iterator[int]:
-        if not piece.isascii():
+    def _plain(self, text: str) -> list[bytes]:
+        """Words of a text without special tokens."""
+        if not text.isascii():
             # Composed; the lower case of a sigma doesn't depend on its place here.
-            piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
-        for word in self.words.findall(piece.lower()):
-            yield from self.transducer.word(word.encode().decode("latin-1").translate(_TO_SYMBOLS))
-
-    def piece(self, piece: str) -> Iterator[int]:
-        """Token ids of a text without white space."""
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        if text.isascii() and text.isalpha():
+            return [text.encode()]
+        return [w.encode() for w in self.words.findall(text)]
+
+    def _parts(self, piece: str) -> list[bytes | int]:
+        """Words and special tokens of a text without white space."""
+        if not self.splits.search(piece):
+            return self._plain(piece)
+        out: list[bytes | int] = []
         at = 0
         for found in self.splits.finditer(piece):
-            yield from self._plain(piece[at : found.start()])
-            yield self.special[found[0]]
+            out += [*self._plain(piece[at : found.start()]), self.special[found[0]]]
             at = found.end()
-        yield from self._plain(piece[at:])
-
-    def _bytes(self, piece: str) -> bytes:
-        made = self.known_before.get(piece)
-        if made is None:
-            made = np.fromiter(self.piece(piece), "<u4").tobytes()
-        if len(piece) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED:
-                self.known_before, self.known = self.known, {}
-            self.known[piece] = made
-        return made
-
-    def encode(self, text: str) -> bytes:
-        """All token ids as little-endian unsigned 32-bit integers."""
-        # These four separate words for Python but are signs for the tokenizer.
-        pieces = text.split() if not re.search("[\x1c-\x1f]", text) else re.split("[ \t\n\r\f\v]+", text)
-        known = self.known.get
-        return b"".join([known(p) or self._bytes(p) for p in pieces if p])
+        return out + self._plain(piece[at:])
+
+    def long_word(self, word: bytes) -> Iterator[int]:
+        """Token ids of a word of any length, as they become final."""
+        return self.transducer.word(word.decode("latin-1").translate(_TO_SYMBOLS))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Take up pieces; their new words are encoded together."""
+        parts = {p: self._parts(p) for p in pieces}
+        words: dict[bytes | int, bytes] = {}
+        short = []
+        for part in {w for found in parts.values() for w in found}:
+            if isinstance(part, int):
+                words[part] = part.to_bytes(4, "little")
+            elif len(part) <= LockStep.SYMBOLS:
+                short.append(part)
+            else:
+                words[part] = np.fromiter(self.long_word(part), "<u4").tobytes()
+        words.update(zip(short, self.lock_step.encode(short), strict=True))
+        for piece, found in parts.items():
+            self.known[piece] = b"".join([words[w] for w in found])
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """All token ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= self.TOGETHER):
+                size += len(texts[end])
+                end += 1
+            out += self._together(texts[at:end])
+            at = end
+        return out
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        # The four separate words for Python but are signs for the tokenizer.
+        cut = [t.split() if not re.search("[\x1c-\x1f]", t) else [p for p in re.split("[ \t\n\r\f\v]+", t) if p] for t in texts]
+        pieces = {p for text in cut for p in text}
+        if len(self.known) > REMEMBERED:
+            self.known_before, self.known = self.known, {}
+        unknown = []
+        for piece in pieces:
+            if piece not in self.known:
+                if (made := self.known_before.get(piece)) is not None:
+                    self.known[piece] = made
+                else:
+                    unknown.append(piece)
+        if unknown:
+            self._learn(unknown)
+        known = self.known
+        out = [b"".join([known[p] for p in text]) for text in cut]
+        for piece in unknown:
+            if len(piece) > LONGEST_REMEMBERED:
+                del known[piece]
+        return out
 
 
 class TokenText:
@@ -321,14 +521,13 @@ class TokenText:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return once(("bpe", path), lambda: Encoder(path))
 
 
 def _encoded(path: str):
-    encode = encoder(path).encode
-    return lambda texts: pa.array([encode(t or "") for t in texts.to_pylist()], pa.binary())
+    encode = encoder(path).encode_batch
+    return lambda texts: pa.array(encode([t or "" for t in texts.to_pylist()]), pa.binary())
 
 
 def _decoded(path: str, spelled: bool):

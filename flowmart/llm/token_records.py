@@ -17,6 +17,7 @@ Other columns play no part. An empty table makes files without records.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,12 +27,16 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from flowmart.llm import crc32c
-from flowmart.llm.arrow import bound_batches
+from flowmart.llm.arrow import bound_batches, once
 from flowmart.llm.files import Ranges, committed, partition_id
 
 END_ID = 2
-REMEMBERED = 1 << 18
+#: Pieces remembered at a time, twice; characters of one; pieces encoded together.
+REMEMBERED = 1 << 16
 LONGEST_REMEMBERED = 64
+TOGETHER = 1000
+#: Characters of texts whose pieces are looked up together.
+SLICE = 1 << 20
 HEAD = 12
 FRAME = HEAD + 4
 ID_BYTES = 9
@@ -44,7 +49,8 @@ class PieceEncoder:
     """The library's ids of a text, looked up by pieces between white space.
 
     The tokenizer cuts at white space itself and drops it, so a text's ids are those of
-    its pieces. Frequent pieces are remembered, in a table of bounded size.
+    its pieces. Frequent pieces are remembered, in a table of bounded size. Unknown ones
+    are encoded together, with a special token between any two, at which the ids are cut.
     """
 
     def __init__(self, path: str):
@@ -52,26 +58,59 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = id_type(self.tokenizer.get_vocab_size())
+        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.mark, self.mark_id = special[0] if special else ("", -1)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
     def _learn(self, pieces: list[str]) -> None:
-        for piece in pieces:
-            if (made := self.before.get(piece)) is not None:
-                self.known[piece] = made
-        fresh = [p for p in pieces if p not in self.known]
-        for piece, made in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(made.ids, self.kind).tobytes()
+        # A piece that may hold the mark itself is encoded alone.
+        alone = [p for p in pieces if not self.mark or self.mark[0] in p or len(p) > LONGEST_REMEMBERED]
+        for piece in alone:
+            self.known[piece] = self._ids(piece).tobytes()
+        joined = [p for p in pieces if p not in self.known]
+        for at in range(0, len(joined), TOGETHER):
+            group = joined[at : at + TOGETHER]
+            ids = self._ids(self.mark.join(group))
+            cuts = np.flatnonzero(ids == self.mark_id)
+            if len(cuts) != len(group) - 1:
+                raise ValueError("the special token doesn't separate pieces")
+            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
+            for piece, a, b in zip(group, starts, ends, strict=True):
+                self.known[piece] = ids[a:b].tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [text.split(" ") if text.isascii() and text.isprintable() else text.split() for text in texts]
-        pieces = {p for text in cut for p in text}
-        if len(self.known) + len(pieces) > REMEMBERED:
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE):
+                size += len(texts[end])
+                end += 1
+            out += self._together(texts[at:end])
+            at = end
+        return out
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        # Python's other separators are signs for the tokenizer.
+        cut = [t.split() if not re.search("[\x1c-\x1f]", t) else [p for p in re.split("[ \t\n\r\f\v]+", t) if p] for t in texts]
+        if len(self.known) > REMEMBERED:
             self.before, self.known = self.known, {}
-        self._learn([p for p in pieces if p not in self.known])
+        unknown = []
+        for piece in {p for text in cut for p in text}:
+            if piece not in self.known:
+                if (made := self.before.get(piece)) is not None:
+                    self.known[piece] = made
+                else:
+                    unknown.append(piece)
+        if unknown:
+            self._learn(unknown)
         known = self.known
         out = [b"".join([known[p] for p in text]) for text in cut]
-        for piece in pieces:
+        for piece in unknown:
             if len(piece) > LONGEST_REMEMBERED:
                 del known[piece]
         return out
@@ -113,7 +152,7 @@ def file_name(part: int) -> str:
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder, part = PieceEncoder(tokenizer), partition_id()
+    encoder, part = once(("pieces", tokenizer), lambda: PieceEncoder(tokenizer)), partition_id()
     size = np.dtype(encoder.kind).itemsize
     end = np.array([end_id], encoder.kind).tobytes()
     offset = before = 0
