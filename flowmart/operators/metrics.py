@@ -35,8 +35,8 @@ def rank_metrics(df: DataFrame, score: str, label: str, weight: str | None = Non
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:
-    """Aggregate mean of `value` over `weight` rows each; null on no rows."""
-    return F.try_divide(F.sum(value * weight), F.sum(weight))
+    """Aggregate mean of the set values over `weight` rows each; null on no rows."""
+    return F.try_divide(F.sum(value * weight), F.sum(F.when(value.isNotNull(), weight)))
 
 
 def brier(probability: Column, label: Column, weight: Column) -> Column:

@@ -38,8 +38,8 @@ def collect_vessels(house: Warehouse, lines: DataFrame, snapshot_ts: datetime) -
         "positions",
     )
     static = pin(
-        latest_per_key(static_reports(messages), ["mmsi"], ARRIVAL)
-        .withColumn("seen_at", stamp)
+        static_reports(messages)
+        .withColumn("snapshot_ts", stamp)
         .observe(seen_static, F.count("*").alias("n")),
         "static",
     )
@@ -49,8 +49,8 @@ def collect_vessels(house: Warehouse, lines: DataFrame, snapshot_ts: datetime) -
     if counts["positions"]:
         write_replacing(house.path("raw", "ais_positions"), positions, ["snapshot_id"], "day")
     if counts["static"]:
-        merge = static_merger(house.path("raw", "ship_static"), "seen_at", ARRIVAL)
-        merge(static, int(snapshot_ts.timestamp()))
+        merge = static_merger(house.path("raw", "ship_static"), "snapshot_ts", ARRIVAL)
+        merge(static, 0)
     return counts
 
 
@@ -64,7 +64,12 @@ def raw_static(house: Warehouse) -> DataFrame:
     return static_state(house.spark, house.path("raw", "ship_static"))
 
 
-def collect_border(house: Warehouse, *paths: str, fetched_at: datetime) -> dict[str, int]:
-    """Append landed feed files as one fetch."""
-    stamp = F.lit(fetched_at).cast("timestamp")
-    return append_fetch(house.spark, house.path("raw", "border_raw"), *paths, fetched_at=stamp)
+def collect_border(house: Warehouse, *paths: str, fetched_at: datetime | None = None) -> dict[str, int]:
+    """Store what has landed since the last collection.
+
+    Rows are stamped with the time their file landed, or all with `fetched_at`.
+    """
+    stamp = None if fetched_at is None else F.lit(fetched_at).cast("timestamp")
+    return append_fetch(
+        house.spark, house.path("raw", "border_raw"), house.path("raw", "border_files"), *paths, fetched_at=stamp
+    )

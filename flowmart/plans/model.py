@@ -17,7 +17,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowmart.functions.delay import is_measured
 from flowmart.functions.timez import is_weekend
@@ -55,7 +55,6 @@ SAMPLING = 0.9
 SEED = 42
 GRID_MONTH = 7
 MIN_LIVE_ROWS = 50
-HOLDOUT = "holdout_2019"
 LIVE = "live_2026"
 
 
@@ -96,6 +95,30 @@ def temporal_split(
     )
 
 
+def with_side(
+    cells: DataFrame, train_max_year: int = TRAIN_MAX_YEAR, test_year: int = TEST_YEAR
+) -> DataFrame:
+    """Cells of both sides of the split with `side`, train or test; one read for both."""
+    side = F.when(F.col("year") <= train_max_year, "train").when(F.col("year") == test_year, "test")
+    return cells.withColumn("side", side).where(F.col("side").isNotNull())
+
+
+def by_side(cells: DataFrame, *measures: Column) -> DataFrame:
+    """Measures of each side; a side without cells has its row too."""
+    sides = cells.sparkSession.sql("select explode(array('train', 'test')) as side, 0L as n")
+    return cells.unionByName(sides, allowMissingColumns=True).groupBy("side").agg(*measures)
+
+
+def holdout_name(test_year: int = TEST_YEAR) -> str:
+    """Name of the evaluation on the rows of one year."""
+    return f"holdout_{test_year}"
+
+
+def hurdle_minutes(probability: Column, log_minutes: Column) -> Column:
+    """Expected delay: the chance of one times its length, which is never negative (M6)."""
+    return probability * F.greatest(F.expm1(log_minutes), F.lit(0.0))
+
+
 def require_rows(**sides: DataFrame) -> None:
     """Raise if a side of the split is empty (Q8)."""
     empty = [name for name, side in sides.items() if side.isEmpty()]
@@ -171,12 +194,11 @@ class HurdleModel:
         staged = self.classifier.transform(cells).drop("rawPrediction", "prediction")
         scored = self.regressor.transform(staged)
         probability = vector_to_array("probability")[1]
-        minutes = F.greatest(F.expm1("log_delay"), F.lit(0.0))
         predictions = pin(
             scored.select(
                 *CELL,
                 probability.alias("delay_probability"),
-                (probability * minutes).alias("expected_delay_minutes"),
+                hurdle_minutes(probability, F.col("log_delay")).alias("expected_delay_minutes"),
             ),
             "predictions",
         )
@@ -257,7 +279,7 @@ def _long(row: DataFrame, evaluation: str, metrics: Sequence[str]) -> DataFrame:
     )
 
 
-def holdout_metrics(scored: DataFrame, evaluation: str = HOLDOUT) -> DataFrame:
+def holdout_metrics(scored: DataFrame, evaluation: str = f"holdout_{TEST_YEAR}") -> DataFrame:
     """Scores of both stages against the baseline on weighted rows.
 
     `scored` has delay_minutes, n, delay_probability, expected_delay_minutes and
@@ -326,8 +348,9 @@ def train_and_score(
     rounds: int = ROUNDS,
     train_max_year: int = TRAIN_MAX_YEAR,
     test_year: int = TEST_YEAR,
+    fitted: HurdleModel | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Metric table and prediction grid of one training run.
+    """Metric table and prediction grid of one training run (M16), or of a model fitted before.
 
     `history` and `live` are staged or mart rows; write the results with
     `replace_table` (S15).
@@ -335,9 +358,9 @@ def train_and_score(
     cells = pin(delay_cells(history), "cells")
     train, test = temporal_split(cells, train_max_year, test_year)
     require_rows(train=train, test=test)
-    model = fit_hurdle(train, rounds)
+    model = fitted or fit_hurdle(train, rounds)
     scored = lookup_baseline(train, model.predict(test))
-    parts = [holdout_metrics(scored)]
+    parts = [holdout_metrics(scored, holdout_name(test_year))]
     if live is not None:
         now = pin(delay_cells(live), "live")
         parts.append(drift_metrics(lookup_baseline(train, model.predict(now))))

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowmart.functions.delay import delay_tone, share_tone
 from flowmart.functions.places import PORT_REGIONS
 from flowmart.functions.text import title_label
 from flowmart.functions.timez import age_label, age_tier, minutes_between
 from flowmart.functions.vessel import display_speed, marker_radius
-from flowmart.operators.latest import latest_rows, newest_rows
+from flowmart.operators.latest import latest_per_key, latest_rows, newest_rows
 from flowmart.operators.pivots import pivot_mean
 from flowmart.session import pin
 
 MIN_TREND_SNAPSHOTS = 4
+MIN_PIVOT_HOURS = 3
 BUSIEST = 4
 
 
@@ -33,7 +34,8 @@ def within_days(df: DataFrame, column: str, as_of: Column, days: int) -> DataFra
 def feed_freshness(ports: DataFrame, border: DataFrame, as_of: Column) -> DataFrame:
     """Age of the newest reading per feed, with tier and label.
 
-    Any frame with the time column will do; only that column is read.
+    Any frame with the time column will do; only that column is read. Of a
+    stored table pass `Warehouse.newest`, its newest partition.
     """
     newest = ports.agg(F.max("snapshot_ts").alias("latest_at")).select(
         F.lit("ports").alias("feed"), "latest_at"
@@ -53,8 +55,12 @@ def feed_freshness(ports: DataFrame, border: DataFrame, as_of: Column) -> DataFr
 
 
 def latest_congestion(congestion: DataFrame) -> DataFrame:
-    """Newest congestion row per region, with its tone and title (V2)."""
-    return latest_rows(congestion, "region", "snapshot_ts").withColumns(
+    """Newest congestion row per region, with its tone and title (V2).
+
+    A region has one row per snapshot, so one aggregate finds it. Pass the
+    partitions of `Warehouse.newest_of_each` to open no older ones.
+    """
+    return latest_per_key(congestion, ["region"], ["snapshot_ts"]).withColumns(
         {"tone": share_tone(F.col("stationary_share")), "region_label": title_label(F.col("region"))}
     )
 
@@ -84,7 +90,10 @@ def congestion_pivot(
 
 
 def vessel_map_points(positions: DataFrame, vessels: DataFrame) -> DataFrame:
-    """Vessels at the newest snapshot of their region, ready to draw."""
+    """Vessels at the newest snapshot of their region, ready to draw.
+
+    Pass the partitions of `Warehouse.newest_of_each` to open no older ones.
+    """
     static = vessels.select("mmsi", "vessel_category", "length_m", "destination")
     shown = latest_rows(
         positions.select(
@@ -216,16 +225,30 @@ def busiest_crossings_hourly(trend: DataFrame, top: int = BUSIEST) -> DataFrame:
 
 
 def border_pivot(trend: DataFrame, top: int = BUSIEST) -> DataFrame:
-    """Hourly delay of the busiest crossings, one column each.
+    """Hourly delay of the busiest crossings, a name and a value column for each.
 
-    The `top` names become column names, so they are fetched first, from a
-    pinned copy of the hourly means.
+    Columns are `crossing_<k>` and `delay_<k>` by rank, so the schema does not
+    depend on the data. Shown from three hours on.
     """
     hourly = pin(trend, "trend")
-    names = sorted(row.crossing_name for row in busiest_crossings(hourly, top).collect())
-    return pivot_mean(hourly, "hour_utc", "crossing_name", "avg_delay_minutes", names).orderBy(
-        "hour_utc"
+    # At most `top` rows, numbered in one place.
+    order = Window.orderBy(F.desc_nulls_last("mean_of_hours"), "crossing_name")
+    ranked = busiest_crossings(hourly, top).withColumn("rank", F.row_number().over(order))
+    ranked = pin(ranked.select("crossing_name", "rank"), "busiest")
+    listed = hourly.where(F.col("avg_delay_minutes").isNotNull()).join(F.broadcast(ranked), "crossing_name")
+    names = ranked.agg(
+        *[F.max(F.when(F.col("rank") == k, F.col("crossing_name"))).alias(f"crossing_{k}") for k in range(1, top + 1)]
+    )
+    wide = listed.groupBy("hour_utc").agg(
+        *[F.avg(F.when(F.col("rank") == k, F.col("avg_delay_minutes"))).alias(f"delay_{k}") for k in range(1, top + 1)]
     )
+    hours = listed.select(F.count_distinct("hour_utc")).scalar()
+    columns = [
+        c
+        for k in range(1, top + 1)
+        for c in (names.select(f"crossing_{k}").scalar().alias(f"crossing_{k}"), F.col(f"delay_{k}"))
+    ]
+    return wide.where(hours >= MIN_PIVOT_HOURS).select("hour_utc", *columns).orderBy("hour_utc")
 
 
 def expected_delay_curve(grid: DataFrame, crossing: str, day_of_week: int) -> DataFrame:
@@ -261,8 +284,8 @@ def crossing_names(grid: DataFrame) -> DataFrame:
     return grid.select("crossing_name").distinct().orderBy("crossing_name")
 
 
-def model_summary(metrics: DataFrame, holdout: str, live: str) -> DataFrame:
-    """Headline scores of the metric table in one row (V9)."""
+def model_summary(metrics: DataFrame, holdout: str, live: str, as_of: Column) -> DataFrame:
+    """Headline scores of the metric table in one row, when they were made and how old they are (V9)."""
 
     def value(evaluation: str, metric: str) -> Column:
         hit = (F.col("evaluation") == evaluation) & (F.col("metric") == metric)
@@ -274,8 +297,10 @@ def model_summary(metrics: DataFrame, holdout: str, live: str) -> DataFrame:
         value(holdout, "baseline_mae_minutes").alias("baseline_mae_minutes"),
         value(holdout, "delayed_share").alias("holdout_delayed_share"),
         value(live, "delayed_share").alias("live_delayed_share"),
+        F.max("evaluated_at").alias("retrained_at"),
     )
     gain = F.try_divide(
         F.col("baseline_mae_minutes") - F.col("model_mae_minutes"), F.col("baseline_mae_minutes")
     )
-    return row.withColumn("gain_pct", F.coalesce(gain, F.lit(0.0)) * 100)
+    age = minutes_between(as_of, F.col("retrained_at"))
+    return row.withColumns({"gain_pct": F.coalesce(gain, F.lit(0.0)) * 100, "age_label": age_label(age)})

@@ -119,28 +119,3 @@ class Scratch:
 
     def __exit__(self, *_: object) -> None:
         self.drop(*list(self.paths))
-
-
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or folder on whatever file system holds it."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getContentSummary(location).getLength()
-
-
-def split_bytes(spark: SparkSession) -> int:
-    """Largest piece of a file one task reads."""
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
-
-
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet at `path`; a source below one split's size is dealt out to all cores.
-
-    A small file is often a single row group, hence a single task, however costly
-    the expressions on top. Larger sources split by themselves and are read as is.
-    """
-    df = spark.read.parquet(path)
-    if stored_bytes(spark, path) >= split_bytes(spark):
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)

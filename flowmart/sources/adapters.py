@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmart.operators.latest import latest_per_key
-from flowmart.session import read_spread
 
 _PLACES = """
     case {n} % 5 when 0 then 'Surrey, BC/Blaine, WA' when 1 then 'Windsor, ON/Detroit, MI'
@@ -87,13 +86,12 @@ select c_custkey as mmsi, c_name as ship_name,
        cast(c_custkey % 200 as int) as dim_a, cast(c_custkey % 90 as int) as dim_b,
        case when c_custkey % 10 = 0 then null else 12 end as dim_c, 14 as dim_d
 from {customer}
-where c_custkey % 3 <> 0
 """
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables."""
-    return read_spread(spark, f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def border_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +116,7 @@ def ais_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ship_static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Static records of all vessels."""
     return spark.sql(SHIP_STATIC_SQL, customer=table(spark, sf_dir, "customer")).withColumns(
         {
             "imo_number": F.lit(None).cast("bigint"),
@@ -126,3 +125,8 @@ def ship_static(spark: SparkSession, sf_dir: str) -> DataFrame:
             "max_draught": F.lit(None).cast("double"),
         }
     )
+
+
+def partial_ship_static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Static records that every third vessel lacks, for what is made of absent ones."""
+    return ship_static(spark, sf_dir).where("mmsi % 3 <> 0")

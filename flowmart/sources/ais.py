@@ -9,18 +9,20 @@ from flowmart.functions.text import strip_to_null
 from flowmart.functions.timez import eta_text, parse_message_time
 from flowmart.sources.ids import snapshot_id
 
+# Values are read as text, so a number that comes as text or a whole number that
+# comes as a fraction is no error; `_number` gives them their types.
 MESSAGE_SCHEMA = """
     MessageType string,
-    MetaData struct<MMSI: bigint, ShipName: string, latitude: double, longitude: double,
+    MetaData struct<MMSI: string, ShipName: string, latitude: string, longitude: string,
                     time_utc: string>,
     Message struct<
         PositionReport: struct<
-            Latitude: double, Longitude: double, Sog: double, Cog: double, TrueHeading: int,
-            NavigationalStatus: int>,
+            Latitude: string, Longitude: string, Sog: string, Cog: string, TrueHeading: string,
+            NavigationalStatus: string>,
         ShipStaticData: struct<
-            Name: string, Type: int, ImoNumber: bigint, CallSign: string, Destination: string,
-            Dimension: struct<A: int, B: int, C: int, D: int>,
-            Eta: map<string, int>, MaximumStaticDraught: double>>,
+            Name: string, Type: string, ImoNumber: string, CallSign: string, Destination: string,
+            Dimension: struct<A: string, B: string, C: string, D: string>,
+            Eta: map<string, string>, MaximumStaticDraught: string>>,
     _corrupt string
 """
 
@@ -61,16 +63,44 @@ def _with_arrival(lines: DataFrame) -> DataFrame:
     )
 
 
+def _number(text: Column, kind: str) -> Column:
+    """Text of a JSON number as `kind`; null if it is none, or a fraction where none fits."""
+    value = text.try_cast("double")
+    if kind == "double":
+        return value
+    whole = F.when(value == F.floor(value), text.try_cast("decimal(38,9)").try_cast(kind))
+    return F.coalesce(text.try_cast(kind), whole)
+
+
+def _parsed(lines: DataFrame) -> DataFrame:
+    """Messages and `reject`: why a line is left out, null if it isn't.
+
+    A line whose JSON cannot be read, or that is no object, is broken; one in
+    which some part has another form is kept with that part empty.
+    """
+    parsed = F.from_json(
+        "value", " ".join(MESSAGE_SCHEMA.split()), {"columnNameOfCorruptRecord": "_corrupt"}
+    )
+    rest = [c for c in lines.columns if c != "value"]
+    broken = F.col("_corrupt").isNotNull() & F.json_object_keys("value").isNull()
+    mmsi = _number(F.col("MetaData.MMSI"), "bigint")
+    return lines.select(*rest, "value", F.inline(F.array(parsed))).withColumn("mmsi", mmsi).withColumn(
+        "reject", F.when(broken, "broken").when(F.col("mmsi").isNull(), "no vessel number")
+    )
+
+
+def rejected_messages(lines: DataFrame) -> DataFrame:
+    """Lines that `decode_messages` leaves out, counted by `reject`."""
+    return _parsed(lines).where(F.col("reject").isNotNull()).groupBy("reject").agg(F.count("*").alias("lines"))
+
+
 def decode_messages(lines: DataFrame) -> DataFrame:
-    """Text to typed messages; broken JSON and missing vessel numbers drop.
+    """Text to messages; broken JSON and missing vessel numbers drop.
 
     All other columns of `lines` are kept. The parsed message passes through
     `inline`, which later filters and field reads cannot be pushed below; without
     it the optimizer would parse the text again for each of them.
     """
-    parsed = F.from_json(
-        "value", " ".join(MESSAGE_SCHEMA.split()), {"columnNameOfCorruptRecord": "_corrupt"}
-    )
     rest = [c for c in lines.columns if c != "value"]
     report = "Message.PositionReport"
     # An absent coordinate falls back to the metadata, a null one does not; the
@@ -78,13 +108,13 @@ def decode_messages(lines: DataFrame) -> DataFrame:
     lacks_value = F.col(f"{report}.Latitude").isNull() | F.col(f"{report}.Longitude").isNull()
     keys = F.json_object_keys(F.get_json_object("value", f"$.{report}"))
     return (
-        lines.select(*rest, "value", F.inline(F.array(parsed)))
-        .where(F.col("_corrupt").isNull() & F.col("MetaData.MMSI").isNotNull())
+        _parsed(lines)
+        .where(F.col("reject").isNull())
         .select(
             *rest,
             F.struct("MessageType", "MetaData", "Message").alias("msg"),
             F.when(lacks_value, keys).alias("report_keys"),
-            F.col("MetaData.MMSI").alias("mmsi"),
+            "mmsi",
         )
     )
 
@@ -92,7 +122,7 @@ def decode_messages(lines: DataFrame) -> DataFrame:
 def _coordinate(key: str) -> Column:
     given = F.coalesce(F.array_contains("report_keys", key), F.lit(False))
     fallback = F.when(~given, F.col(f"msg.MetaData.{key.lower()}"))
-    return F.coalesce(F.col(f"msg.Message.PositionReport.{key}"), fallback)
+    return _number(F.coalesce(F.col(f"msg.Message.PositionReport.{key}"), fallback), "double")
 
 
 def position_reports(messages: DataFrame) -> DataFrame:
@@ -115,10 +145,10 @@ def position_reports(messages: DataFrame) -> DataFrame:
             strip_to_null(F.col("msg.MetaData.ShipName")).alias("ship_name"),
             "latitude",
             "longitude",
-            F.col(f"{body}.Sog").alias("sog"),
-            F.col(f"{body}.Cog").alias("cog"),
-            F.col(f"{body}.TrueHeading").alias("true_heading"),
-            F.col(f"{body}.NavigationalStatus").alias("navigational_status"),
+            _number(F.col(f"{body}.Sog"), "double").alias("sog"),
+            _number(F.col(f"{body}.Cog"), "double").alias("cog"),
+            _number(F.col(f"{body}.TrueHeading"), "int").alias("true_heading"),
+            _number(F.col(f"{body}.NavigationalStatus"), "int").alias("navigational_status"),
             parse_message_time(F.col("msg.MetaData.time_utc")).alias("message_ts"),
         )
     )
@@ -132,13 +162,13 @@ def static_reports(messages: DataFrame) -> DataFrame:
         *rest,
         "mmsi",
         strip_to_null(F.col(f"{body}.Name")).alias("ship_name"),
-        F.col(f"{body}.Type").alias("ship_type"),
-        F.col(f"{body}.ImoNumber").alias("imo_number"),
+        _number(F.col(f"{body}.Type"), "int").alias("ship_type"),
+        _number(F.col(f"{body}.ImoNumber"), "bigint").alias("imo_number"),
         strip_to_null(F.col(f"{body}.CallSign")).alias("call_sign"),
         strip_to_null(F.col(f"{body}.Destination")).alias("destination"),
-        eta_text(F.col(f"{body}.Eta")).alias("eta_text"),
-        *[F.col(f"{body}.Dimension.{side}").alias(f"dim_{side.lower()}") for side in "ABCD"],
-        F.col(f"{body}.MaximumStaticDraught").alias("max_draught"),
+        eta_text(F.transform_values(f"{body}.Eta", lambda _, v: _number(v, "int"))).alias("eta_text"),
+        *[_number(F.col(f"{body}.Dimension.{side}"), "int").alias(f"dim_{side.lower()}") for side in "ABCD"],
+        _number(F.col(f"{body}.MaximumStaticDraught"), "double").alias("max_draught"),
     )
 
 

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import warnings
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flowmart.functions.text import strip_to_null
-from flowmart.operators.incremental import read_if_exists
-from flowmart.session import pin, split_bytes
-from flowmart.sources.files import landed_files, refuse_empty_files
+from flowmart.operators.incremental import replace_by_key, write_partitioned
+from flowmart.session import Scratch, pin
+from flowmart.sources.files import EmptyLoad, landed_files
 from flowmart.sources.ids import row_id
 from flowmart.sources.schemas import LEDGER
-
-# Few files, each possibly large.
-ROW_BITS = 30
+from flowmart.sources.tables import read_table_if_exists, replace_table
 
 # What the header of a usable file contains.
 HEADER_MARKERS = ("office", "location", "updated")
@@ -62,106 +60,120 @@ def pending_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
     return manifest.join(ledger.select("source_file"), "source_file", "left_anti")
 
 
-def _files_with_quoted_breaks(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Names of the files in which some line leaves a quote open."""
-    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
-    lines = spark.read.text(paths).where(quotes % 2 == 1)
-    # At most one name per listed file.
-    return {row[0] for row in lines.select("_metadata.file_name").distinct().collect()}
+def read_archive_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every line of the files with the start of its block and an id growing within it.
 
+    Lines, unlike records, can be found without reading a file from its start, so
+    a file of any size is read by as many tasks as it has blocks.
+    """
+    return spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        "value",
+        (F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("_odd"),
+    )
 
-def read_archive_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every CSV record of the files with its cell count and position.
 
-    A quoted cell may hold line breaks, and a file that is read with them in mind
-    cannot be split. Files beyond one split are therefore looked through first:
-    if no line leaves a quote open they are read by many tasks, a huge file too.
+def _placed_lines(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """Lines with their position in the file and whether a quote is open before them.
+
+    A line is inside a quoted cell if an odd number of quotes stands before it.
+    Counts per block, a few numbers per file, are added up in order; only blocks
+    with a line that leaves a quote open are then gone through line by line.
     """
-    limit = split_bytes(spark)
-    files = landed_files(spark, *paths)
-    large = [path for path, size in files if size > limit]
-    whole = [path for path, size in files if size <= limit]
-    if large:
-        broken = _files_with_quoted_breaks(spark, large)
-        whole += [path for path in large if basename_of(path) in broken]
-        large = [path for path in large if basename_of(path) not in broken]
-    parts = [_parse_csv(spark, whole, True)] if whole else []
-    parts += [_parse_csv(spark, large, False)] if large else []
-    return reduce(DataFrame.unionByName, parts)
+    blocks = lines.groupBy("_file", "_block").agg(
+        F.min("_id").alias("_first"), F.count("*").alias("_n"), F.sum("_odd").alias("_odds")
+    )
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = scratch.pin(
+        blocks.select(
+            "_file", "_block", "_first", "_odds",
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+            F.coalesce(F.sum("_odds").over(earlier), F.lit(0)).alias("_odds_before"),
+        ),
+        "blocks",
+    )
+    placed = lines.join(blocks, ["_file", "_block"]).withColumn(
+        "_position", F.col("_before") + F.col("_id") - F.col("_first")
+    )
+    inside = Window.partitionBy("_file", "_block").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    calm = placed.where("_odds = 0").withColumn("_open", F.col("_odds_before") % 2 == 1)
+    other = placed.where("_odds > 0").withColumn(
+        "_open", (F.col("_odds_before") + F.coalesce(F.sum("_odd").over(inside), F.lit(0))) % 2 == 1
+    )
+    return calm.unionByName(other).select("_file", "_position", "_open", "_odd", "value")
 
 
-def basename_of(path: str) -> str:
-    return path.rsplit("/", 1)[-1]
+def read_archive_records(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """CSV records with their position, cells and width; `lines` must be pinned.
 
+    Most records are one line. Lines of a quoted cell with line breaks are put
+    together first. Blank lines are no records.
+    """
+    placed = _placed_lines(lines, scratch)
+    single = placed.where(~F.col("_open") & (F.col("_odd") == 0)).select("_file", "_position", "value")
+    pieces = placed.where(F.col("_open") | (F.col("_odd") == 1))
+    in_file = Window.partitionBy("_file").orderBy("_position")
+    start = F.last(F.when(~F.col("_open"), F.col("_position")), ignorenulls=True).over(in_file)
+    joined = pieces.withColumn("_start", start).groupBy("_file", "_start").agg(
+        F.sort_array(F.collect_list(F.struct("_position", "value"))).alias("lines")
+    )
+    several = joined.select("_file", F.col("_start").alias("_position"), F.array_join("lines.value", "\n").alias("value"))
+    return _cells(single.unionByName(several).where(F.trim("value") != ""))
 
-def _parse_csv(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
-    """Records with the start of their block, an id growing within it, and width.
 
-    Short and long records land in the corrupt-record column; their cells are
-    counted from the text with quoted stretches removed.
-    """
+def _cells(records: DataFrame) -> DataFrame:
+    """Short and long records land in the corrupt-record column; their cells are
+    counted from the text with quoted stretches removed."""
     names = [f"c{i}" for i in range(len(ARCHIVE_COLUMNS))]
     spec = ", ".join(f"{name} string" for name in (*names, "_bad"))
-    parsed = spark.read.csv(
-        paths, schema=spec, header=False, multiLine=multi_line, quote='"', escape='"',
-        columnNameOfCorruptRecord="_bad",
-    )
+    text = F.regexp_replace("value", r"\A\x{FEFF}+", "")
+    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}
+    parsed = records.select("_file", "_position", F.inline(F.array(F.from_csv(text, spec, options))))
     unquoted = F.regexp_replace("_bad", r'"[^"]*"', "")
     width = F.when(F.col("_bad").isNull(), F.lit(len(names))).otherwise(
         F.size(F.split(unquoted, ",", -1))
     )
     return parsed.select(
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+        "_file",
+        "_position",
         width.alias("_width"),
         *[strip_to_null(F.col(c)).alias(target) for c, target in zip(names, ARCHIVE_COLUMNS)],
         F.when(width > len(names), F.lower("_bad")).alias("_long_text"),
     )
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Per file block its first record, first header-like one and the records before it."""
+def split_archive_rows(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Data rows of usable files, and one (_file, source_file, usable) row per file.
+
+    A file is usable if its very first record is a wait-time header. Files are
+    told apart by their whole path; `source_file` is the last part of it.
+    """
     texts = F.concat_ws("\n", *[F.lower(c) for c in ARCHIVE_COLUMNS], "_long_text")
     header_like = F.col("_width") >= len(ARCHIVE_COLUMNS)
     for marker in HEADER_MARKERS:
         header_like = header_like & texts.contains(marker)
-    blocks = rows.groupBy("source_file", "_block").agg(
-        F.min("_id").alias("_first"),
-        F.min(F.when(header_like, F.col("_id"))).alias("_header"),
-        F.count("*").alias("_n"),
+    files = rows.groupBy("_file").agg(
+        F.min("_position").alias("_header"),
+        F.coalesce(F.min_by(header_like, "_position"), F.lit(False)).alias("usable"),
     )
-    # One row per block, so a file is a handful of rows here.
-    earlier = Window.partitionBy("source_file").orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
+    files = scratch.pin(files.withColumn("source_file", basename(F.col("_file"))), "files")
+    data = rows.join(files.where("usable"), "_file").where(
+        (F.col("_position") > F.col("_header")) & (F.col("_width") >= len(ARCHIVE_COLUMNS))
     )
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    return blocks.select("source_file", "_block", "_first", "_header", before)
-
-
-def split_archive_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Data rows of usable files, and one (source_file, usable) row per file.
-
-    A file is usable if its very first record is a wait-time header. `rows` must
-    be pinned: ids are read twice and have to agree.
-    """
-    blocks = pin(_blocks(rows), "blocks")
-    files = blocks.where("_block = 0").select(
-        "source_file", F.col("_header").eqNullSafe(F.col("_first")).alias("usable")
-    )
-    starts = blocks.join(files.where("usable").select("source_file"), "source_file").drop("_header")
-    is_header = (F.col("_block") == 0) & (F.col("_id") == F.col("_first"))
-    data = rows.join(starts, ["source_file", "_block"]).where(
-        ~is_header & (F.col("_width") >= len(ARCHIVE_COLUMNS))
-    )
-    position = F.col("_before") + F.col("_id") - F.col("_first")
     raw = data.select(
-        row_id(F.col("source_file"), position, ROW_BITS).alias("historical_id"),
+        row_id(F.col("_file"), F.col("_position")).alias("historical_id"),
         "source_file",
         *ARCHIVE_COLUMNS,
         F.current_timestamp().alias("ingested_at"),
     )
-    return raw, files
+    return raw, files.select("_file", "source_file", "usable")
+
+
+def _archive_rows(spark: SparkSession, paths: list[str], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    lines = scratch.pin(read_archive_lines(spark, paths), "lines")
+    return split_archive_rows(scratch.pin(read_archive_records(lines, scratch), "records"), scratch)
 
 
 def load_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -169,14 +181,18 @@ def load_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     Rows without an office are kept apart by `archive_quarantine`.
     """
-    raw, _ = split_archive_rows(pin(read_archive_rows(spark, paths), "archive"))
-    return raw.where(F.col("customs_office").isNotNull())
+    return _loaded(spark, paths, F.col("customs_office").isNotNull())
 
 
 def archive_quarantine(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rows `load_archive` leaves out because the office cell is empty."""
-    raw, _ = split_archive_rows(pin(read_archive_rows(spark, paths), "archive"))
-    return raw.where(F.col("customs_office").isNull())
+    return _loaded(spark, paths, F.col("customs_office").isNull())
+
+
+def _loaded(spark: SparkSession, paths: list[str], wanted: Column) -> DataFrame:
+    with Scratch(spark) as scratch:
+        raw, _ = _archive_rows(spark, paths, scratch)
+        return pin(raw.where(wanted), "archive")
 
 
 def backfill(spark: SparkSession, manifest: DataFrame, table_path: str, ledger_path: str) -> DataFrame:
@@ -184,36 +200,51 @@ def backfill(spark: SparkSession, manifest: DataFrame, table_path: str, ledger_p
 
     Data goes to one partition per `source_file`, the ledger row follows, so a
     crash in between leaves partitions the next run overwrites. Files of another
-    schema are not recorded and are looked at again. An empty file stops the run.
+    schema are not recorded, are named in a warning, and are looked at again.
+    Empty files fail the run when the others are loaded and recorded; two pending
+    files of one name fail it before anything is loaded.
     """
-    ledger = read_if_exists(spark, ledger_path)
+    ledger = read_table_if_exists(spark, ledger_path)
     if ledger is None:
         ledger = spark.createDataFrame([], LEDGER)
+    pending = pending_files(manifest, ledger)
+    double = pending.groupBy("source_file").count().where("count > 1").first()
+    if double is not None:
+        raise ValueError(f"{double['count']} pending files are called {double.source_file}")
     # The list of files to scan, which any Spark read keeps on the driver.
-    paths = [row.url for row in pending_files(manifest, ledger).select("url").collect()]
+    paths = [row.url for row in pending.select("url").collect()]
     if not paths:
         return spark.createDataFrame([], LEDGER)
-    refuse_empty_files(spark, *paths)
-    raw, files = split_archive_rows(pin(read_archive_rows(spark, paths), "archive"))
-    (
-        raw.where(F.col("customs_office").isNotNull())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_file")
-        .parquet(table_path)
-    )
-    counts = raw.where(F.col("customs_office").isNotNull()).groupBy("source_file").agg(
-        F.count("*").alias("row_count")
-    )
-    loaded = pin(
-        files.where("usable")
-        .join(counts, "source_file", "left")
-        .select(
-            "source_file",
-            F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
-            F.current_timestamp().alias("loaded_at"),
-        ),
-        "ledger",
-    )
-    loaded.write.mode("append").parquet(ledger_path)
+    landed = landed_files(spark, *paths)
+    empty = sorted(row.path for row in landed.where("bytes = 0").collect())
+    full = [row.path for row in landed.where("bytes > 0").select("path").collect()]
+    loaded = _backfilled(spark, full, table_path, ledger_path, ledger) if full else spark.createDataFrame([], LEDGER)
+    if empty:
+        raise EmptyLoad(f"{empty[0]} is empty" + (f", {len(empty) - 1} more are" if empty[1:] else ""))
     return loaded
+
+
+def _backfilled(
+    spark: SparkSession, paths: list[str], table_path: str, ledger_path: str, ledger: DataFrame
+) -> DataFrame:
+    with Scratch(spark) as scratch:
+        raw, files = _archive_rows(spark, paths, scratch)
+        kept = raw.where(F.col("customs_office").isNotNull())
+        write_partitioned(kept, table_path, "source_file", "overwrite")
+        counts = kept.groupBy("source_file").agg(F.count("*").alias("row_count"))
+        loaded = pin(
+            files.where("usable")
+            .join(counts, "source_file", "left")
+            .select(
+                "source_file",
+                F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
+                F.current_timestamp().alias("loaded_at"),
+            ),
+            "ledger",
+        )
+        replace_table(replace_by_key(ledger, loaded, ["source_file"]), ledger_path)
+        skipped = [row.source_file for row in files.where("not usable").select("source_file").limit(6).collect()]
+        if skipped:
+            more = "" if len(skipped) < 6 else " and more"
+            warnings.warn(f"files of another schema were skipped: {', '.join(skipped[:5])}{more}", stacklevel=3)
+        return loaded

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from flowmart.functions.text import strip_space
-from flowmart.sources.files import EmptyLoad, refuse_empty_files
+from flowmart.operators.incremental import read_if_exists, write_replacing
+from flowmart.session import Scratch
+from flowmart.sources.files import EmptyLoad, landed_files, refuse_empty_files
 from flowmart.sources.ids import row_id
+from flowmart.sources.schemas import FEED_LEDGER
 
 # The shape of the feed.
 DELIMITER = ";;"
@@ -21,9 +24,6 @@ FEED_COLUMNS = (
     "travellers_us_bound",
 )
 
-# Many files of a few lines each.
-ROW_BITS = 18
-
 _LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
@@ -86,7 +86,7 @@ def parse_feed(lines: DataFrame, fetched_at: Column | None = None) -> DataFrame:
     """
     stamp = F.col("landed_at") if fetched_at is None else fetched_at
     return lines.where(~F.col("malformed")).select(
-        row_id(F.col("source_file"), F.col("line_no"), ROW_BITS).alias("observation_id"),
+        row_id(F.col("source_file"), F.col("line_no")).alias("observation_id"),
         stamp.cast("timestamp").alias("fetched_at"),
         *[F.col("cells")[i].alias(name) for i, name in enumerate(FEED_COLUMNS)],
         F.current_timestamp().alias("ingested_at"),
@@ -97,27 +97,47 @@ def load_border_feed(
     spark: SparkSession, *paths: str, strict: bool = True, fetched_at: Column | None = None
 ) -> DataFrame:
     """Raw border rows of landed feed files (S1); an empty file is an error."""
-    refuse_empty_files(spark, *paths)
+    refuse_empty_files(landed_files(spark, *paths))
     return parse_feed(feed_lines(read_feed_files(spark, *paths), strict), fetched_at)
 
 
 def append_fetch(
-    spark: SparkSession, table_path: str, *paths: str, fetched_at: Column | None = None
+    spark: SparkSession,
+    table_path: str,
+    ledger_path: str,
+    *paths: str,
+    fetched_at: Column | None = None,
 ) -> dict[str, int]:
-    """Parse landed files and append them; an empty file or zero rows is an error.
+    """Store landed files that are not stored yet, by day.
 
-    Returns the number of rows written and of malformed lines skipped, both
-    counted during the write.
+    The ledger names the files that are; a file is told by its path and landing
+    time. Rows are parsed and counted before anything is written: an empty file,
+    or new files without a row, are an error that leaves no trace (Q8). A load
+    that broke off before its ledger rows replaces its own rows when repeated.
+    Returns the numbers of rows written and of malformed lines skipped.
     """
-    refuse_empty_files(spark, *paths)
-    seen = Observation("feed")
-    lines = feed_lines(read_feed_files(spark, *paths)).observe(
-        seen,
-        F.count_if(~F.col("malformed")).alias("rows"),
-        F.count_if("malformed").alias("malformed"),
-    )
-    parse_feed(lines, fetched_at).write.mode("append").parquet(table_path)
-    counts = seen.get
-    if not counts["rows"]:
-        raise EmptyLoad("no border rows in the landed files")
+    landed = landed_files(spark, *paths)
+    ledger = read_if_exists(spark, ledger_path)
+    known = spark.createDataFrame([], FEED_LEDGER) if ledger is None else ledger
+    fresh = landed.join(known, ["path", "landed_at"], "left_anti")
+    refuse_empty_files(fresh)
+    # The list of files to scan, which any Spark read keeps on the driver.
+    new = [row.path for row in fresh.select("path").collect()]
+    if not new:
+        return {"rows": 0, "malformed": 0}
+    with Scratch(spark) as scratch:
+        seen = Observation("feed")
+        lines = feed_lines(read_feed_files(spark, *new)).observe(
+            seen,
+            F.count_if(~F.col("malformed")).alias("rows"),
+            F.count_if("malformed").alias("malformed"),
+        )
+        rows = parse_feed(lines, fetched_at).withColumn("day", F.to_date("fetched_at"))
+        rows = scratch.pin(rows, "feed")
+        counts = seen.get
+        if not counts["rows"]:
+            raise EmptyLoad("no border rows in the landed files")
+        write_replacing(table_path, rows, ["observation_id"], "day")
+        loaded = scratch.pin(fresh.select("path", "landed_at", F.current_timestamp().alias("loaded_at")), "files")
+        loaded.write.mode("append").parquet(ledger_path)
     return counts

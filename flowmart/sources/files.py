@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 class EmptyLoad(RuntimeError):
     """A load that would have written no rows."""
 
 
-def landed_files(spark: SparkSession, *paths: str) -> list[tuple[str, int]]:
-    """(path, bytes) of each file and of each file below a folder.
+def landed_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, bytes, landed_at) of each file and of each file below a folder.
 
-    Names starting with `_` or `.` are not data.
+    Spark lists them, in tasks where they are many; their content is not read.
+    Names starting with `_` or `.` are not data. A scan leaves files without
+    bytes out, so these are taken from the listing, which Spark's driver holds.
     """
-    found = []
-    for path in paths:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        listing = location.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(location, True)
-        while listing.hasNext():
-            status = listing.next()
-            if not status.getPath().getName().startswith(("_", ".")):
-                found.append((status.getPath().toString(), status.getLen()))
-    return found
-
-
-def refuse_empty_files(spark: SparkSession, *paths: str) -> None:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "name string")
+    plain = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
+    listed = listed.select(F.regexp_replace(plain, "^([a-z0-9]+):/+(?=[^/])", "$1:/").alias("_key"), plain.alias("_path"))
+    full = files.select(
+        "path", F.regexp_replace("path", "^([a-z0-9]+):/+(?=[^/])", "$1:/").alias("_key"), "length", "modificationTime"
+    )
+    return listed.join(full, "_key", "left").select(
+        F.coalesce("path", "_path").alias("path"),
+        F.coalesce("length", F.lit(0).cast("bigint")).alias("bytes"),
+        F.col("modificationTime").alias("landed_at"),
+    )
+
+
+def refuse_empty_files(files: DataFrame) -> None:
     """Fail when a landed file has no bytes; a scan would skip it without a word."""
-    for path, size in landed_files(spark, *paths):
-        if size == 0:
-            raise EmptyLoad(f"{path} is empty")
+    empty = files.where("bytes = 0").first()
+    if empty is not None:
+        raise EmptyLoad(f"{empty.path} is empty")

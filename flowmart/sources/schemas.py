@@ -1,29 +1,8 @@
-"""Explicit schemas of the raw layer, as DDL text."""
+"""Schemas of the ledgers, as DDL text."""
 
 from __future__ import annotations
 
 
-BORDER_RAW = """
-    observation_id bigint, fetched_at timestamp, customs_office string, location string,
-    last_updated_text string, commercial_canada_bound string, commercial_us_bound string,
-    travellers_canada_bound string, travellers_us_bound string, ingested_at timestamp
-"""
-
-ARCHIVE_RAW = """
-    historical_id bigint, source_file string, customs_office string, location string,
-    updated_text string, commercial_flow string, travellers_flow string, ingested_at timestamp
-"""
+FEED_LEDGER = "path string, landed_at timestamp, loaded_at timestamp"
 
 LEDGER = "source_file string, row_count bigint, loaded_at timestamp"
-
-AIS_POSITIONS = """
-    snapshot_id bigint, snapshot_ts timestamp, region string, mmsi bigint, ship_name string,
-    latitude double, longitude double, sog double, cog double, true_heading int,
-    navigational_status int, message_ts timestamp, ingested_at timestamp
-"""
-
-SHIP_STATIC = """
-    mmsi bigint, ship_name string, ship_type int, imo_number bigint, call_sign string,
-    destination string, eta_text string, dim_a int, dim_b int, dim_c int, dim_d int,
-    max_draught double, first_seen_at timestamp, last_seen_at timestamp
-"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmart.operators.incremental import newest_partition, read_if_exists
+from flowmart.operators.incremental import newest_of_each, newest_partition, read_if_exists
 
 # The layers of the warehouse and how each is materialised.
 LAYERS = {
@@ -19,9 +21,57 @@ def read_source(spark: SparkSession, fmt: str, path: str | None = None, **option
     return spark.read.format(fmt).options(**options).load(path)
 
 
+# Names the folder below a table's path that holds its rows.
+POINTER = "_current"
+
+
+def _files(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Folder of a table's present rows: the one it points to, or the path itself."""
+    files, pointer = _files(spark, f"{path}/{POINTER}")
+    if not files.exists(pointer):
+        return path
+    stream = files.open(pointer)
+    try:
+        return f"{path}/{spark._jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8')}"
+    finally:
+        stream.close()
+
+
+def read_table_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """Present rows of a table, or None before its first write."""
+    return read_if_exists(spark, current_path(spark, path))
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Truncate and reload."""
-    df.write.mode("overwrite").parquet(path)
+    """Truncate and reload.
+
+    The rows go to a folder of their own; then the pointer is replaced in one
+    step. Until that the old rows are read, also after a crash. The version
+    before the new one stays for readers that have begun.
+    """
+    spark = df.sparkSession
+    before = current_path(spark, path)
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    files, fresh = _files(spark, f"{path}/{POINTER}-{version}")
+    stream = files.create(fresh, True)
+    stream.write(version.encode())
+    stream.close()
+    _, pointer = _files(spark, f"{path}/{POINTER}")
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark._jsc.hadoopConfiguration())
+    kind = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    context.rename(files.makeQualified(fresh), files.makeQualified(pointer), how)
+    for status in files.listStatus(spark._jvm.org.apache.hadoop.fs.Path(path)):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in (version, before.rsplit("/", 1)[-1]):
+            files.delete(status.getPath(), True)
 
 
 class Warehouse:
@@ -37,15 +87,22 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        return self.spark.read.parquet(current_path(self.spark, self.path(layer, name)))
 
     def find(self, layer: str, name: str) -> DataFrame | None:
-        return read_if_exists(self.spark, self.path(layer, name))
+        return read_table_if_exists(self.spark, self.path(layer, name))
 
     def newest(self, layer: str, name: str, partition: str = "day") -> DataFrame | None:
         """Newest partition of a table, enough for marks and freshness."""
         return newest_partition(self.spark, self.path(layer, name), partition)
 
+    def newest_of_each(self, layer: str, name: str, column: str, values, partition: str = "day") -> DataFrame | None:
+        """Newest partitions that together hold every listed value, for readings per group."""
+        return newest_of_each(self.spark, self.path(layer, name), partition, column, values)
+
     def replace(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Reload a table; rows of an append-only layer are never replaced as a whole."""
+        if LAYERS[layer] == "append":
+            raise ValueError(f"{layer} is append-only")
         replace_table(df, self.path(layer, name))
         return self.read(layer, name)

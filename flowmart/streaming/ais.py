@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmart.functions.vessel import is_stationary
-from flowmart.operators.incremental import merge_attributes, read_if_exists
 from flowmart.operators.latest import latest_per_key
 from flowmart.plans.marts import congestion_measures, finish_congestion, with_vessel_category
+from flowmart.session import discard, pin
 from flowmart.sources.ais import STATIC_ATTRIBUTES
 
 WINDOW = "15 minutes"
@@ -58,39 +59,91 @@ def port_congestion(latest: DataFrame, vessels: DataFrame, window: str = WINDOW)
     return finish_congestion(grouped)
 
 
+# Windows this far behind the newest one no longer get records that compete inside them.
+OPEN_FOR = timedelta(days=1)
+VERSIONS_KEPT = 2
+
+
+def _records(batch: DataFrame, window: str, order: Sequence[str]) -> DataFrame:
+    """Last record per vessel and window; each attribute with the window it was seen in."""
+    newest = latest_per_key(batch.withColumn("_window", F.col(window)), ["mmsi", "_window"], order)
+    return newest.select(
+        "mmsi",
+        "_window",
+        F.struct(*order).alias("_order"),
+        *[
+            F.struct(F.col(c).alias("value"), F.when(F.col(c).isNotNull(), F.col("_window")).alias("at")).alias(c)
+            for c in STATIC_ATTRIBUTES
+        ],
+        F.col("_window").alias("first_seen_at"),
+        F.col("_window").alias("last_seen_at"),
+    )
+
+
+def _folded(rows: DataFrame) -> DataFrame:
+    """One row per vessel: of each attribute the value seen last."""
+    return rows.groupBy("mmsi").agg(
+        *[F.max_by(c, F.col(f"{c}.at")).alias(c) for c in STATIC_ATTRIBUTES],
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+    )
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """Stored and new rows together: open windows keep their records, older ones are folded.
+
+    Neither the order in which records arrive nor how they are cut into batches
+    changes the outcome, and merging the same records again changes nothing.
+    """
+    newest = rows.select(F.max("_window")).scalar()
+    is_open = F.coalesce(F.col("_window") > newest - F.lit(OPEN_FOR), F.lit(False))
+    records = latest_per_key(rows.where(is_open), ["mmsi", "_window"], ["_order"])
+    closed = latest_per_key(rows.where(~is_open & F.col("_window").isNotNull()), ["mmsi", "_window"], ["_order"])
+    folded = _folded(closed.unionByName(rows.where(F.col("_window").isNull())))
+    return records.unionByName(folded, allowMissingColumns=True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions, newest first."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(location):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(location)]
+    numbers = [int(name.removeprefix("version=")) for name in names if name.startswith("version=")]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted((n for n in numbers if files.exists(done(f"{path}/version={n}/_SUCCESS"))), reverse=True)
+
+
 def static_state(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest version of the vessel attributes kept by `static_merger`."""
-    versions = read_if_exists(spark, path)
-    if versions is None:
+    """Vessel attributes of the newest version kept by `static_merger`."""
+    versions = _versions(spark, path)
+    if not versions:
         return None
-    newest = versions.agg(F.max("batch")).first()[0]
-    return versions.where(F.col("batch") == newest).drop("batch")
+    rows = _folded(spark.read.parquet(f"{path}/version={versions[0]}"))
+    return rows.select(
+        "mmsi", *[F.col(f"{c}.value").alias(c) for c in STATIC_ATTRIBUTES], "first_seen_at", "last_seen_at"
+    )
 
 
-def static_merger(path: str, seen_at: str, order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` function for the null-preserving vessel upsert.
+def static_merger(path: str, window: str, order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` function for the null-preserving vessel upsert.
 
-    Each micro-batch writes one version of the state to `batch=<id>`, merged from
-    the newest earlier version; running a batch again rewrites the same version.
+    Of the records of one vessel in one `window` the last by `order` counts;
+    across windows a later value wins and a null keeps the earlier one. Each
+    batch writes a version merged from the newest complete one, whatever its
+    number, and the last versions are kept for readers.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
+    def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        newest = latest_per_key(batch, ["mmsi"], order)
-        versions = read_if_exists(spark, path)
-        earlier = None
-        if versions is not None:
-            earlier = versions.where(F.col("batch") < batch_id).agg(F.max("batch")).first()[0]
-        if earlier is None:
-            state = newest.select(
-                "mmsi",
-                *STATIC_ATTRIBUTES,
-                F.col(seen_at).alias("first_seen_at"),
-                F.col(seen_at).alias("last_seen_at"),
-            )
-        else:
-            current = spark.read.parquet(f"{path}/batch={earlier}")
-            state = merge_attributes(current, newest, "mmsi", STATIC_ATTRIBUTES, seen_at)
-        state.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows = _records(batch, window, order)
+        versions = _versions(spark, path)
+        if versions:
+            rows = spark.read.parquet(f"{path}/version={versions[0]}").unionByName(rows)
+        rows = pin(rows, "static-rows")
+        number = versions[0] + 1 if versions else 0
+        _merged(rows).write.mode("overwrite").parquet(f"{path}/version={number}")
+        discard(spark, *[f"{path}/version={n}" for n in versions[VERSIONS_KEPT - 1 :]])
 
     return merge

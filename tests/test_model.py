@@ -55,7 +55,8 @@ def test_training_run(spark, small, history, split):
     metrics, grid = model.train_and_score(history, live, 3, 1999, 2000)
     metrics, grid = pin(metrics, "metrics"), pin(grid, "grid")
     found = {(r.evaluation, r.metric): r for r in metrics.collect()}
-    assert {m for e, m in found if e == model.HOLDOUT} == {
+    holdout = model.holdout_name(2000)
+    assert {m for e, m in found if e == holdout} == {
         "stage1_roc_auc", "stage1_pr_auc", "stage1_brier", "model_mae_minutes",
         "baseline_mae_minutes", "delayed_share", "improvement_over_baseline_pct",
     }
@@ -63,18 +64,19 @@ def test_training_run(spark, small, history, split):
         "model_mae_minutes", "baseline_mae_minutes", "delayed_share",
     }
     _, test = split
-    assert found[(model.HOLDOUT, "stage1_roc_auc")].n_rows == test.agg(F.sum("n")).first()[0]
-    assert 0 <= found[(model.HOLDOUT, "stage1_roc_auc")].value <= 1
-    base = found[(model.HOLDOUT, "baseline_mae_minutes")].value
-    mae = found[(model.HOLDOUT, "model_mae_minutes")].value
-    gain = found[(model.HOLDOUT, "improvement_over_baseline_pct")].value
+    assert found[(holdout, "stage1_roc_auc")].n_rows == test.agg(F.sum("n")).first()[0]
+    assert 0 <= found[(holdout, "stage1_roc_auc")].value <= 1
+    base = found[(holdout, "baseline_mae_minutes")].value
+    mae = found[(holdout, "model_mae_minutes")].value
+    gain = found[(holdout, "improvement_over_baseline_pct")].value
     assert gain == pytest.approx((base - mae) / base * 100)
     crossings = grid.select("crossing_name").distinct().count()
     assert grid.count() == crossings * 168
     assert grid.where("delay_probability not between 0 and 1 or expected_delay_minutes < 0").count() == 0
     assert serving.peak_hour(grid).count() == crossings * 7
-    summary = serving.model_summary(metrics, model.HOLDOUT, model.LIVE).first()
+    summary = serving.model_summary(metrics, holdout, model.LIVE, F.current_timestamp()).first()
     assert summary.gain_pct == pytest.approx(gain)
+    assert summary.retrained_at is not None and summary.age_label.endswith("min old")
 
 
 def test_learns_a_clear_pattern(spark):
@@ -91,6 +93,36 @@ def test_learns_a_clear_pattern(spark):
     assert by_hour[20].expected_delay_minutes > 10 * by_hour[3].expected_delay_minutes
 
 
+def test_beats_the_constant_predictor_on_held_out_rows(spark):
+    import random
+
+    rnd = random.Random(6)
+
+    def readings(count):
+        out = []
+        for _ in range(count):
+            hour, day = rnd.randrange(24), rnd.randrange(7)
+            delayed = rnd.random() < (0.8 if 7 <= hour < 11 else 0.15)
+            out.append(("A", hour, day, 7, rnd.randint(20, 60) if delayed else 0, 1))
+        return spark.createDataFrame(
+            out, "crossing_name string, hour_of_day int, day_of_week int, month_of_year int, "
+                 "delay_minutes int, n bigint")
+
+    train, test = pin(readings(3000), "train"), pin(readings(1000), "test")
+    scored = model.fit_hurdle(train, rounds=15, depth=3).predict(test)
+    share = train.agg(F.avg((F.col("delay_minutes") > 0).cast("double"))).first()[0]
+    mean = train.agg(F.avg("delay_minutes")).first()[0]
+    late = (F.col("delay_minutes") > 0).cast("double")
+    row = scored.agg(
+        F.avg((F.col("delay_probability") - late) ** 2).alias("brier"),
+        F.avg((F.lit(share) - late) ** 2).alias("constant_brier"),
+        F.avg(F.abs(F.col("expected_delay_minutes") - F.col("delay_minutes"))).alias("mae"),
+        F.avg(F.abs(F.lit(mean) - F.col("delay_minutes"))).alias("constant_mae"),
+    ).first()
+    assert row.brier < 0.85 * row.constant_brier
+    assert row.mae < 0.95 * row.constant_mae
+
+
 def test_drift_needs_enough_rows(spark):
     scored = spark.createDataFrame([(5, 4.0, 49)], "delay_minutes int, baseline double, n bigint")
     assert model.drift_metrics(scored).count() == 0

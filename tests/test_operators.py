@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowmart.operators import incremental, latest, lookup, metrics, prefix, quality
 from flowmart.session import scratch_path
+from flowmart.sources import tables
 
 QUICK = settings(
     max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -198,3 +199,54 @@ def test_freshness_levels(spark):
         df = spark.createDataFrame([(datetime(2026, 1, 2) - timedelta(hours=hours),)], "t timestamp")
         assert quality.source_freshness(df, "s", "t", as_of).first().status == status
     assert quality.source_freshness(df.where("t is null"), "s", "t", as_of).first().status == "error"
+
+
+def test_null_predictions_have_no_weight(spark):
+    rows = spark.createDataFrame([(10.0, 12.0, 1), (None, 30.0, 1)], "p double, y double, n int")
+    error = metrics.mean_absolute_error(F.col("p"), F.col("y"), F.col("n"))
+    assert rows.agg(error).first()[0] == 2.0
+
+
+def test_rows_without_a_day_do_not_reset_the_mark(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [(1, "2026-01-01 10:00:00"), (2, None), (3, "2026-01-02 10:00:00")]
+    table = spark.createDataFrame(rows, "id int, t string").select("id", F.col("t").cast("timestamp").alias("t"))
+    with_day = table.withColumn("day", F.to_date("t"))
+    incremental.write_partitioned(with_day, path, "day")
+    newest = incremental.newest_partition(spark, path, "day")
+    assert [r.id for r in newest.collect()] == [3]
+    assert incremental.newer_than(table, newest, "t").count() == 0
+    assert incremental.newer_than(table, None, "t").count() == 2
+    assert [r.id for r in incremental.without_time(table, "t").collect()] == [2]
+
+
+def test_a_key_must_not_move_to_another_day(spark, tmp_path):
+    path = str(tmp_path / "table")
+    frame = lambda *rows: spark.createDataFrame(rows, "id int, day string")
+    incremental.write_replacing(path, frame((1, "a"), (2, "a")), ["id"], "day")
+    with pytest.raises(ValueError, match="another day"):
+        incremental.write_replacing(path, frame((2, "b")), ["id"], "day")
+    incremental.write_replacing(path, frame((2, "a"), (3, "b")), ["id"], "day")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_newest_of_each_opens_old_folders_only_where_needed(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [("a", 1, "d1"), ("b", 2, "d1"), ("a", 3, "d2"), ("b", 4, "d0"), ("a", 5, "d3")]
+    spark.createDataFrame(rows, "region string, v int, day string").write.partitionBy("day").parquet(path)
+    found = incremental.newest_of_each(spark, path, "day", "region", ["a", "b"])
+    assert sorted(r.day for r in found.collect()) == ["d1", "d1", "d3"]
+
+
+def test_replacing_a_table_keeps_the_old_rows_until_the_end(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert tables.read_table_if_exists(spark, path) is None
+    tables.replace_table(spark.range(3), path)
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_table(broken, path)
+    assert tables.read_table_if_exists(spark, path).count() == 3
+    for n in (4, 5, 6):
+        tables.replace_table(spark.range(n), path)
+    assert tables.read_table_if_exists(spark, path).count() == 6
+    assert len([p for p in (tmp_path / "table").iterdir() if p.name.startswith("version-")]) <= 2

@@ -7,8 +7,9 @@ import pytest
 import __spark_entry__ as contract_entry
 from compare import connect, difference
 
-QUERIES = contract_entry.queries()
-ORACLES = contract_entry.oracle_sql()
+from contract.oracles import ORACLES
+from contract.queries import REGISTRY as QUERIES
+
 # Tree models have no SQL form; tests/test_model.py covers them.
 TREES = {"prediction_grid", "hurdle_holdout_metrics", "model_summary"}
 

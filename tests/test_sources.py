@@ -71,6 +71,25 @@ def test_append_fetch(spark, tmp_path):
     with pytest.raises(EmptyLoad, match="is empty"):
         collect.collect_border(house, land(tmp_path / "void", "e.csv", ""), fetched_at=at)
     assert house.read("raw", "border_raw").count() == 1
+    assert collect.collect_border(house, path, fetched_at=at) == {"rows": 0, "malformed": 0}
+
+
+def test_collecting_a_growing_folder(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    folder = tmp_path / "feed"
+    with pytest.raises(EmptyLoad):
+        collect.collect_border(house, land(tmp_path / "none", "h.csv", HEADER))
+    assert house.find("raw", "border_raw") is None
+    land(folder, "one.csv", HEADER + GOOD)
+    assert collect.collect_border(house, str(folder))["rows"] == 1
+    land(folder, "two.csv", HEADER + GOOD + "\n" + GOOD)
+    assert collect.collect_border(house, str(folder))["rows"] == 2
+    assert collect.collect_border(house, str(folder))["rows"] == 0
+    stored = house.read("raw", "border_raw")
+    assert stored.count() == stored.select("observation_id").distinct().count() == 3
+    assert stored.where("day = to_date(fetched_at)").count() == 3
+    warehouse.build_border(house, stored.drop("day"))
+    warehouse.check_marts(house)
 
 
 # --- archive -----------------------------------------------------------------
@@ -124,12 +143,10 @@ def test_large_files_are_split_with_the_same_result(spark, tmp_path):
         split = archive.load_archive(spark, paths)
         assert archive_rows(split) == whole and len(whole) == 203
         assert {r[0] for r in split.select("historical_id").collect()} == ids and len(ids) == 203
-        blocks = archive.read_archive_rows(spark, paths).groupBy("source_file").agg(
+        blocks = archive.read_archive_lines(spark, paths).groupBy("_file").agg(
             F.count_distinct("_block").alias("n")
         )
-        assert {r.source_file: r.n > 1 for r in blocks.collect()} == {
-            "big.csv": True, "odd.csv": False, "std.csv": True,
-        }
+        assert {r._file.rsplit("/", 1)[-1] for r in blocks.where("n > 1").collect()} == {"big.csv", "std.csv"}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -170,8 +187,41 @@ def test_backfill_records_files_once(spark, tmp_path):
     assert [(r.source_file, r.row_count) for r in second.collect()] == [("six-2017.csv", 2)]
     assert spark.read.parquet(table).count() == 5
     land(folder, "void-2018.csv", "")
+    land(folder, "more-2019.csv", ARCHIVE)
+    with pytest.raises(EmptyLoad, match="void-2018.csv is empty"), pytest.warns(UserWarning, match="std-2016.csv"):
+        archive.backfill(spark, manifest(), table, ledger)
+    assert spark.read.parquet(table).count() == 8
     with pytest.raises(EmptyLoad):
         archive.backfill(spark, manifest(), table, ledger)
+    assert spark.read.parquet(table).count() == 8
+    land(folder / "again", "new-2020.csv", ARCHIVE)
+    twice = [(str(folder / "again" / "new-2020.csv"),), (str(folder / "new-2020.csv"),)]
+    with pytest.raises(ValueError, match="2 pending files are called new-2020.csv"):
+        archive.backfill(spark, archive.archive_manifest(spark.createDataFrame(twice, "url string")), table, ledger)
+
+
+def test_files_of_one_name_are_kept_apart(spark, tmp_path):
+    paths = [land(tmp_path / part, "bwt-2016.csv", ARCHIVE) for part in ("a", "b")]
+    got = archive.load_archive(spark, paths)
+    assert got.count() == 6
+    assert got.select("historical_id").distinct().count() == 6
+    assert "Customs Office" not in {r.customs_office for r in got.collect()}
+
+
+def test_quoted_line_breaks_across_blocks(spark, tmp_path):
+    head = "Customs Office,Location,Updated,Commercial Flow,Travellers Flow\n"
+    body = "".join(
+        f'"Office\n{i}, ""x""\n",l,u,"two\n\nlines",{i}\n' if i % 3 else f"Office {i},l,u,c,{i}\n\n" for i in range(60)
+    )
+    path = land(tmp_path, "q.csv", head + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        rows = {r.travellers_flow: r for r in archive.load_archive(spark, [path]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert set(rows) == {str(i) for i in range(60)}
+    assert rows["4"].customs_office == 'Office\n4, "x"' and rows["4"].commercial_flow == "two\n\nlines"
+    assert rows["3"].customs_office == "Office 3"
 
 
 def test_backfill_overwrites_a_half_loaded_file(spark, tmp_path):
@@ -264,6 +314,38 @@ def test_collect_vessels(spark, tmp_path):
     }
 
 
+def test_loosely_typed_messages_are_kept(spark):
+    loose = [
+        position('"3"', SPOT + ',"TrueHeading":90.0,"NavigationalStatus":"1"'),
+        position("4.0", '"Latitude":"49.29","Longitude":"-123.1","Sog":"x","TrueHeading":90.5'),
+        position(5, SPOT + ',"Sog":{"a":1}'),
+        '{"MessageType":"PositionReport","MetaData":{"MMSI":6},"Message":{"PositionReport":{"Latitude":49.29,"Longitude":-123.1',
+        position("null", SPOT),
+        "[1]",
+        static(7, '"Type":"71","Dimension":{"A":20.0},"Eta":{"Month":"6","Day":17.0}'),
+    ]
+    messages = ais.decode_messages(lines(spark, loose))
+    got = {r.mmsi: r for r in ais.position_reports(messages).collect()}
+    assert set(got) == {3, 4, 5}
+    assert (got[3].true_heading, got[3].navigational_status) == (90, 1)
+    assert (got[4].latitude, got[4].sog, got[4].true_heading) == (49.29, None, None)
+    row = ais.static_reports(messages).first()
+    assert (row.ship_type, row.dim_a, row.eta_text) == (71, 20, "06-17 00:00")
+    rejected = {r.reject: r.lines for r in ais.rejected_messages(lines(spark, loose)).collect()}
+    assert rejected["broken"] >= 1 and sum(rejected.values()) == 3
+
+
+def test_windows_collected_late(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    first, second = datetime(2026, 6, 16, 0, 45), datetime(2026, 6, 16, 1, 0)
+    collect.collect_vessels(house, lines(spark, [static(1, '"Name":"NEW"')]), second)
+    collect.collect_vessels(house, lines(spark, [static(1, '"Name":"OLD","Type":70'), static(2, '"Name":"B"')]), first)
+    known = {r.mmsi: r for r in collect.raw_static(house).collect()}
+    assert set(known) == {1, 2}
+    assert (known[1].ship_name, known[1].ship_type) == ("NEW", 70)
+    assert (known[1].first_seen_at, known[1].last_seen_at) == (first, second)
+
+
 def test_message_files(spark, tmp_path):
     land(tmp_path / "ais", "a.jsonl", "\n".join(MESSAGES))
     messages = ais.decode_messages(ais.read_message_lines(spark, str(tmp_path / "ais")))

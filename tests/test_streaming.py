@@ -129,16 +129,44 @@ def static_lines(spark):
 
 def test_static_state_over_batches(spark, static_lines):
     path = scratch_path(spark, "state")
-    merge = ais_stream.static_merger(path, "received_at", ["received_at", "arrival"])
+    merge = ais_stream.static_merger(path, "snapshot_ts", ["received_at", "arrival"])
 
     def batch(number, messages, minute):
-        merge(ais.static_reports(ais.decode_messages(static_lines(messages, minute))), number)
+        reports = ais.static_reports(ais.decode_messages(static_lines(messages, minute)))
+        merge(ais.with_snapshot(reports), number)
 
     assert ais_stream.static_state(spark, path) is None
     batch(0, [static(1, '"Name":"A","Type":70'), static(1, '"Name":"B"')], 0)
     batch(1, [static(1, '"Type":71'), static(2, '"Name":"C"')], 15)
-    batch(1, [static(1, '"Type":72'), static(2, '"Name":"C"')], 15)
+    batch(2, [static(1, '"Type":72'), static(2, '"Name":"C"')], 16)
     state = {r.mmsi: r for r in ais_stream.static_state(spark, path).collect()}
+    # Of the first window's records only the last counts, so its type was never seen.
     assert (state[1].ship_name, state[1].ship_type, state[2].ship_name) == ("B", 72, "C")
     assert state[1].first_seen_at == START
     assert state[1].last_seen_at == START + timedelta(minutes=15)
+
+
+def test_static_state_does_not_depend_on_batches(spark, small):
+    from contract.queries import STATIC_HISTORY_COLUMNS, static_history
+    from flowmart.operators import incremental
+    from flowmart.sources.ais import STATIC_ATTRIBUTES
+
+    reports = static_history(spark, small)
+    for name in set(STATIC_ATTRIBUTES) - set(STATIC_HISTORY_COLUMNS):
+        reports = reports.withColumn(name, F.lit(None).cast("string"))
+    newest = latest_per_key(reports, ["snapshot_ts", "mmsi"], ["seen_at", "event_id"])
+    whole = incremental.fold_attributes(newest, "mmsi", STATIC_HISTORY_COLUMNS, ["snapshot_ts"])
+    want = sorted(map(tuple, whole.collect()))
+    cuts = ["2024-01-01", "2024-01-11 07:00:00", "2024-01-21 13:00:00", "2025-01-01"]
+    parts = [
+        reports.where((F.col("snapshot_ts") >= F.lit(a).cast("timestamp")) & (F.col("snapshot_ts") < F.lit(b).cast("timestamp")))
+        for a, b in zip(cuts, cuts[1:], strict=False)
+    ]
+    for batches in ([reports], parts, [parts[2], parts[0], parts[1], parts[0]]):
+        path = scratch_path(spark, "state")
+        merge = ais_stream.static_merger(path, "snapshot_ts", ["seen_at", "event_id"])
+        for number, batch in enumerate(batches):
+            merge(batch, number)
+        state = ais_stream.static_state(spark, path).select(*whole.columns)
+        assert sorted(map(tuple, state.collect())) == want
+        assert len(ais_stream._versions(spark, path)) <= 2
