@@ -20,6 +20,7 @@ import math
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -56,13 +57,16 @@ class MergeList:
         self.merges = [tuple(pair) for pair in merges]
         self.text = {i: t for t, i in vocab.items()}
         self.longest = max(map(len, map(self.symbols, vocab)))
-        #: What a token that is not complete yet may look like.
-        self.open = {t[:k] for t in vocab for k in range(1, len(self.symbols(t)))}
         made = {left + right: r for (left, right), r in self.rank.items()}
         #: Whether every merge comes after those that make its parts, as in learned lists.
         self.ordered = all(max(made.get(x, -1), made.get(y, -1)) < r for (x, y), r in self.rank.items())
         self.edges: dict[str, tuple[list, list] | None] = {}
 
+    @cached_property
+    def open(self) -> set[str]:
+        """What a token that is not complete yet may look like."""
+        return {t[:k] for t in self.vocab for k in range(1, len(self.symbols(t)))}
+
     def symbols(self, token: str) -> list[str]:
         if token.endswith(self.word_end) and len(token) > len(self.word_end):
             bare = token[: -len(self.word_end)]
@@ -530,8 +534,16 @@ def _encoded(path: str):
     return lambda texts: pa.array(encode([t or "" for t in texts.to_pylist()]), pa.binary())
 
 
+def token_texts(path: str) -> tuple[dict[int, str], str]:
+    """Spelling of each token id, special ones included, and the word end's."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    texts = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return texts, spec["model"]["end_of_word_suffix"]
+
+
 def _decoded(path: str, spelled: bool):
-    made = encoder(path)
+    texts, word_end = once(("texts", path), lambda: token_texts(path))
 
     def run(columns: pa.Array) -> pa.Array:
         out = []
@@ -539,9 +551,9 @@ def _decoded(path: str, spelled: bool):
             tokens = np.frombuffer(ids or b"", "<u4").tolist()
             if spelled:
                 # The spelled machine's output as a whole: a space between any two tokens.
-                out.append(" ".join(map(made.text.__getitem__, tokens)))
+                out.append(" ".join(map(texts.__getitem__, tokens)))
             else:
-                machine = TokenText(made.text, made.merges.word_end, False)
+                machine = TokenText(texts, word_end, False)
                 out.append("".join(chain(map(machine.feed, tokens), [machine.finish()])))
         return pa.array(out, pa.string())
 
