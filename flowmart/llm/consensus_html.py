@@ -4,10 +4,11 @@
    headers, footers, side bars, notices, adverts, forms, comments or no text at all are
    marked by tag, role or class. What is left is the page's clean text. Each container
    gets a score: the harmonic mean of the share of the clean text it holds, and the share
-   of its own text that is clean.
+   of its own text that is clean, where loose text and links count for less.
 2. Containers are named by their path of tags and classes, with digits generalised and
-   runs of one name taken together. Spark adds the scores up by host and path; each
-   host's best path wins, by pages and scores, then by name.
+   runs of one name taken together. Each page votes for its best one; Spark adds votes
+   and scores up by host and path. The path of most votes wins, then that of the higher
+   scores, the deeper, the first by name.
 3. Each page is read again: clean text of the elements on its host's winning path; a page
    without any takes its own best container.
 
@@ -82,6 +83,9 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
 _RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW}
+#: Blocks that hold an article's text; text of other blocks and of links counts less.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th figcaption caption article main".split())
+LOOSE_WEIGHT, LINK_WEIGHT = 0.3, 0.2
 #: Longer paths go on as a checksum of their beginning.
 _PATH = 200
 
@@ -187,16 +191,26 @@ def read_page(page: str) -> Iterator[tuple[str, list[_Element]]]:
             at = close.start() if close else end
 
 
+def _weight(stack: list[_Element]) -> float:
+    """How much a piece of text speaks for the containers around it."""
+    for element in reversed(stack):
+        if element.tag == "a":
+            return LINK_WEIGHT
+        if element.tag not in INLINE:
+            return 1.0 if element.tag in PROSE else LOOSE_WEIGHT
+    return LOOSE_WEIGHT
+
+
 def container_scores(page: str) -> dict[str, float]:
     """Score of each container path of a page."""
-    clean_all = 0
-    clean: dict[str, int] = {}
+    clean_all = 0.0
+    clean: dict[str, float] = {}
     total: dict[str, int] = {}
     for text, stack in read_page(page):
         n = sum(map(len, text.split()))
         if not n:
             continue
-        good = not stack[-1].clutter
+        good = 0.0 if stack[-1].clutter else _weight(stack)
         clean_all += n * good
         last = ""
         for element in stack:
@@ -205,7 +219,7 @@ def container_scores(page: str) -> dict[str, float]:
                 # A raw element's inside is code and no reader's text.
                 total[last] = total.get(last, 0) + (0 if stack[-1].tag in RAW else n)
                 if good:
-                    clean[last] = clean.get(last, 0) + n
+                    clean[last] = clean.get(last, 0.0) + n * good
     return {path: 2 * n / (clean_all + max(total[path], n)) for path, n in clean.items()}
 
 
@@ -226,13 +240,18 @@ def main_text(page: str, path: str) -> str:
 
 
 def _scored(pages: pa.Array) -> pa.Array:
-    paths, scores, lengths = [], [], [0]
+    paths, scores, best, lengths = [], [], [], [0]
     for page in pages.to_pylist():
         found = container_scores(page or "")
+        top = best_container(found)
         paths += found
         scores += found.values()
+        best += [int(path == top) for path in found]
         lengths.append(len(paths))
-    items = pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(scores, pa.float64())], names=["path", "score"])
+    items = pa.StructArray.from_arrays(
+        [pa.array(paths, pa.string()), pa.array(scores, pa.float64()), pa.array(best, pa.int32())],
+        names=["path", "score", "best"],
+    )
     return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), items)
 
 
@@ -254,15 +273,15 @@ def host(url):
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, winner): each host's path of the highest sum of scores."""
-    scored = text_function(lambda: _scored, "array<struct<path:string,score:double>>")
+    """(host, winner): each host's path of the most votes."""
+    scored = text_function(lambda: _scored, "array<struct<path:string,score:double,best:int>>")
     votes = pages.select(host(F.col("url")).alias("host"), F.explode(scored("html")).alias("v"))
     # Scores are added as whole numbers: sums don't depend on the order of rows.
     sums = votes.groupBy("host", F.col("v.path").alias("path")).agg(
-        F.sum(F.round(F.col("v.score") * 1_000_000).cast("bigint")).alias("score")
+        F.sum("v.best").alias("votes"), F.sum(F.round(F.col("v.score") * 1_000_000).cast("bigint")).alias("score")
     )
     depth = F.size(F.split("path", ">"))
-    best = sums.groupBy("host").agg(F.min(F.struct((-F.col("score")).alias("s"), (-depth).alias("d"), "path")).alias("best"))
+    best = sums.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), (-F.col("score")).alias("s"), (-depth).alias("d"), "path")).alias("best"))
     return best.select("host", F.col("best.path").alias("winner"))
 
 
