@@ -102,7 +102,85 @@ REGISTRY = {
     "op10_transducer": op10_transducer,
 }
 
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all({0}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_SPACED = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+_BASE32 = " || ".join(
+    f"'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || substr(sha, {5 * k + 1}, 5))::INTEGER >> {shift}) & 31)]"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
 ORACLES = {
+    "op1_capture_index": f"""
+        WITH hashed AS (
+            SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS sha,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages)
+        SELECT page_id,
+               CAST(strlen(body) AS BIGINT) AS payload_bytes,
+               {_BASE32} AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+        FROM hashed
+    """,
+    "op5_hyperminhash": f"""
+        WITH RECURSIVE cut AS (
+            SELECT doc_id, {_SPACED.format(_LOWER.format('text'))} AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE
+                WHEN len(w) = 0 THEN CAST([] AS VARCHAR[][])
+                WHEN len(w) < 3 THEN [w]
+                ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]))
+                END AS shingles
+            FROM cut),
+        classes AS (
+            SELECT list_sort(shingles) AS shingles, len(shingles) AS n, min(doc_id) AS rep
+            FROM sets WHERE len(shingles) > 0 GROUP BY ALL),
+        items AS (SELECT rep, n, hash(unnest(shingles)) AS s FROM classes),
+        shared AS (
+            SELECT a.rep AS x, b.rep AS y, count(*) AS k, any_value(a.n) + any_value(b.n) AS total
+            FROM items a JOIN items b ON a.s = b.s AND a.rep < b.rep
+            WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+            GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM shared WHERE 100 * k >= 85 * (total - k)
+            UNION ALL SELECT y, x FROM shared WHERE 100 * k >= 85 * (total - k)),
+        reach AS (
+            SELECT rep AS x, rep AS y FROM classes
+            UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+        named AS (SELECT x AS rep, min(y) AS component_id FROM reach GROUP BY x)
+        SELECT doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles,
+               coalesce(component_id, doc_id) AS component_id,
+               doc_id = coalesce(component_id, doc_id) AS kept
+        FROM sets s
+        LEFT JOIN classes c ON c.shingles = list_sort(s.shingles)
+        LEFT JOIN named USING (rep)
+    """,
+    "op6_prefix_join": f"""
+        WITH items AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS.format(_LOWER.format('text'))} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item, w[i:i + least(13, len(w)) - 1] AS win, least(13, len(w)) AS size
+            FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+                  FROM items WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        docs AS (SELECT doc_id, {_WORDS.format(_LOWER.format('text'))} AS w FROM documents),
+        places AS (
+            SELECT doc_id, i, size, w[i:i + size - 1] AS win
+            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes)),
+        found AS (SELECT doc_id, i, p.size, item FROM places p JOIN windows v ON p.win = v.win),
+        hits AS (
+            SELECT doc_id, count(DISTINCT word) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM found) GROUP BY doc_id),
+        listed AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
     "op9_block_naming": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

@@ -31,8 +31,8 @@ from flowmart.llm.arrow import bound_batches, once
 from flowmart.llm.files import Ranges, committed, partition_id
 
 END_ID = 2
-#: Pieces remembered at a time, twice; characters of one; pieces encoded together.
-REMEMBERED = 1 << 16
+#: Pieces remembered at a time, twice, some 200 bytes each; characters of one; pieces encoded together.
+REMEMBERED = 1 << 19
 LONGEST_REMEMBERED = 64
 TOGETHER = 1000
 #: Characters of texts whose pieces are looked up together.
@@ -60,6 +60,10 @@ class PieceEncoder:
         self.kind = id_type(self.tokenizer.get_vocab_size())
         special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.mark, self.mark_id = special[0] if special else ("", -1)
+        # Where the tokenizer lower-cases itself, pieces that differ in case only are one.
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        normal = self.tokenizer.normalizer
+        self.one_case = normal is not None and normal.normalize_str(letters) == letters.lower()
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -95,6 +99,8 @@ class PieceEncoder:
         return out
 
     def _together(self, texts: list[str]) -> list[bytes]:
+        if self.one_case:
+            texts = [t.lower() if t.isascii() and self.mark[:1] not in t else t for t in texts]
         # Python's other separators are signs for the tokenizer.
         cut = [t.split() if not re.search("[\x1c-\x1f]", t) else [p for p in re.split("[ \t\n\r\f\v]+", t) if p] for t in texts]
         if len(self.known) > REMEMBERED:
