@@ -574,6 +574,9 @@ BODIES: dict[str, str] = {
             bad_rows("accepted_range", "local_dow_pt", "history", "local_dow_pt in (0, 6)"),
         ]
     ),
+    "check_parsed_times": bad_rows(
+        "parsed", "updated_text", "hist_raw", "historical_id % 7 = 0", "warn"
+    ),
     "check_relationships": bad_rows(
         "relationships", "mmsi", "positions", "mmsi not in (select mmsi from vessels)"
     ),

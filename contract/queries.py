@@ -684,6 +684,18 @@ def check_accepted_range(spark, sf):
     return quality.check_rows(history(spark, sf), rules)
 
 
+@query
+def check_parsed_times(spark, sf):
+    """Update times of the archive, every seventh of them malformed."""
+    raw = adapters.archive_raw(spark, sf)
+    malformed = F.concat(F.lit("x"), "updated_text")
+    given = F.when(F.col("historical_id") % 7 == 0, malformed).otherwise(F.col("updated_text"))
+    times = raw.select(given.alias("updated_text")).withColumn(
+        "observed_at_utc", timez.local_to_utc(F.col("updated_text"))
+    )
+    return quality.check_rows(times, [quality.parsed("updated_text", "observed_at_utc")])
+
+
 @query
 def check_relationships(spark, sf):
     parents = vessels(spark, sf).select("mmsi")

@@ -46,6 +46,12 @@ def accepted_range(column: str, low, high, severity: str = "error") -> Rule:
     return Rule("accepted_range", column, bad, severity)
 
 
+def parsed(source: str, column: str, severity: str = "warn") -> Rule:
+    """Text that is there but came out as null, such as a malformed time."""
+    given = F.coalesce(F.trim(source) != "", F.lit(False))
+    return Rule("parsed", source, given & F.col(column).isNull(), severity)
+
+
 def check_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All row-level rules of a table in one aggregate."""
     counts = df.agg(*[F.count_if(rule.bad).alias(f"_{i}") for i, rule in enumerate(rules)])

@@ -61,10 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """Fresh path below the shared folder, removed at the latest when the driver ends."""
-    path = f"{shared_dir(spark)}/flowmart/{label}-{uuid.uuid4().hex}"
-    files, location = _located(spark, path)
+    files, location = _located(spark, f"{shared_dir(spark)}/flowmart/{label}-{uuid.uuid4().hex}")
     files.deleteOnExit(location)
-    return path
+    # With its file system's name, for readers outside Spark too.
+    return files.makeQualified(location).toString()
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
