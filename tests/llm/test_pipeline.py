@@ -56,7 +56,7 @@ def test_odd_rows_and_extra_columns(spark, documents, tmp_path, library):
     story = " ".join(f"word{k}" for k in range(60))
     rows = [
         (1, "one text"), (2, "one text"), (3, None), (4, ""), (5, "123 !!"), (6, story), (7, story + " more"),
-        (8, passage), (9, passage + " q" * 2000), (10, "x" * 200_000), (11, "clean words stay here"),
+        (8, passage), (9, passage + " " + " ".join(f"q{k}" for k in range(2000))), (10, "x" * 200_000), (11, "clean words stay here"),
     ]
     docs = documents(rows)
     spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
