@@ -10,6 +10,7 @@ from flowmart.llm import consensus_html, neighbours
 from flowmart.llm.block_naming import exact_groups
 from flowmart.llm.bpe import token_round_trip
 from flowmart.llm.contamination import with_contamination
+from flowmart.llm.line_templates import without_recurring_lines
 from flowmart.llm.near_duplicates import near_components
 from flowmart.llm.rank_profiles import held_out, languages
 from flowmart.llm.token_records import read_records, write_records
@@ -35,6 +36,10 @@ def op1_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_recurring_lines(documents(spark, sf_dir))
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "records")
     write_records(documents(spark, sf_dir), folder, TOKENIZER)
@@ -92,6 +97,7 @@ def op10_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_capture_index": op1_capture_index,
+    "op2_line_templates": op2_line_templates,
     "op3_token_records": op3_token_records,
     "op4_consensus_html": op4_consensus_html,
     "op5_hyperminhash": op5_hyperminhash,
