@@ -141,8 +141,10 @@ def recurring_lines(
     held = spark.sparkContext.broadcast(table)
     parsed = text_function(lambda: lambda texts: _lines(texts, held.value, depth, min_tokens), LINES)
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", "text", mark.alias("mark")).withColumn("found", parsed("text"))
-    rows = scratch.pin(rows.select("doc_id", "mark", F.monotonically_increasing_id().alias("row"), F.inline("found")), "lines")
+    # Rows are numbered before their lines are spread.
+    rows = docs.select("doc_id", "text", mark.alias("mark"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.withColumn("found", parsed("text"))
+    rows = scratch.pin(rows.select("doc_id", "mark", "row", F.inline("found")), "lines")
 
     # A line counts once per document.
     once = rows.groupBy("row", "leaf", "line").agg(F.min("place").alias("place"))
