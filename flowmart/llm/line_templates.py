@@ -42,6 +42,7 @@ TABLE_BITS = 23
 LINES = "array<struct<place:int,leaf:bigint,line:bigint,tokens:array<int>>>"
 
 _FIELD = re.compile(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
+_DIGIT = re.compile("[0-9]")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,8 +54,9 @@ def _parsed(texts: pa.Array, depth: int, min_tokens: int):
     """Of all lines long enough: (row, place, leaf, line, names of all tokens, token offsets)."""
     lines, rows, places = [], [], []
     for row, text in enumerate(texts.to_pylist()):
+        digits = text and _DIGIT.search(text)
         for place, line in enumerate(text_lines(text)):
-            lines.append(_FIELD.sub("\x01", line))
+            lines.append(_FIELD.sub("\x01", line) if digits and _DIGIT.search(line) else line)
             rows.append(row)
             places.append(place)
     names, bounds = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
