@@ -2,11 +2,15 @@
 
 Lines are parsed down a tree of fixed depth: the first level is a line's number of
 tokens, the next ones its leading tokens; a token with a digit is a variable field from
-the start. Lines that reach one leaf are compared place by place: a token that stands at
-a place of the leaf in at least `min_docs` documents is a constant there, any other is a
-variable field. A line's template is its constants. A template recurs if constants make
-up `share` of its tokens and it is found in at least `min_docs` documents; lines of
-recurring templates are dropped from all documents.
+the start. Lines that reach one leaf are compared place by place. A token is a constant
+or a variable field by how many of the leaf's documents have it at its place; no one bound
+suits leaves of all sizes, so every bound of at least `min_docs` documents is tried: each
+makes the tokens that reach it constants, and these are a template of the line. A template
+recurs if constants make up `share` of its tokens and it is found in at least `min_docs`
+documents; lines with a recurring template are dropped from all documents. A field whose
+values recur themselves stays a field, as its values are rarer than the words around it.
+Leaves that lost lines are counted again without them, until none loses any: there a rarer
+template may share field values with a frequent one.
 
 On Spark all of this is counting: leaves, then distinct lines of frequent leaves, their
 tokens by place, and templates, each combined in the map task, so no group is gathered. A
@@ -23,10 +27,11 @@ table play no part. Tokens and lines are told apart by 32 and 64 bits of hash.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flowmart.llm.arrow import bound_batches, text_function
 from flowmart.llm.words import SPACED, mix, word_slices
@@ -125,6 +130,26 @@ def _without(texts: pa.Array, places: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
+def _lines_of_templates(tokens: DataFrame, scratch: Scratch, min_docs: int, share: float) -> DataFrame:
+    """(leaf, line) of the lines with a recurring template."""
+    constants = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
+    # A line's templates: its tokens of n documents or more, for each n among them.
+    steps = tokens.join(constants, ["leaf", "at", "token"]).groupBy("leaf", "line", "n").agg(
+        F.count("*").alias("fixed"),
+        F.bit_xor(F.xxhash64("at", "token")).alias("template"),
+        F.first("size").alias("size"),
+        F.first("docs").alias("docs"),
+    )
+    down = Window.partitionBy("leaf", "line").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    templates = steps.select(
+        "leaf", "line", "docs", "size", F.sum("fixed").over(down).alias("fixed"), F.bit_xor("template").over(down).alias("template")
+    )
+    templates = scratch.pin(templates.where(F.col("fixed") >= F.ceil(F.col("size") * F.lit(share))), "templates")
+    # One line may stand for a template alone; lines of one document count as one document each.
+    seen = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
+    return templates.join(seen, ["leaf", "template"], "left_semi").select("leaf", "line").distinct()
+
+
 def recurring_lines(
     docs: DataFrame, scratch: Scratch, depth: int, min_docs: int, min_tokens: int, share: float
 ) -> tuple[DataFrame, DataFrame]:
@@ -153,21 +178,20 @@ def recurring_lines(
     lines = once.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min(F.struct("row", "place")).alias("one"))
     lines = scratch.pin(lines.join(frequent, "leaf", "left_semi"), "distinct")
     example = rows.select(F.struct("row", "place").alias("one"), "tokens")
-    tokens = lines.join(example, "one").select("leaf", "line", "docs", F.posexplode("tokens").alias("at", "token"))
-    tokens = scratch.pin(tokens, "tokens")
-    constants = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
-    told = tokens.join(constants.drop("n"), ["leaf", "at", "token"])
-    templates = told.groupBy("leaf", "line").agg(
-        F.count("*").alias("fixed"), F.bit_xor(F.xxhash64("at", "token")).alias("template")
-    )
-    sizes = tokens.groupBy("leaf", "line").agg(F.count("*").alias("size"), F.first("docs").alias("docs"))
-    templates = scratch.pin(
-        templates.join(sizes, ["leaf", "line"]).where(F.col("fixed") >= F.ceil(F.col("size") * F.lit(share))), "templates"
+    tokens = lines.join(example, "one").select(
+        "leaf", "line", "docs", F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token")
     )
-    # One line may stand for a template alone; lines of one document count as one document each.
-    seen = templates.groupBy("leaf", "template").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
-    recurring = templates.join(seen, ["leaf", "template"], "left_semi").select("leaf", "line")
-    return scratch.pin(recurring, "recurring"), rows.select("doc_id", "mark", "place", "leaf", "line")
+    tokens = scratch.pin(tokens, "tokens")
+    found = []
+    while not found or not found[-1].isEmpty():
+        if found:
+            # Beside a frequent template a rarer one's field values may seem constants. Its lines
+            # are told once those of the other are gone; leaves that lost none stay as they were.
+            lost = found[-1]
+            tokens = tokens.join(lost.select("leaf").distinct(), "leaf", "left_semi").join(lost, ["leaf", "line"], "left_anti")
+            tokens = scratch.pin(tokens, "tokens")
+        found.append(scratch.pin(_lines_of_templates(tokens, scratch, min_docs, share), f"recurring-{len(found)}"))
+    return reduce(DataFrame.unionByName, found), rows.select("doc_id", "mark", "place", "leaf", "line")
 
 
 def without_recurring_lines(

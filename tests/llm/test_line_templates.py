@@ -77,3 +77,17 @@ def test_what_recurs_goes_and_clean_lines_stay(documents):
 
 def test_empty_table(documents):
     assert without_recurring_lines(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("n", [50, 1_000, 10_000])
+def test_a_field_of_recurring_values_stays_a_field_at_every_size(documents, n):
+    rnd = random.Random(n)
+    name = lambda k: "v" + "abcdefghij"[k // 100] + "abcdefghij"[k // 10 % 10] + "abcdefghij"[k % 10]
+    line = lambda: f"the user named {name(rnd.randrange(200))} logged in to this site from {name(rnd.randrange(200))} just now"
+    rows = [(k, f"own{name(k % 1000)}{k} words\n{line()}") for k in range(n)]
+    # A rarer template, of the same field values, and a line of none share the leaf.
+    rare = [(n + k, f"the user named {name(k)} took part in long debates on {name(k)} last night") for k in range(5)]
+    lone = [(n + 9, "the user named here wrote nothing of what all others say in it")]
+    assert {len(t.split("\n")[-1].split()) for _, t in rows + rare + lone} == {13}
+    got = without_recurring_lines(documents(rows + rare + lone)).collect()
+    assert {r.doc_id: r.n_dropped for r in got} == {k: int(k != n + 9) for k, _ in rows + rare + lone}
