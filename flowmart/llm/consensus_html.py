@@ -8,16 +8,21 @@
 2. Containers are named by their path of tags and classes, with digits generalised and
    runs of one name taken together. Each page votes for its best one; Spark adds votes
    and scores up by host and path. The path of most votes wins, then that of the higher
-   scores, the deeper, the first by name.
-3. Each page is read again: clean text of the elements on its host's winning path; a page
-   without any takes its own best container.
+   scores, the deeper, the first by name. A host may have several layouts: a path that two
+   pages or more vote for wins as well if no other is better on half the pages that have it,
+   or if it gets a tenth of its host's votes.
+3. Each page is read again: clean text of the elements on one path. A page whose own best
+   container is on a winning path takes that. Any other takes the one it scores best of the
+   winner of most votes and those of a tenth, unless it has none of them or the score is
+   below `CLEARLY_LOWER` of its own best container's; then it takes its own best.
 
 Character references are decoded, white space becomes one space, blocks are joined by one
 space in page order. Nothing else is dropped and no length is limited.
 
 Defined cases: a null or empty html gives an empty text. A null or odd url has the empty
-host, whose pages vote together. Every row is extracted alone, so repeated rows repeat
-their result; they vote as often as they occur. Other columns may have any name.
+host, whose pages have nothing in common and take their own best containers. Every row is
+extracted alone, so repeated rows repeat their result; they vote as often as they occur.
+Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -86,6 +91,10 @@ _RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW}
 #: Blocks that hold an article's text; text of other blocks and of links counts less.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th figcaption caption article main".split())
 LOOSE_WEIGHT, LINK_WEIGHT = 0.3, 0.2
+#: A path of one in so many votes of its host wins; as many at most are offered to its other pages.
+PART = 10
+#: A page's share of its own best score below which a winner holds but a fragment of it.
+CLEARLY_LOWER = 0.3
 #: Longer paths go on as a checksum of their beginning.
 _PATH = 200
 
@@ -240,30 +249,40 @@ def main_text(page: str, path: str) -> str:
 
 
 def _scored(pages: pa.Array) -> pa.Array:
-    paths, scores, best, lengths = [], [], [], [0]
+    paths, scores, best, equal, lengths = [], [], [], [], [0]
     for page in pages.to_pylist():
         found = container_scores(page or "")
         top = best_container(found)
         paths += found
         scores += found.values()
         best += [int(path == top) for path in found]
+        equal += [int(score >= found[top]) for score in found.values()]
         lengths.append(len(paths))
     items = pa.StructArray.from_arrays(
-        [pa.array(paths, pa.string()), pa.array(scores, pa.float64()), pa.array(best, pa.int32())],
-        names=["path", "score", "best"],
+        [pa.array(paths, pa.string()), pa.array(scores, pa.float64()), pa.array(best, pa.int32()), pa.array(equal, pa.int32())],
+        names=["path", "score", "best", "equal"],
     )
     return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), items)
 
 
-def _extracted(pages: pa.Array, winners: pa.Array) -> pa.Array:
+def chosen_path(scores: dict[str, float], winners: list[str]) -> str:
+    """Of a page's containers the best on a winning path, or its own best if that is clearly better."""
+    own = best_container(scores)
+    listed = best_container({path: scores[path] for path in winners if path in scores})
+    return listed if listed and scores[listed] >= CLEARLY_LOWER * scores[own] else own
+
+
+def _own(pages: pa.Array) -> pa.Array:
+    return pa.array([best_container(container_scores(page or "")) for page in pages.to_pylist()], pa.string())
+
+
+def _extracted(pages: pa.Array, own: pa.Array, wins: pa.Array, winners: pa.Array) -> pa.Array:
     out = []
-    for page, path in zip(pages.to_pylist(), winners.to_pylist(), strict=True):
+    for page, path, won, listed in zip(pages.to_pylist(), own.to_pylist(), wins.to_pylist(), winners.to_pylist(), strict=True):
         page = page or ""
-        text = main_text(page, path) if path else ""
-        if not text:
-            own = best_container(container_scores(page))
-            text = main_text(page, own) if own or page else ""
-        out.append(text)
+        if listed and not won:
+            path = chosen_path(container_scores(page), listed)
+        out.append(main_text(page, path) if path or page else "")
     return pa.array(out, pa.string())
 
 
@@ -272,17 +291,25 @@ def host(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, winner): each host's path of the most votes."""
-    scored = text_function(lambda: _scored, "array<struct<path:string,score:double,best:int>>")
-    votes = pages.select(host(F.col("url")).alias("host"), F.explode(scored("html")).alias("v"))
+def winning_paths(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, path, listed): each host's winning paths, and whether all its pages may take them."""
+    scored = text_function(lambda: _scored, "array<struct<path:string,score:double,best:int,equal:int>>")
+    known = pages.select(host(F.col("url")).alias("host"), "html").where(F.col("host") != "")
+    votes = known.select("host", F.explode(scored("html")).alias("v"))
     # Scores are added as whole numbers: sums don't depend on the order of rows.
     sums = votes.groupBy("host", F.col("v.path").alias("path")).agg(
-        F.sum("v.best").alias("votes"), F.sum(F.round(F.col("v.score") * 1_000_000).cast("bigint")).alias("score")
+        F.sum("v.best").alias("votes"),
+        F.sum("v.equal").alias("equal"),
+        F.count("*").alias("pages"),
+        F.sum(F.round(F.col("v.score") * 1_000_000).cast("bigint")).alias("score"),
     )
+    sums = scratch.pin(sums.where(F.col("votes") > 0), "votes")
     depth = F.size(F.split("path", ">"))
-    best = sums.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), (-F.col("score")).alias("s"), (-depth).alias("d"), "path")).alias("best"))
-    return best.select("host", F.col("best.path").alias("winner"))
+    order = F.struct((-F.col("votes")).alias("v"), (-F.col("score")).alias("s"), (-depth).alias("d"), "path")
+    best = sums.groupBy("host").agg(F.min(order)["path"].alias("first"), F.sum("votes").alias("all"))
+    first, part = F.col("path") == F.col("first"), PART * F.col("votes") >= F.col("all")
+    layout = (F.col("votes") >= 2) & (part | (2 * F.col("equal") >= F.col("pages")))
+    return sums.join(best, "host").where(first | layout).select("host", "path", (first | part).alias("listed"))
 
 
 def extract(pages: DataFrame, name: str = "main_text") -> DataFrame:
@@ -290,12 +317,19 @@ def extract(pages: DataFrame, name: str = "main_text") -> DataFrame:
     spark = pages.sparkSession
     bound_batches(spark)
     with Scratch(spark) as scratch:
-        # Written first: a small table of winners is broadcast, a large one is joined by
+        # Written first: small tables of winners are broadcast, large ones are joined by
         # shuffles, where the pages of a host with many are split.
-        key, path = unused(pages, "_host"), unused(pages, "_winner")
-        winners = scratch.pin(winning_paths(pages).withColumnsRenamed({"host": key, "winner": path}), "winners")
-        texts = text_function(lambda: _extracted, "string")
-        joined = pages.join(winners, host(pages.url) == winners[key], "left")
-        out = joined.withColumn(name, texts("html", path)).drop(key, path)
+        names = [unused(pages, n) for n in ("_host", "_best", "_host_of_path", "_path", "_host_of_list", "_list")]
+        key, best, path_key, path, list_key, listed = names
+        winners = scratch.pin(winning_paths(pages, scratch), "winners")
+        lists = winners.where("listed").groupBy("host").agg(F.collect_list("path").alias(listed))
+        lists = scratch.pin(lists.withColumnRenamed("host", list_key), "lists")
+        won = winners.select(F.col("host").alias(path_key), F.col("path").alias(path))
+        own, texts = text_function(lambda: _own, "string"), text_function(lambda: _extracted, "string")
+        joined = pages.withColumns({key: host(pages.url), best: own("html")})
+        joined = joined.join(won, (F.col(key) == F.col(path_key)) & (F.col(best) == F.col(path)), "left")
+        joined = joined.join(lists, F.col(key) == F.col(list_key), "left")
+        out = joined.withColumn(name, texts("html", best, F.col(path).isNotNull(), listed)).drop(*names)
         scratch.keep("winners")
+        scratch.keep("lists")
         return out

@@ -85,3 +85,19 @@ def test_given_pages_give_their_articles(spark, small):
         plain = html.unescape(re.sub(r"<(?!/?b>)[^>]*>", " ", inner).replace("<b>", "").replace("</b>", ""))
         assert r.text == " ".join(plain.split())
         assert r.n_chars == len(r.text)
+
+
+def test_each_layout_of_a_host_gives_its_own_text(spark):
+    teaser, article = "<div class=post><p>" + "teaser " * 30 + "</div>", "<div class=full><p>" + "article " * 90 + "</div>"
+    rows = [(k, f"http://two.org/{k}", f"<body>{teaser}{article if k % 5 < 2 else ''}</body>") for k in range(20)]
+    menu = f"<body><nav>{'menu ' * 60}</nav>"
+    rows += [(100 + k, f"http://menu.org/{k}", f"{menu}{teaser}{article if k % 5 < 2 else ''}</body>") for k in range(20)]
+    # One page's own layout, beside a fragment.
+    rows.append((30, "http://two.org/once", f"<body><div class=post><p>short</div><main><p>{'once ' * 90}</main></body>"))
+    # Pages without a host share nothing.
+    rows += [(40 + k, "/relative", f"<body>{teaser}</body>") for k in range(3)] + [(50, None, f"<body>{teaser}{article}</body>")]
+    got = {r.page_id: r.main_text for r in ch.extract(table(spark, rows)).collect()}
+    assert got[2] == got[102] == ("teaser " * 30).strip()
+    assert got[0] == got[50] == ("teaser " * 30 + "article " * 90).strip()
+    assert ("article " * 90).strip() in got[100]
+    assert "once once" in got[30]
