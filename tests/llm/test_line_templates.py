@@ -91,3 +91,14 @@ def test_a_field_of_recurring_values_stays_a_field_at_every_size(documents, n):
     assert {len(t.split("\n")[-1].split()) for _, t in rows + rare + lone} == {13}
     got = without_recurring_lines(documents(rows + rare + lone)).collect()
     assert {r.doc_id: r.n_dropped for r in got} == {k: int(k != n + 9) for k, _ in rows + rare + lone}
+
+
+def test_a_long_passage_recurs_from_two_documents_on(documents):
+    words = [f"w{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    passage, other, short = " ".join(words[:51]), " ".join(words[::-1][:51]), " ".join(words[5:55])
+    rows = [(1, f"one of its own\n{passage}"), (2, f"{passage.upper()}\nnot like the first"), (3, f"{short}\nhere"), (4, short)]
+    # Numbers are no fields of a long line told whole.
+    rows += [(5, other + " 17"), (6, other + " 18"), (7, "a 7\n" + passage[1:] + " 5"), (8, "b\n" + passage[1:] + " 5")]
+    rows += [(9, "\n".join([" ".join(words[2:60])] * 2))]
+    got = {r.doc_id: r.n_dropped for r in without_recurring_lines(documents(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0, 6: 0, 7: 1, 8: 1, 9: 0}
