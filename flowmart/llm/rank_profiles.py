@@ -33,7 +33,6 @@ _CODES = np.arange(256, dtype=np.uint8)
 _CODES[:128] = _GAP
 _CODES[97:123] = np.arange(97, 123)
 _CODE_BITS = 26
-_MOST = (1 << 20) - 1
 
 
 def _grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +161,7 @@ def distances(texts: pa.Array, codes: np.ndarray, ranks: np.ndarray, length: int
     used = np.zeros(len(texts), np.int64)
     for row, end, data, bounds in _slices(texts):
         owner, code, count = _row_counts(data, bounds)
-        order = np.lexsort((code, -np.minimum(count, _MOST), owner))
+        order = np.lexsort((code, -count, owner))
         owner, code = owner[order], code[order]
         starts = np.searchsorted(owner, np.arange(end - row + 1))
         rank = np.arange(len(owner)) - starts[owner]

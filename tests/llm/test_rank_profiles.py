@@ -81,3 +81,14 @@ def test_held_out_accuracy(spark, small):
     share = found.join(true, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
     assert share > 0.97
     assert np.isfinite(share)
+
+
+def test_ranks_of_very_frequent_grams_follow_their_counts():
+    text = "b " * 1_100_000 + "a " * 1_060_000
+    learned = {"x": [ord("b"), ord("a")]}
+    _, codes, ranks = rank_profiles._table(learned, 400)
+    b_first, used = rank_profiles.distances(pa.array([text]), codes, ranks, 400)
+    learned = {"x": [ord("a"), ord("b")]}
+    _, codes, ranks = rank_profiles._table(learned, 400)
+    a_first, _ = rank_profiles.distances(pa.array([text]), codes, ranks, 400)
+    assert b_first[0, 0] < a_first[0, 0]
