@@ -1,6 +1,7 @@
 """Plain forms of what the operators compute."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -68,3 +69,64 @@ def contamination(rows, items, length=13):
 
 def sha256(text):
     return hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def _digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_digest(row):
+    return _digest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in row])
+
+
+def _tree(leaves):
+    """(root, per leaf the (left, right) siblings of each level)."""
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append([_digest(*levels[-1][k : k + 3]) for k in range(0, len(levels[-1]), 3)])
+    proofs = []
+    for at in range(len(leaves)):
+        steps = []
+        for nodes in levels[:-1]:
+            first = at // 3 * 3
+            steps.append(("".join(nodes[first:at]), "".join(nodes[at + 1 : first + 3])))
+            at //= 3
+        proofs.append(steps)
+    return levels[-1][0], proofs
+
+
+def manifest(rows):
+    """(doc_id, leaf, subroot, root, proof) of rows (doc_id, source, lang, n_chars, text)."""
+    by_source = defaultdict(list)
+    for row in rows:
+        by_source[row[1]].append((row[0] is not None, row[0] or 0, leaf_digest(row), row[0]))
+    sources = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: _tree([x[2] for x in sorted(by_source[s], key=lambda x: x[:3])]) for s in sources}
+    root, above = _tree([trees[s][0] for s in sources])
+    out = []
+    for s, rest in zip(sources, above, strict=True):
+        for x, steps in zip(sorted(by_source[s], key=lambda x: x[:3]), trees[s][1], strict=True):
+            out.append((x[3], x[2], trees[s][0], root, steps + rest))
+    return out
+
+
+def ranking(rows, items, k):
+    """(item, rank, doc_id, score) of rows (doc_id, text) for items (item_id, text)."""
+    texts = [(i, Counter(words(t))) for i, t in rows]
+    texts = [(i, c, c.total()) for i, c in texts if c]
+    n_docs, n_words = len(texts), sum(n for _, _, n in texts)
+    df = Counter(t for _, c, _ in texts for t in c)
+    out = []
+    for item, text in items:
+        asked, scores = {t for t in words(text) if df[t]}, []
+        for i, c, n in texts:
+            m = 50 + (50 * n * n_docs) // n_words
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 20 * m))
+                for t in asked
+                if c[t]
+            )
+            if score > 0:
+                scores.append((-score, i is not None, i or 0, i))
+        out += [(item, rank, x[3], -x[0]) for rank, x in enumerate(sorted(scores)[:k], 1)]
+    return out

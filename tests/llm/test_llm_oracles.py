@@ -24,7 +24,7 @@ def test_query(spark, con, small, name):
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*REGISTRY, "pipeline"} <= set(contract_entry.queries())
 
 
