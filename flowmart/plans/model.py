@@ -9,10 +9,12 @@ time however large it is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from math import pi
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -55,6 +57,9 @@ SAMPLING = 0.9
 SEED = 42
 GRID_MONTH = 7
 MIN_LIVE_ROWS = 50
+# Rows of one training task, and boosting rounds between two checkpoints.
+TRAINING_PARTITION_BYTES = 32 << 20
+CHECKPOINT_ROUNDS = 25
 LIVE = "live_2026"
 
 
@@ -98,7 +103,11 @@ def temporal_split(
 def with_side(
     cells: DataFrame, train_max_year: int = TRAIN_MAX_YEAR, test_year: int = TEST_YEAR
 ) -> DataFrame:
-    """Cells of both sides of the split with `side`, train or test; one read for both."""
+    """Cells of both sides of the split with `side`, train or test; one read for both.
+
+    Pass pinned cells: else the filter on the year goes below the count of the
+    cells and everything the year is made of is computed a second time.
+    """
     side = F.when(F.col("year") <= train_max_year, "train").when(F.col("year") == test_year, "test")
     return cells.withColumn("side", side).where(F.col("side").isNotNull())
 
@@ -209,25 +218,56 @@ def _assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
 
+def training_cells(train: DataFrame, codes: DataFrame) -> DataFrame:
+    """One row per cell with all that boosting needs to know of its readings.
+
+    `clear` and `delayed` count readings, `log_minutes` is the mean over delayed ones. Readings
+    of a cell have equal features, so no split parts them: with the cell's weight, its mean has
+    the gradient, the gain of each split and the leaf values of the single readings.
+    """
+    late = F.col("delay_minutes") > 0
+    logs = F.when(late, F.log1p("delay_minutes") * F.col("n"))
+    cells = train.groupBy(*CELL).agg(
+        F.coalesce(F.sum(F.when(~late, F.col("n"))), F.lit(0)).cast("double").alias("clear"),
+        F.coalesce(F.sum(F.when(late, F.col("n"))), F.lit(0)).cast("double").alias("delayed"),
+        F.sum(logs).alias("_logs"),
+    )
+    cells = cells.withColumn("log_minutes", F.col("_logs") / F.nullif("delayed", F.lit(0.0)))
+    return _assemble(with_features(cells, codes)).select("features", "clear", "delayed", "log_minutes")
+
+
+def stage_rows(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Weighted rows of both stages: two labels a cell, and the cell's mean."""
+    label = F.explode(
+        F.array(
+            F.struct(F.lit(0.0).alias("delayed"), F.col("clear").alias("weight")),
+            F.struct(F.lit(1.0).alias("delayed"), F.col("delayed").alias("weight")),
+        )
+    ).alias("one")
+    labelled = cells.select("features", label).select("features", "one.*").where("weight > 0")
+    means = cells.where("delayed > 0").select("features", "log_minutes", F.col("delayed").alias("weight"))
+    return labelled, means
+
+
+def _packed(rows: DataFrame, label: str) -> DataFrame:
+    """Rows in as few partitions as their bytes need: each tree level is a job over all of them."""
+    pinned = pin(rows, label)
+    size = int(str(pinned._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return pinned.coalesce(max(1, -(-size // TRAINING_PARTITION_BYTES)))
+
+
 def fit_hurdle(
     train: DataFrame, rounds: int = ROUNDS, depth: int = DEPTH, codes: DataFrame | None = None
 ) -> HurdleModel:
-    """Boosted trees for both stages (M4, M5), trained on weighted cells."""
+    """Boosted trees for both stages (M4, M5), trained on weighted cells.
+
+    The stages don't depend on each other, so their jobs share the cluster. Every
+    `CHECKPOINT_ROUNDS` rounds the state goes to the shared folder, so lineage stays short.
+    Rows are so few that walking a tree of six levels is cheaper than caching node ids.
+    """
     shared_dir(train.sparkSession)
     codes = crossing_codes(train) if codes is None else codes
-    rows = pin(
-        _assemble(with_features(train, codes)).select(
-            "features",
-            (F.col("delay_minutes") > 0).cast("double").alias("delayed"),
-            F.log1p("delay_minutes").alias("log_minutes"),
-            F.col("n").cast("double").alias("weight"),
-        ),
-        "features",
-    )
-    # The classifier needs the label only, so equal (cell, label) rows merge.
-    labelled = pin(
-        rows.groupBy("features", "delayed").agg(F.sum("weight").alias("weight")), "labels"
-    )
+    labelled, means = stage_rows(pin(training_cells(train, codes), "training-cells"))
     settings = dict(
         featuresCol="features",
         weightCol="weight",
@@ -236,12 +276,17 @@ def fit_hurdle(
         stepSize=RATE,
         subsamplingRate=SAMPLING,
         featureSubsetStrategy=str(SAMPLING),
+        cacheNodeIds=False,
+        checkpointInterval=CHECKPOINT_ROUNDS,
         seed=SEED,
     )
-    classifier = GBTClassifier(labelCol="delayed", **settings).fit(labelled)
-    regressor = GBTRegressor(
-        labelCol="log_minutes", predictionCol="log_delay", **settings
-    ).fit(rows.where("delayed = 1"))
+    stages = [
+        (GBTClassifier(labelCol="delayed", **settings), _packed(labelled, "labels")),
+        (GBTRegressor(labelCol="log_minutes", predictionCol="log_delay", **settings), _packed(means, "means")),
+    ]
+    with ThreadPoolExecutor(len(stages)) as pool:
+        fit = inheritable_thread_target(train.sparkSession)(lambda stage: stage[0].fit(stage[1]))
+        classifier, regressor = pool.map(fit, stages)
     return HurdleModel(classifier, regressor, codes)
 
 

@@ -79,6 +79,28 @@ def test_training_run(spark, small, history, split):
     assert summary.retrained_at is not None and summary.age_label.endswith("min old")
 
 
+def test_cell_means_give_the_splits_of_single_readings(spark, split):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    train, _ = split
+    train = train.where("crossing_name < 'Office 5'")
+    codes = model.crossing_codes(train)
+    labelled, means = model.stage_rows(model.training_cells(train, codes))
+    every = model._assemble(model.with_features(train, codes)).withColumn("one", F.explode(F.sequence(F.lit(1), "n")))
+    every = every.withColumns(
+        {"weight": F.lit(1.0), "log_minutes": F.log1p("delay_minutes"), "delayed": (F.col("delay_minutes") > 0).cast("double")}
+    )
+    assert every.count() == labelled.agg(F.sum("weight")).first()[0]
+    for label, cells, rows in (("log_minutes", means, every.where("delayed = 1")), ("delayed", labelled, every)):
+        tree = DecisionTreeRegressor(labelCol=label, weightCol="weight", maxDepth=4, maxBins=64, minInfoGain=1e-6)
+        small, full = (tree.fit(pin(x.select("features", label, "weight"), "rows")) for x in (cells, rows))
+        numbers = r"\d+\.\d{6,}(E-?\d+)?"
+        import re
+
+        short = [re.sub(numbers, lambda m: f"{float(m[0]):.8f}", t.toDebugString.split("\n", 1)[1]) for t in (small, full)]
+        assert short[0] == short[1]
+
+
 def test_learns_a_clear_pattern(spark):
     rows = [
         ("A", h, d, 7, 30 if h >= 12 else 0, 5) for h in range(24) for d in range(7)
