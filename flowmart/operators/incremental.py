@@ -8,7 +8,6 @@ from datetime import timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowmart.session import Scratch
 
 # Fixed value: the mark of an empty target.
 FIRST_RUN_MARK = "1900-01-01 00:00:00"
@@ -20,9 +19,10 @@ def newer_than(
     """Rows of `source` strictly newer than anything in `target`.
 
     With no target every row with a time passes; rows without one are left to
-    `without_time`. `target` may be the newest partition alone,
-    see `newest_partition`. `lookback` re-reads the last stretch, for feeds whose
-    rows may arrive late; replacing by key then removes repeats.
+    `without_time`. `target` may be the newest partition alone, see
+    `VersionedTable.newest`. `lookback` re-reads the last stretch, for feeds whose
+    rows may arrive late; replacing by key then removes repeats. Sources that are
+    versioned tables need neither: their commits tell what is new.
     """
     if target is None:
         return source.where(F.col(column).isNotNull())
@@ -57,53 +57,6 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def partition_folders(spark: SparkSession, path: str, partition: str) -> list[str]:
-    """Folder names of a table's partition values, newest first; the null folder is none.
-
-    Only names are listed, so finding the newest rows costs the same however
-    long the history is.
-    """
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(location):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(location)]
-    found = [n for n in names if n.startswith(f"{partition}=") and n != f"{partition}={NULL_PARTITION}"]
-    return sorted(found, reverse=True)
-
-
-def read_partitions(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
-    """Rows of some partitions, the partition column included."""
-    return spark.read.option("basePath", path).parquet(*[f"{path}/{name}" for name in folders])
-
-
-def newest_partition(spark: SparkSession, path: str, partition: str) -> DataFrame | None:
-    """Rows of the highest partition of a table, or None before its first write."""
-    folders = partition_folders(spark, path, partition)
-    return read_partitions(spark, path, folders[:1]) if folders else None
-
-
-def newest_of_each(
-    spark: SparkSession, path: str, partition: str, column: str, values: Sequence[str]
-) -> DataFrame | None:
-    """The newest partitions that together hold every listed `column` value.
-
-    The newest one is usually enough; older ones are opened only for a value that
-    it lacks.
-    """
-    missing, taken = set(values), []
-    for folder in partition_folders(spark, path, partition):
-        wanted = read_partitions(spark, path, [folder]).where(F.col(column).isin(*missing))
-        # At most one row per listed value.
-        found = {row[0] for row in wanted.select(column).distinct().collect()}
-        if found:
-            taken.append(folder)
-            missing -= found
-        if not missing:
-            break
-    return read_partitions(spark, path, taken) if taken else None
-
-
 def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "append") -> None:
     """Write by partition value, few large files each.
 
@@ -119,40 +72,6 @@ def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "app
     )
 
 
-def write_replacing(path: str, new: DataFrame, keys: Sequence[str], partition: str) -> None:
-    """Replace by key inside a Parquet table partitioned by `partition`.
-
-    A key must not change its partition value: one that is stored under another
-    value fails the load. Only the key columns are read for that; rows are read
-    from partitions present in `new` alone. Without a clash, the usual case, the
-    rows are appended; otherwise just those partitions are rewritten, from a
-    pinned copy, with a dynamic overwrite. Running the same load again after a
-    crash gives the same table.
-    """
-    spark = new.sparkSession
-    if newest_partition(spark, path, partition) is None:
-        write_partitioned(new, path, partition)
-        return
-    with Scratch(spark) as scratch:
-        # Pinned: `new` is read several times and may itself read this table.
-        new = scratch.pin(new, "load")
-        stored = spark.read.schema(new.schema).parquet(path)
-        known = new.select(*keys, F.col(partition).alias("_new_partition"))
-        same = [stored[key] == known[key] for key in keys]
-        moved = stored.join(known, [*same, stored[partition] != known["_new_partition"]], "left_semi")
-        if (example := moved.select(*keys).first()) is not None:
-            raise ValueError(f"{path}: {example} is stored under another {partition}")
-        # Partition values are folder names; the driver holds those in any case.
-        touched = [row[0] for row in new.select(partition).distinct().collect()]
-        nearby = stored.where(F.col(partition).isin(touched))
-        clash = nearby.join(new.select(*keys), list(keys), "left_semi")
-        if clash.isEmpty():
-            write_partitioned(new, path, partition)
-            return
-        merged = scratch.pin(replace_by_key(nearby, new, keys), "merged")
-        write_partitioned(merged, path, partition, "overwrite")
-
-
 def merge_attributes(
     current: DataFrame, changes: DataFrame, key: str, attributes: Sequence[str], seen_at: str
 ) -> DataFrame:

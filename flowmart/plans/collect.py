@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from flowmart.operators.incremental import write_replacing
 from flowmart.operators.latest import latest_per_key
 from flowmart.session import pin
 from flowmart.sources.ais import decode_messages, position_reports, static_reports, with_snapshot_id
@@ -47,7 +46,7 @@ def collect_vessels(house: Warehouse, lines: DataFrame, snapshot_ts: datetime) -
     if not any(counts.values()):
         raise EmptyLoad("no vessel messages in the window")
     if counts["positions"]:
-        write_replacing(house.path("raw", "ais_positions"), positions, ["snapshot_id"], "day")
+        house.table("raw", "ais_positions", "snapshot_id").replace(positions)
     if counts["static"]:
         merge = static_merger(house.path("raw", "ship_static"), "snapshot_ts", ARRIVAL)
         merge(static, 0)

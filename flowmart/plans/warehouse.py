@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from flowmart.functions.delay import DELAY_STATUSES, LIVE_DELAY_STATUSES
 from flowmart.functions.places import PORT_REGIONS, REGION_GROUPS
 from flowmart.functions.vessel import VESSEL_CATEGORIES
-from flowmart.operators.incremental import newer_than, write_replacing
+from flowmart.operators.incremental import newer_than
 from flowmart.operators.quality import (
     TableChecks,
     accepted_range,
@@ -32,6 +32,7 @@ from flowmart.plans.staging import (
     stg_vessels,
 )
 from flowmart.sources.tables import Warehouse
+from flowmart.sources.versions import VersionedTable
 
 STAGING = "analytics_staging"
 MARTS = "analytics_marts"
@@ -127,63 +128,75 @@ def _load(
     house: Warehouse,
     layer: str,
     name: str,
-    source: DataFrame,
+    source: DataFrame | VersionedTable,
     build,
     mark: str,
     key: str,
     lookback: timedelta,
     full_refresh: bool,
-) -> DataFrame:
-    """One incremental table: rows past the mark are built and replace by key.
+) -> VersionedTable:
+    """One incremental table: new rows of the source are built and replace by key.
 
+    What is new in a versioned source, its commits say: rows of equal times and late ones
+    are taken up once. Of any other source it is the rows past the highest time stored.
     `full_refresh` rebuilds the table from the whole source, which is how facts
     pick up a later dimension value (I3).
     """
-    path = house.path(layer, name)
-    if full_refresh:
-        rows = _with_day(build(source), mark).hint("rebalance", "day")
-        rows.write.mode("overwrite").partitionBy("day").parquet(path)
+    table = house.table(layer, name, key)
+    if isinstance(source, VersionedTable):
+        upto = source.commit()
+        fresh = source.read(upto) if full_refresh else source.changes(table.taken(), upto)
     else:
+        upto = 0
         # The highest mark lies in the newest day, so only that one is read.
-        fresh = newer_than(source, house.newest(layer, name), mark, lookback)
-        write_replacing(path, _with_day(build(fresh), mark), [key], "day")
-    return house.read(layer, name)
+        fresh = source if full_refresh else newer_than(source, table.newest(), mark, lookback)
+    if fresh is not None:
+        rows = _with_day(build(fresh), mark)
+        if full_refresh:
+            table.overwrite(rows, upto)
+        else:
+            table.replace(rows, upto)
+    return table
 
 
 def build_border(
     house: Warehouse,
-    raw: DataFrame,
+    raw: DataFrame | VersionedTable,
     lookback: timedelta = timedelta(0),
     full_refresh: bool = False,
 ) -> DataFrame:
-    """Live border tables: staging, crossings, facts."""
+    """Live border tables: staging, crossings, facts.
+
+    `raw` is a versioned table, `house.table("raw", "border_raw")`, or any rows.
+    `lookback` re-reads a stretch of such rows.
+    """
     how = dict(mark="fetched_at", key="wait_observation_key", lookback=lookback,
                full_refresh=full_refresh)
     staged = _load(house, STAGING, "stg_border_waits", raw, stg_border_waits, **how)
-    crossings = house.replace(MARTS, "dim_crossings", dim_crossings(staged))
-    return _load(
-        house, MARTS, "fct_border_waits", staged, lambda rows: fct_border_waits(rows, crossings), **how
-    )
+    crossings = house.replace(MARTS, "dim_crossings", dim_crossings(staged.read()))
+    _load(house, MARTS, "fct_border_waits", staged, lambda rows: fct_border_waits(rows, crossings), **how)
+    return house.read(MARTS, "fct_border_waits")
 
 
 def build_ports(
     house: Warehouse,
-    positions: DataFrame,
+    positions: DataFrame | VersionedTable,
     static: DataFrame,
     lookback: timedelta = timedelta(0),
     full_refresh: bool = False,
 ) -> DataFrame:
-    """Vessel tables: staging, vessels, congestion."""
+    """Vessel tables: staging, vessels, congestion; sources as for `build_border`."""
     how = dict(mark="snapshot_ts", lookback=lookback, full_refresh=full_refresh)
     staged = _load(
         house, STAGING, "stg_vessel_positions", positions, stg_vessel_positions,
         key="snapshot_id", **how,
     )
-    vessels = house.replace(MARTS, "dim_vessels", dim_vessels(staged, stg_vessels(static)))
-    return _load(
+    vessels = house.replace(MARTS, "dim_vessels", dim_vessels(staged.read(), stg_vessels(static)))
+    _load(
         house, MARTS, "fct_port_congestion", staged,
         lambda rows: fct_port_congestion(rows, vessels), key="congestion_key", **how,
     )
+    return house.read(MARTS, "fct_port_congestion")
 
 
 def build_archive(house: Warehouse, raw: DataFrame) -> DataFrame:

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowmart.functions.text import strip_to_null
-from flowmart.operators.incremental import replace_by_key, write_partitioned
 from flowmart.session import Scratch, pin
 from flowmart.sources.files import EmptyLoad, landed_files
 from flowmart.sources.ids import row_id
 from flowmart.sources.schemas import LEDGER
-from flowmart.sources.tables import read_table_if_exists, replace_table
+from flowmart.sources.versions import VersionedTable
 
 # What the header of a usable file contains.
 HEADER_MARKERS = ("office", "location", "updated")
@@ -30,6 +29,11 @@ def basename(url):
     return F.substring_index(url, "/", -1)
 
 
+def _decoded(name: Column) -> Column:
+    """A file's or folder's name without escapes."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def archive_manifest(
     urls: DataFrame, from_year: int | None = None, to_year: int | None = None
 ) -> DataFrame:
@@ -60,84 +64,23 @@ def pending_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
     return manifest.join(ledger.select("source_file"), "source_file", "left_anti")
 
 
-def read_archive_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every line of the files with the start of its block and an id growing within it.
-
-    Lines, unlike records, can be found without reading a file from its start, so
-    a file of any size is read by as many tasks as it has blocks.
-    """
-    return spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
-        (F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("_odd"),
-    )
-
-
-def _placed_lines(lines: DataFrame, scratch: Scratch) -> DataFrame:
-    """Lines with their position in the file and whether a quote is open before them.
-
-    A line is inside a quoted cell if an odd number of quotes stands before it.
-    Counts per block, a few numbers per file, are added up in order; only blocks
-    with a line that leaves a quote open are then gone through line by line.
-    """
-    blocks = lines.groupBy("_file", "_block").agg(
-        F.min("_id").alias("_first"), F.count("*").alias("_n"), F.sum("_odd").alias("_odds")
-    )
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = scratch.pin(
-        blocks.select(
-            "_file", "_block", "_first", "_odds",
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-            F.coalesce(F.sum("_odds").over(earlier), F.lit(0)).alias("_odds_before"),
-        ),
-        "blocks",
-    )
-    placed = lines.join(blocks, ["_file", "_block"]).withColumn(
-        "_position", F.col("_before") + F.col("_id") - F.col("_first")
-    )
-    inside = Window.partitionBy("_file", "_block").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
-    calm = placed.where("_odds = 0").withColumn("_open", F.col("_odds_before") % 2 == 1)
-    other = placed.where("_odds > 0").withColumn(
-        "_open", (F.col("_odds_before") + F.coalesce(F.sum("_odd").over(inside), F.lit(0))) % 2 == 1
-    )
-    return calm.unionByName(other).select("_file", "_position", "_open", "_odd", "value")
-
-
-def read_archive_records(lines: DataFrame, scratch: Scratch) -> DataFrame:
-    """CSV records with their position, cells and width; `lines` must be pinned.
+def read_archive_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV records with their file, cells and width, numbered as they follow one another in a file.
 
-    Most records are one line. Lines of a quoted cell with line breaks are put
-    together first. Blank lines are no records.
+    A quarterly file is one task, as a quoted cell may hold line breaks. Blank lines are no
+    records. Short and long records land in the corrupt-record column; their cells are
+    counted from the text with quoted stretches removed.
     """
-    placed = _placed_lines(lines, scratch)
-    single = placed.where(~F.col("_open") & (F.col("_odd") == 0)).select("_file", "_position", "value")
-    pieces = placed.where(F.col("_open") | (F.col("_odd") == 1))
-    in_file = Window.partitionBy("_file").orderBy("_position")
-    start = F.last(F.when(~F.col("_open"), F.col("_position")), ignorenulls=True).over(in_file)
-    joined = pieces.withColumn("_start", start).groupBy("_file", "_start").agg(
-        F.sort_array(F.collect_list(F.struct("_position", "value"))).alias("lines")
-    )
-    several = joined.select("_file", F.col("_start").alias("_position"), F.array_join("lines.value", "\n").alias("value"))
-    return _cells(single.unionByName(several).where(F.trim("value") != ""))
-
-
-def _cells(records: DataFrame) -> DataFrame:
-    """Short and long records land in the corrupt-record column; their cells are
-    counted from the text with quoted stretches removed."""
     names = [f"c{i}" for i in range(len(ARCHIVE_COLUMNS))]
     spec = ", ".join(f"{name} string" for name in (*names, "_bad"))
-    text = F.regexp_replace("value", r"\A\x{FEFF}+", "")
-    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}
-    parsed = records.select("_file", "_position", F.inline(F.array(F.from_csv(text, spec, options))))
-    unquoted = F.regexp_replace("_bad", r'"[^"]*"', "")
-    width = F.when(F.col("_bad").isNull(), F.lit(len(names))).otherwise(
-        F.size(F.split(unquoted, ",", -1))
-    )
-    return parsed.select(
-        "_file",
-        "_position",
+    options = {"multiLine": True, "quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}
+    rows = spark.read.schema(spec).options(**options).csv(paths)
+    # An open quote takes what is left of its file.
+    unquoted = F.regexp_replace("_bad", r'"[^"]*(?:"|\z)', "")
+    width = F.when(F.col("_bad").isNull(), F.lit(len(names))).otherwise(F.size(F.split(unquoted, ",", -1)))
+    return rows.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_position"),
         width.alias("_width"),
         *[strip_to_null(F.col(c)).alias(target) for c, target in zip(names, ARCHIVE_COLUMNS)],
         F.when(width > len(names), F.lower("_bad")).alias("_long_text"),
@@ -158,12 +101,12 @@ def split_archive_rows(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
         F.min("_position").alias("_header"),
         F.coalesce(F.min_by(header_like, "_position"), F.lit(False)).alias("usable"),
     )
-    files = scratch.pin(files.withColumn("source_file", basename(F.col("_file"))), "files")
+    files = scratch.pin(files.withColumn("source_file", _decoded(basename(F.col("_file")))), "files")
     data = rows.join(files.where("usable"), "_file").where(
         (F.col("_position") > F.col("_header")) & (F.col("_width") >= len(ARCHIVE_COLUMNS))
     )
     raw = data.select(
-        row_id(F.col("_file"), F.col("_position")).alias("historical_id"),
+        row_id(F.col("_file"), F.col("_position") - F.col("_header")).alias("historical_id"),
         "source_file",
         *ARCHIVE_COLUMNS,
         F.current_timestamp().alias("ingested_at"),
@@ -172,8 +115,8 @@ def split_archive_rows(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, Da
 
 
 def _archive_rows(spark: SparkSession, paths: list[str], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    lines = scratch.pin(read_archive_lines(spark, paths), "lines")
-    return split_archive_rows(scratch.pin(read_archive_records(lines, scratch), "records"), scratch)
+    # Pinned: the numbers of the records must not change between the two uses.
+    return split_archive_rows(scratch.pin(read_archive_records(spark, paths), "records"), scratch)
 
 
 def load_archive(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -195,19 +138,32 @@ def _loaded(spark: SparkSession, paths: list[str], wanted: Column) -> DataFrame:
         return pin(raw.where(wanted), "archive")
 
 
-def backfill(spark: SparkSession, manifest: DataFrame, table_path: str, ledger_path: str) -> DataFrame:
-    """Load pending files and record them; returns the new ledger rows.
+def archive_table(spark: SparkSession, path: str) -> VersionedTable:
+    """The loaded archive, a partition per file; what it holds is its ledger."""
+    return VersionedTable(spark, path, partition="source_file")
 
-    Data goes to one partition per `source_file`, the ledger row follows, so a
-    crash in between leaves partitions the next run overwrites. Files of another
-    schema are not recorded, are named in a warning, and are looked at again.
+
+def load_ledger(table: VersionedTable, commit: int | None = None) -> DataFrame:
+    """(source_file, row_count, loaded_at) of the files a table has, those without rows included.
+
+    With `commit`, of the files that commit brought.
+    """
+    entries = [e for e in table.entries(commit) if commit is None or e.commit == commit]
+    rows = [(e.folder.removeprefix("source_file="), e.rows, e.loaded_at) for e in entries]
+    return table.spark.createDataFrame(rows, LEDGER).withColumn("source_file", _decoded(F.col("source_file")))
+
+
+def backfill(spark: SparkSession, manifest: DataFrame, path: str) -> DataFrame:
+    """Load pending files into the archive table at `path`; returns their ledger rows.
+
+    Rows and ledger change in one commit, so a file is loaded as a whole or not at all, and
+    of two loaders of one manifest the later one leaves out what the other has loaded. Files
+    of another schema are not recorded, are named in a warning, and are looked at again.
     Empty files fail the run when the others are loaded and recorded; two pending
     files of one name fail it before anything is loaded.
     """
-    ledger = read_table_if_exists(spark, ledger_path)
-    if ledger is None:
-        ledger = spark.createDataFrame([], LEDGER)
-    pending = pending_files(manifest, ledger)
+    table = archive_table(spark, path)
+    pending = pending_files(manifest, load_ledger(table))
     double = pending.groupBy("source_file").count().where("count > 1").first()
     if double is not None:
         raise ValueError(f"{double['count']} pending files are called {double.source_file}")
@@ -218,33 +174,20 @@ def backfill(spark: SparkSession, manifest: DataFrame, table_path: str, ledger_p
     landed = landed_files(spark, *paths)
     empty = sorted(row.path for row in landed.where("bytes = 0").collect())
     full = [row.path for row in landed.where("bytes > 0").select("path").collect()]
-    loaded = _backfilled(spark, full, table_path, ledger_path, ledger) if full else spark.createDataFrame([], LEDGER)
+    loaded = _backfilled(spark, full, table) if full else spark.createDataFrame([], LEDGER)
     if empty:
         raise EmptyLoad(f"{empty[0]} is empty" + (f", {len(empty) - 1} more are" if empty[1:] else ""))
     return loaded
 
 
-def _backfilled(
-    spark: SparkSession, paths: list[str], table_path: str, ledger_path: str, ledger: DataFrame
-) -> DataFrame:
+def _backfilled(spark: SparkSession, paths: list[str], table: VersionedTable) -> DataFrame:
     with Scratch(spark) as scratch:
         raw, files = _archive_rows(spark, paths, scratch)
-        kept = raw.where(F.col("customs_office").isNotNull())
-        write_partitioned(kept, table_path, "source_file", "overwrite")
-        counts = kept.groupBy("source_file").agg(F.count("*").alias("row_count"))
-        loaded = pin(
-            files.where("usable")
-            .join(counts, "source_file", "left")
-            .select(
-                "source_file",
-                F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
-                F.current_timestamp().alias("loaded_at"),
-            ),
-            "ledger",
-        )
-        replace_table(replace_by_key(ledger, loaded, ["source_file"]), ledger_path)
+        # A name per usable file, as many as the scan has files.
+        usable = [row.source_file for row in files.where("usable").select("source_file").collect()]
+        commit = table.add_partitions(raw.where(F.col("customs_office").isNotNull()), usable)
         skipped = [row.source_file for row in files.where("not usable").select("source_file").limit(6).collect()]
         if skipped:
             more = "" if len(skipped) < 6 else " and more"
             warnings.warn(f"files of another schema were skipped: {', '.join(skipped[:5])}{more}", stacklevel=3)
-        return loaded
+    return load_ledger(table, commit)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from flowmart.functions.text import strip_space
-from flowmart.operators.incremental import read_if_exists, write_replacing
+from flowmart.operators.incremental import read_if_exists
 from flowmart.session import Scratch
 from flowmart.sources.files import EmptyLoad, landed_files, refuse_empty_files
 from flowmart.sources.ids import row_id
 from flowmart.sources.schemas import FEED_LEDGER
+from flowmart.sources.versions import VersionedTable
 
 # The shape of the feed.
 DELIMITER = ";;"
@@ -137,7 +138,7 @@ def append_fetch(
         counts = seen.get
         if not counts["rows"]:
             raise EmptyLoad("no border rows in the landed files")
-        write_replacing(table_path, rows, ["observation_id"], "day")
+        VersionedTable(spark, table_path, ["observation_id"]).replace(rows)
         loaded = scratch.pin(fresh.select("path", "landed_at", F.current_timestamp().alias("loaded_at")), "files")
         loaded.write.mode("append").parquet(ledger_path)
     return counts

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowmart.operators.incremental import newest_of_each, newest_partition, read_if_exists
+from flowmart.operators.incremental import read_if_exists
+from flowmart.sources.versions import VersionedTable
 
 # The layers of the warehouse and how each is materialised.
 LAYERS = {
@@ -86,19 +87,29 @@ class Warehouse:
             raise KeyError(layer)
         return f"{self.root}/{layer}/{name}"
 
+    def table(self, layer: str, name: str, *keys: str, partition: str = "day") -> VersionedTable:
+        """A table that grows by loads; see `VersionedTable`."""
+        return VersionedTable(self.spark, self.path(layer, name), keys, partition)
+
     def read(self, layer: str, name: str) -> DataFrame:
+        """Present rows of a table; an error before its first write."""
+        versioned = self.table(layer, name).read()
+        if versioned is not None:
+            return versioned
         return self.spark.read.parquet(current_path(self.spark, self.path(layer, name)))
 
     def find(self, layer: str, name: str) -> DataFrame | None:
-        return read_table_if_exists(self.spark, self.path(layer, name))
+        """Present rows of a table, or None before its first write."""
+        versioned = self.table(layer, name).read()
+        return read_table_if_exists(self.spark, self.path(layer, name)) if versioned is None else versioned
 
-    def newest(self, layer: str, name: str, partition: str = "day") -> DataFrame | None:
+    def newest(self, layer: str, name: str) -> DataFrame | None:
         """Newest partition of a table, enough for marks and freshness."""
-        return newest_partition(self.spark, self.path(layer, name), partition)
+        return self.table(layer, name).newest()
 
-    def newest_of_each(self, layer: str, name: str, column: str, values, partition: str = "day") -> DataFrame | None:
+    def newest_of_each(self, layer: str, name: str, column: str, values) -> DataFrame | None:
         """Newest partitions that together hold every listed value, for readings per group."""
-        return newest_of_each(self.spark, self.path(layer, name), partition, column, values)
+        return self.table(layer, name).newest_of_each(column, values)
 
     def replace(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Reload a table; rows of an append-only layer are never replaced as a whole."""

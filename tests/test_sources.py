@@ -10,6 +10,7 @@ from flowmart.plans import collect, warehouse
 from flowmart.sources import ais, archive, border_feed
 from flowmart.sources.files import EmptyLoad
 from flowmart.sources.tables import Warehouse
+from flowmart.sources.versions import VersionedTable
 
 HEADER = "﻿Customs Office ;; Location ;; Last updated ;; a ;; b ;; c ;; d\r\n"
 GOOD = "Pacific Highway ;; Surrey, BC/Blaine, WA ;; 2026-06-16 13:20 PDT ;; 15 minutes ;; Not Applicable ;; No Delay ;; --"
@@ -131,24 +132,12 @@ def test_archive_cases(spark, tmp_path):
     assert ids == {r[0] for r in archive.load_archive(spark, paths[::-1]).select("historical_id").collect()}
 
 
-def test_large_files_are_split_with_the_same_result(spark, tmp_path):
-    plain = "\ufeffCustoms Office,Location,Updated,Commercial Flow,Travellers Flow\r\n" + "".join(
-        f'Office {i},"Surrey, BC/Blaine, WA",2015-01-02 14:51 PST,No delay,{i}\r\n' for i in range(200)
-    )
-    paths = [land(tmp_path, "big.csv", plain), land(tmp_path, "odd.csv", ARCHIVE), land(tmp_path, "std.csv", OTHER * 30)]
-    loaded = archive.load_archive(spark, paths)
-    whole, ids = archive_rows(loaded), {r[0] for r in loaded.select("historical_id").collect()}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
-    try:
-        split = archive.load_archive(spark, paths)
-        assert archive_rows(split) == whole and len(whole) == 203
-        assert {r[0] for r in split.select("historical_id").collect()} == ids and len(ids) == 203
-        blocks = archive.read_archive_lines(spark, paths).groupBy("_file").agg(
-            F.count_distinct("_block").alias("n")
-        )
-        assert {r._file.rsplit("/", 1)[-1] for r in blocks.where("n > 1").collect()} == {"big.csv", "std.csv"}
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_an_unclosed_quote_takes_the_rest_of_its_file_only(spark, tmp_path):
+    odd = ARCHIVE + 'E,l,u,"open,1\nF,l,u,1,2\n'
+    got = archive_rows(archive.load_archive(spark, [land(tmp_path, "odd.csv", odd), land(tmp_path, "six.csv", SIX)]))
+    assert [r[:2] for r in got] == [
+        ("odd.csv", "A"), ("odd.csv", "C"), ("odd.csv", 'D, "q"'), ("six.csv", "a"), ("six.csv", "g"),
+    ]
 
 
 def test_header_must_come_first(spark, tmp_path):
@@ -172,7 +161,8 @@ def test_manifest(spark):
 
 
 def test_backfill_records_files_once(spark, tmp_path):
-    folder, table, ledger = tmp_path / "csv", str(tmp_path / "hist"), str(tmp_path / "ledger")
+    folder, path = tmp_path / "csv", str(tmp_path / "hist")
+    table = archive.archive_table(spark, path)
 
     def manifest():
         rows = [(str(p),) for p in sorted(folder.iterdir())]
@@ -180,24 +170,24 @@ def test_backfill_records_files_once(spark, tmp_path):
 
     land(folder, "bwt-2016.csv", ARCHIVE)
     land(folder, "std-2016.csv", OTHER)
-    first = archive.backfill(spark, manifest(), table, ledger)
+    first = archive.backfill(spark, manifest(), path)
     assert [(r.source_file, r.row_count) for r in first.collect()] == [("bwt-2016.csv", 3)]
     land(folder, "six-2017.csv", SIX)
-    second = archive.backfill(spark, manifest(), table, ledger)
+    second = archive.backfill(spark, manifest(), path)
     assert [(r.source_file, r.row_count) for r in second.collect()] == [("six-2017.csv", 2)]
-    assert spark.read.parquet(table).count() == 5
+    assert table.read().count() == 5
     land(folder, "void-2018.csv", "")
     land(folder, "more-2019.csv", ARCHIVE)
     with pytest.raises(EmptyLoad, match="void-2018.csv is empty"), pytest.warns(UserWarning, match="std-2016.csv"):
-        archive.backfill(spark, manifest(), table, ledger)
-    assert spark.read.parquet(table).count() == 8
+        archive.backfill(spark, manifest(), path)
+    assert table.read().count() == 8
     with pytest.raises(EmptyLoad):
-        archive.backfill(spark, manifest(), table, ledger)
-    assert spark.read.parquet(table).count() == 8
+        archive.backfill(spark, manifest(), path)
+    assert table.read().count() == 8
     land(folder / "again", "new-2020.csv", ARCHIVE)
     twice = [(str(folder / "again" / "new-2020.csv"),), (str(folder / "new-2020.csv"),)]
     with pytest.raises(ValueError, match="2 pending files are called new-2020.csv"):
-        archive.backfill(spark, archive.archive_manifest(spark.createDataFrame(twice, "url string")), table, ledger)
+        archive.backfill(spark, archive.archive_manifest(spark.createDataFrame(twice, "url string")), path)
 
 
 def test_files_of_one_name_are_kept_apart(spark, tmp_path):
@@ -224,13 +214,46 @@ def test_quoted_line_breaks_across_blocks(spark, tmp_path):
     assert rows["3"].customs_office == "Office 3"
 
 
-def test_backfill_overwrites_a_half_loaded_file(spark, tmp_path):
-    folder, table = tmp_path / "csv", str(tmp_path / "hist")
-    path = land(folder, "bwt-2016.csv", ARCHIVE)
-    manifest = archive.archive_manifest(spark.createDataFrame([(path,)], "url string"))
-    archive.backfill(spark, manifest, table, str(tmp_path / "lost-ledger"))
-    archive.backfill(spark, manifest, table, str(tmp_path / "ledger"))
-    assert spark.read.parquet(table).count() == 3
+def test_a_file_is_loaded_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    folder, path = tmp_path / "csv", str(tmp_path / "hist")
+    manifest = archive.archive_manifest(spark.createDataFrame([(land(folder, "bwt 2016=a%.csv", ARCHIVE),)], "url string"))
+
+    def lost(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(VersionedTable, "_commit", lost)
+    with pytest.raises(OSError, match="lost"):
+        archive.backfill(spark, manifest, path)
+    monkeypatch.undo()
+    table = archive.archive_table(spark, path)
+    assert table.read() is None and archive.load_ledger(table).count() == 0
+    assert [r.row_count for r in archive.backfill(spark, manifest, path).collect()] == [3]
+    assert archive.backfill(spark, manifest, path).count() == 0
+    assert [r.source_file for r in archive.load_ledger(table).collect()] == ["bwt 2016=a%.csv"]
+
+
+def test_two_loaders_of_one_manifest_load_each_file_once(spark, tmp_path, monkeypatch):
+    folder, path = tmp_path / "csv", str(tmp_path / "hist")
+    header_only = ARCHIVE.split("\r\n")[0] + "\r\n"
+    urls = [(land(folder, "a-2016.csv", ARCHIVE),), (land(folder, "b-2017.csv", SIX),), (land(folder, "c-2018.csv", header_only),)]
+    every = archive.archive_manifest(spark.createDataFrame(urls, "url string"))
+    commit, others = VersionedTable._commit, []
+
+    def slow(self, number, entries):
+        if not others:
+            others.append(None)
+            others.append(archive.backfill(spark, every.where("year <= 2016"), path).count())
+        return commit(self, number, entries)
+
+    monkeypatch.setattr(VersionedTable, "_commit", slow)
+    mine = archive.backfill(spark, every, path)
+    assert others[1] == 1
+    assert sorted((r.source_file, r.row_count) for r in mine.collect()) == [("b-2017.csv", 2), ("c-2018.csv", 0)]
+    table = archive.archive_table(spark, path)
+    assert sorted((r.source_file, r.row_count) for r in archive.load_ledger(table).collect()) == [
+        ("a-2016.csv", 3), ("b-2017.csv", 2), ("c-2018.csv", 0),
+    ]
+    assert table.read().count() == 5
 
 
 # --- vessel messages ---------------------------------------------------------
