@@ -185,6 +185,15 @@ def agg_border_delay_profile(history: DataFrame) -> DataFrame:
     the size of a cell. The second works on those counts, so the exact
     percentiles see distinct minute values only.
     """
+    return profile_of_counts(profile_counts(history))
+
+
+PROFILE_VALUE = ["kind", "minutes"]
+
+
+def profile_counts(history: DataFrame, *more: str) -> DataFrame:
+    """Readings per cell, status and minute value: all a profile needs, and counts of
+    different rows add up. `more` columns are told apart too."""
     measured = is_measured(F.col("delay_status"), F.col("delay_minutes"))
     value = F.when(measured, F.col("delay_minutes"))
     kind = (
@@ -192,9 +201,13 @@ def agg_border_delay_profile(history: DataFrame) -> DataFrame:
         .when(F.col("delay_status").isin("closed", "missed_entry"), F.col("delay_status"))
         .otherwise("other")
     )
-    counts = history.groupBy(*PROFILE_CELL, kind.alias("kind"), value.alias("minutes")).agg(
+    return history.groupBy(*more, *PROFILE_CELL, kind.alias("kind"), value.alias("minutes")).agg(
         F.count("*").alias("n")
     )
+
+
+def profile_of_counts(counts: DataFrame) -> DataFrame:
+    """The profile of `profile_counts`, or of the sum of several."""
     n, minutes, kinds = F.col("n"), F.col("minutes"), F.col("kind")
 
     def total(rows, amount=n):

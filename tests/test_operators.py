@@ -7,9 +7,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from flowmart.operators import incremental, latest, lookup, metrics, prefix, quality
-from flowmart.session import scratch_path
+from flowmart.operators import boxes, incremental, latest, lookup, metrics, prefix, quality
 from flowmart.sources import tables
+from flowmart.sources.versions import VersionedTable
 
 QUICK = settings(
     max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -118,22 +118,6 @@ def test_high_water_mark_is_strict(spark):
     assert rows_of(back, "h") == [(2,), (3,), (4,)]
 
 
-def test_write_replacing_is_idempotent(spark):
-    path = scratch_path(spark, "table")
-
-    def load(ids, tag, day):
-        df = spark.createDataFrame([(i, tag, day) for i in ids], "id int, tag string, day string")
-        incremental.write_replacing(path, df, ["id"], "day")
-
-    load([1, 2], "first", "d1")
-    load([3], "first", "d2")
-    load([2, 4], "second", "d1")
-    want = [(1, "first", "d1"), (2, "second", "d1"), (3, "first", "d2"), (4, "second", "d1")]
-    assert rows_of(spark.read.parquet(path), "id", "tag", "day") == want
-    load([2, 4], "second", "d1")
-    assert rows_of(spark.read.parquet(path), "id", "tag", "day") == want
-
-
 def test_attribute_merge_keeps_old_values_over_nulls(spark):
     later = DAY + timedelta(days=1)
     current = spark.createDataFrame(
@@ -208,36 +192,17 @@ def test_null_predictions_have_no_weight(spark):
 
 
 def test_rows_without_a_day_do_not_reset_the_mark(spark, tmp_path):
-    path = str(tmp_path / "table")
+    stored = VersionedTable(spark, str(tmp_path / "table"), ["id"])
     rows = [(1, "2026-01-01 10:00:00"), (2, None), (3, "2026-01-02 10:00:00")]
     table = spark.createDataFrame(rows, "id int, t string").select("id", F.col("t").cast("timestamp").alias("t"))
-    with_day = table.withColumn("day", F.to_date("t"))
-    incremental.write_partitioned(with_day, path, "day")
-    newest = incremental.newest_partition(spark, path, "day")
+    stored.replace(table.withColumn("day", F.to_date("t")))
+    newest = stored.newest()
     assert [r.id for r in newest.collect()] == [3]
     assert incremental.newer_than(table, newest, "t").count() == 0
     assert incremental.newer_than(table, None, "t").count() == 2
     assert [r.id for r in incremental.without_time(table, "t").collect()] == [2]
 
 
-def test_a_key_must_not_move_to_another_day(spark, tmp_path):
-    path = str(tmp_path / "table")
-    frame = lambda *rows: spark.createDataFrame(rows, "id int, day string")
-    incremental.write_replacing(path, frame((1, "a"), (2, "a")), ["id"], "day")
-    with pytest.raises(ValueError, match="another day"):
-        incremental.write_replacing(path, frame((2, "b")), ["id"], "day")
-    incremental.write_replacing(path, frame((2, "a"), (3, "b")), ["id"], "day")
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
-
-
-def test_newest_of_each_opens_old_folders_only_where_needed(spark, tmp_path):
-    path = str(tmp_path / "table")
-    rows = [("a", 1, "d1"), ("b", 2, "d1"), ("a", 3, "d2"), ("b", 4, "d0"), ("a", 5, "d3")]
-    spark.createDataFrame(rows, "region string, v int, day string").write.partitionBy("day").parquet(path)
-    found = incremental.newest_of_each(spark, path, "day", "region", ["a", "b"])
-    assert sorted(r.day for r in found.collect()) == ["d1", "d1", "d3"]
-
-
 def test_replacing_a_table_keeps_the_old_rows_until_the_end(spark, tmp_path):
     path = str(tmp_path / "table")
     assert tables.read_table_if_exists(spark, path) is None
@@ -250,3 +215,46 @@ def test_replacing_a_table_keeps_the_old_rows_until_the_end(spark, tmp_path):
         tables.replace_table(spark.range(n), path)
     assert tables.read_table_if_exists(spark, path).count() == 6
     assert len([p for p in (tmp_path / "table").iterdir() if p.name.startswith("version-")]) <= 2
+
+
+def test_boxes_as_a_table_equal_the_chain_of_conditions(spark):
+    from flowmart.functions.places import PORT_BOXES, port_region
+
+    rng = random.Random(4)
+    listed = list(PORT_BOXES)
+    for k in range(300):
+        south, west = round(rng.uniform(-80, 80), 3), round(rng.uniform(-179, 179), 3)
+        size = rng.choice([0.0, 0.004, 0.3, 5.0, 40.0])
+        listed.append((f"box {k}", south, west, south + size, west + size * rng.choice([0.1, 1.0])))
+    listed += [("world", -90.0, -180.0, 90.0, 180.0), ("wrong", 10.0, 10.0, 0.0, 0.0)]
+    points = [(round(rng.uniform(-90, 90), 3), round(rng.uniform(-180, 180), 3)) for _ in range(2000)]
+    points += [(box[1 + 2 * (k % 2)], box[2 + 2 * (k // 2 % 2)]) for k, box in enumerate(listed)]
+    points += [(None, 1.0), (1.0, None), (None, None), (-0.0, 0.0), (0.0, 0.0), (48.95, -123.65), (48.95, -123.65), (91.0, 0.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, lat double, lon double")
+    for some in (listed, listed[:-2], listed[:2]):
+        table = spark.createDataFrame(
+            [(*box, k) for k, box in enumerate(some)] + [("no edge", None, 0.0, 1.0, 1.0, -1)],
+            "region string, south double, west double, north double, east double, priority int",
+        )
+        got = boxes.region_by_boxes(df, table, "lat", "lon")
+        assert got.columns == ["i", "lat", "lon", "region"]
+        chain = df.withColumn("region", port_region(F.col("lat"), F.col("lon"), some[:90] + some[-2:]))
+        if len(some) < 90:
+            assert rows_of(got, "i", "region") == rows_of(chain, "i", "region")
+        want = {
+            i: next((b[0] for b in some if None not in p and b[1] <= p[0] <= b[3] and b[2] <= p[1] <= b[4]), None)
+            for i, p in enumerate(points)
+        }
+        assert dict(rows_of(got, "i", "region")) == want
+
+
+def test_a_box_touches_four_cells_at_most(spark):
+    rng = random.Random(9)
+    rows = [(rng.uniform(-90, 90), rng.uniform(-180, 180), 10 ** rng.uniform(-4, 2.2)) for _ in range(500)]
+    table = spark.createDataFrame(
+        [(str(k), s, w, s + d, w + d, k) for k, (s, w, d) in enumerate(rows)],
+        "region string, south double, west double, north double, east double, priority int",
+    )
+    cells = boxes.box_cells(table)
+    assert cells.groupBy("region").count().agg(F.max("count")).first()[0] <= 4
+    assert cells.select("level").distinct().count() <= boxes.LEVELS
