@@ -59,6 +59,32 @@ def port_congestion(latest: DataFrame, vessels: DataFrame, window: str = WINDOW)
     return finish_congestion(grouped)
 
 
+def congestion_writer(
+    path: str, vessels: Callable[[SparkSession], DataFrame]
+) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` function: congestion of the windows that `latest_positions` closes (R2).
+
+    All vessels of a window come in the batch that closes it, so its counts are final.
+    `vessels` is read anew for each batch: a category that arrives while the stream runs
+    counts from the next window on. A repeated batch replaces its own rows.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        flagged = batch.select(
+            F.col("window.start").alias("snapshot_ts"),
+            "mmsi",
+            "region",
+            F.col("sog").alias("speed_over_ground_kn"),
+            is_stationary(F.col("navigational_status"), F.col("sog")).alias("is_stationary"),
+        )
+        keys = ["snapshot_ts", "region"]
+        joined = with_vessel_category(flagged, vessels(batch.sparkSession))
+        grouped = joined.groupBy(*keys).agg(*congestion_measures(keys))
+        finish_congestion(grouped).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return write
+
+
 # Windows this far behind the newest one no longer get records that compete inside them.
 OPEN_FOR = timedelta(days=1)
 VERSIONS_KEPT = 2

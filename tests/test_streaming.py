@@ -1,15 +1,17 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from flowmart.operators.incremental import fold_attributes
 from flowmart.operators.latest import latest_per_key
 from flowmart.plans import marts, staging
 from flowmart.session import scratch_path
 from flowmart.sources import ais
-from flowmart.streaming import ais as ais_stream, border as border_stream, run
+from flowmart.streaming import ais as ais_stream, border as border_stream, run, vessel_state
 from test_sources import GOOD, HEADER, land, static
 
 START = datetime(2026, 6, 16, 20, 0)
@@ -30,14 +32,11 @@ def reports(spark, minutes_by_mmsi, first=0):
 def test_latest_positions_in_micro_batches_equal_batch(spark, tmp_path):
     landed, out = str(tmp_path / "in"), str(tmp_path / "out")
     parts = [[(1, 1), (2, 3), (1, 7)], [(1, 14), (2, 16), (3, 20)], [(2, 31), (1, 33)], [(9, 120)]]
-    queries = []
     for part in parts:
         reports(spark, part).coalesce(1).write.mode("append").parquet(landed)
         stream = ais_stream.latest_positions(spark.readStream.schema(REPORT).parquet(landed))
-        queries.append(
-            run.append_available(
-                stream.withColumn("start", F.col("window.start")).drop("window"), out, str(tmp_path / "ck")
-            )
+        run.append_available(
+            stream.withColumn("start", F.col("window.start")).drop("window"), out, str(tmp_path / "ck")
         )
     got = {(r.start, r.mmsi): r.sog for r in spark.read.parquet(out).collect()}
     everything = ais.with_snapshot(spark.read.parquet(landed))
@@ -48,20 +47,96 @@ def test_latest_positions_in_micro_batches_equal_batch(spark, tmp_path):
         if r.snapshot_ts + timedelta(minutes=15) <= START + timedelta(minutes=110)
     }
     assert got == want and len(want) == 6
-    assert sum(map(run.late_rows, queries)) == 0
 
 
-def test_late_rows_are_counted(spark, tmp_path):
+def test_late_rows_of_all_batches_are_counted(spark, tmp_path):
+    """More batches than a query's recent progress keeps, and a restart."""
     landed, out = str(tmp_path / "in"), str(tmp_path / "out")
-    dropped = 0
-    for part in ([(1, 1)], [(1, 90)], [(2, 2)]):
-        reports(spark, part).coalesce(1).write.mode("append").parquet(landed)
+    listener = run.LateRows(spark, str(tmp_path / "late"))
+    spark.streams.addListener(listener)
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for part in ([(1, 1)], [(1, 90)]):
+            reports(spark, part).coalesce(1).write.mode("append").parquet(landed)
+            query = _available(spark, landed, out, tmp_path)
+            assert run.late_rows(listener, query) == 0
+        for vessel in range(2, 9):
+            reports(spark, [(vessel, 2)]).coalesce(1).write.mode("append").parquet(landed)
+        query = _available(spark, landed, out, tmp_path)
+        assert len(query.recentProgress) <= 2
+        assert run.late_rows(listener, query) == 7
+        assert {r["rows"] for r in listener.counts().collect()} == {1}
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert {r.mmsi for r in spark.read.parquet(out).collect()} == {1}
+
+
+def _available(spark, landed, out, tmp_path):
+    source = spark.readStream.schema(REPORT).option("maxFilesPerTrigger", 1).parquet(landed)
+    return run.append_available(ais_stream.latest_positions(source).drop("window"), out, str(tmp_path / "ck"))
+
+
+def test_a_category_that_arrives_counts_from_the_next_window(spark, tmp_path):
+    landed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    known = {"rows": [(1, "cargo")]}
+
+    def vessels(session):
+        return session.createDataFrame(known["rows"], "mmsi bigint, vessel_category string")
+
+    def available():
         stream = ais_stream.latest_positions(spark.readStream.schema(REPORT).parquet(landed))
-        dropped += run.late_rows(
-            run.append_available(stream.drop("window"), out, str(tmp_path / "ck"))
+        (
+            stream.writeStream.foreachBatch(ais_stream.congestion_writer(out, vessels))
+            .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
         )
-    assert dropped == 1
-    assert {r.mmsi for r in spark.read.parquet(out).collect()} == {1}
+
+    reports(spark, [(1, 1), (2, 2), (9, 40)]).coalesce(1).write.mode("append").parquet(landed)
+    available()
+    known["rows"].append((2, "tanker"))
+    reports(spark, [(1, 46), (2, 47), (9, 90)]).coalesce(1).write.mode("append").parquet(landed)
+    available()
+    rows = {int((r.snapshot_ts - START).total_seconds() // 60): r for r in spark.read.parquet(out).collect()}
+    assert set(rows) == {0, 30, 45}
+    first, last = rows[0], rows[45]
+    assert (first.vessels_total, first.vessels_cargo, first.vessels_tanker, first.vessels_unknown_category) == (2, 1, 0, 1)
+    assert (last.vessels_total, last.vessels_cargo, last.vessels_tanker, last.vessels_unknown_category) == (2, 1, 1, 0)
+
+
+VESSEL = "mmsi bigint, at timestamp, seen bigint, ship_name string, ship_type int"
+
+
+@pytest.mark.parametrize("files", [[40], [1] * 40, [3, 17, 20], [39, 1]])
+def test_vessel_state_does_not_depend_on_batches(spark, tmp_path, files):
+    rnd = random.Random(2)
+    rows = []
+    for k in range(40):
+        window = START + timedelta(minutes=15 * (k // 2 - (k % 5 == 4)))
+        rows.append((rnd.randint(1, 4), window, k, rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1, 2, 3])))
+    # Two records of one window, the earlier one last.
+    rows += [(1, START + timedelta(hours=9), 101, "late", 7), (1, START + timedelta(hours=9), 100, "early", 8)]
+    landed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    at = 0
+    for n in [*files, 2]:
+        spark.createDataFrame(rows[at : at + n], VESSEL).coalesce(1).write.mode("append").parquet(landed)
+        at += n
+    stream = vessel_state.vessel_attributes(
+        spark.readStream.schema(VESSEL).option("maxFilesPerTrigger", 1).parquet(landed),
+        "at", ["seen"], attributes=["ship_name", "ship_type"], watermark="2 hours",
+    )
+    query = (
+        stream.writeStream.outputMode("update").foreachBatch(vessel_state.change_writer(out))
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    newest = latest_per_key(spark.createDataFrame(rows, VESSEL), ["mmsi", "at"], ["seen"])
+    want = fold_attributes(newest, "mmsi", ["ship_name", "ship_type"], ["at"])
+    got = vessel_state.newest_attributes(spark, out).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # A batch stores its own vessels only.
+    last = spark.read.parquet(out).where("batch > 0").groupBy("batch").count().collect()
+    assert all(r["count"] <= 4 for r in last)
 
 
 def test_stream_congestion_equals_batch(spark, tmp_path):
