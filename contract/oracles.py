@@ -691,6 +691,31 @@ BODIES: dict[str, str] = {
 BODIES["archive_backfill"] = BODIES["load_archive"]
 BODIES["collect_border_twice"] = BODIES["load_border_feed"].replace("select fetched_at, ", "select ")
 BODIES["stream_vessel_static"] = BODIES["vessel_static_upsert"]
+BODIES["stream_vessel_state"] = BODIES["vessel_static_upsert"]
+BODIES["crossings_reloaded"] = BODIES["dim_crossings"]
+BODIES["late_border_rows"] = "select count(*) as late_rows from border_raw"
+BODIES["versioned_border_build"] = (
+    "select wait_observation_key, fetched_at, delay_minutes, feed_lag_minutes, congestion_band from facts"
+)
+BODIES["profile_from_stored_counts"] = BODIES["border_delay_profile"]
+BODIES["distinct_vessels_by_region"] = (
+    "select region, count(distinct mmsi) as vessels, true as is_close from ais_messages group by region"
+)
+_BOXES = """
+    (select 'box ' || c_custkey as region, south, west, round(south + size, 6) as north,
+            round(west + 2 * size, 6) as east, (c_custkey * 7919) % 1009 as priority
+     from (select c_custkey, round(48.8 + (c_custkey % 97) / 100.0, 6)::double as south,
+                  round(-123.8 + (c_custkey % 113) / 100.0, 6)::double as west,
+                  (case when c_custkey % 50 = 0 then 0.3 when c_custkey % 3 = 0 then 0.011 else 0.004 end)::double as size
+           from customer))"""
+BODIES["region_by_box_table"] = f"""
+    select snapshot_id, found.region
+    from ais_messages m
+    left join (
+        select latitude, longitude, arg_min(region, (priority, region)) as region
+        from (select distinct latitude, longitude from ais_messages)
+        join {_BOXES} b on latitude between south and north and longitude between west and east
+        group by all) found on m.latitude = found.latitude and m.longitude = found.longitude"""
 
 _STREAM_POSITIONS = """
     (select bucket as snapshot_ts, mmsi, region, sog as speed_over_ground_kn,
@@ -703,4 +728,6 @@ BODIES["stream_port_congestion"] = VIEWS["congestion"].replace(
     "from positions p", f"from {_STREAM_POSITIONS} p"
 )
 
+BODIES["stream_congestion_by_batch"] = BODIES["stream_port_congestion"]
+
 ORACLES = {name: with_views(body) for name, body in BODIES.items()}

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowmart.functions import delay, keys, places, text, timez, vessel
-from flowmart.operators import incremental, latest, metrics, quality
-from flowmart.plans import collect, marts, model, serving, staging, warehouse
+from flowmart.operators import boxes, incremental, latest, metrics, quality
+from flowmart.plans import collect, marts, model, rollups, serving, staging, warehouse
 from flowmart.session import configure, pin, scratch_path
 from flowmart.sources import adapters, ais, archive, border_feed, files
-from flowmart.sources.tables import Warehouse
-from flowmart.streaming import ais as ais_stream, border as border_stream, run
+from flowmart.sources.tables import Warehouse, current_path, read_source, replace_table
+from flowmart.streaming import ais as ais_stream, border as border_stream, run, vessel_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,7 +138,7 @@ def load_archive(spark, sf):
 @query
 def archive_backfill(spark, sf):
     """The archive's files loaded in two runs, the second of which finds some of them done."""
-    path, table, ledger = (scratch_path(spark, f"backfill-{part}") for part in ("csv", "table", "ledger"))
+    path, table = (scratch_path(spark, f"backfill-{part}") for part in ("csv", "table"))
     rows = adapters.archive_raw(spark, sf).select(*archive.ARCHIVE_COLUMNS).withColumnsRenamed(
         {"customs_office": "Customs Office", "location": "Location", "updated_text": "Updated"}
     )
@@ -146,9 +146,9 @@ def archive_backfill(spark, sf):
     urls = files.landed_files(spark, path).select(F.col("path").alias("url"))
     manifest = pin(archive.archive_manifest(urls), "manifest")
     some = F.pmod(F.xxhash64("source_file"), F.lit(2)) == 0
-    archive.backfill(spark, manifest.where(some), table, ledger)
-    archive.backfill(spark, manifest, table, ledger)
-    return spark.read.parquet(table).select(*archive.ARCHIVE_COLUMNS)
+    archive.backfill(spark, manifest.where(some), table)
+    archive.backfill(spark, manifest, table)
+    return archive.archive_table(spark, table).read().select(*archive.ARCHIVE_COLUMNS)
 
 
 @query
@@ -164,6 +164,7 @@ def collect_border_twice(spark, sf):
             "source_file"
         ).text(feed)
         collect.collect_border(house, feed)
+    house.table("raw", "border_raw", "observation_id").compact()
     return house.read("raw", "border_raw").select(*border_feed.FEED_COLUMNS)
 
 
@@ -277,6 +278,24 @@ def region_for_position(spark, sf):
     )
 
 
+@query
+def region_by_box_table(spark, sf):
+    """Positions looked up in a table of boxes, one per customer, some large and many small."""
+    n = F.col("c_custkey")
+    south, west = F.round(48.8 + (n % 97) / 100.0, 6), F.round(-123.8 + (n % 113) / 100.0, 6)
+    size = F.when(n % 50 == 0, 0.3).when(n % 3 == 0, 0.011).otherwise(0.004)
+    table = adapters.table(spark, sf, "customer").select(
+        F.concat(F.lit("box "), n.cast("string")).alias("region"),
+        south.cast("double").alias("south"),
+        west.cast("double").alias("west"),
+        F.round(south + size, 6).cast("double").alias("north"),
+        F.round(west + 2 * size, 6).cast("double").alias("east"),
+        F.pmod(n * 7919, F.lit(1009)).alias("priority"),
+    )
+    messages = adapters.ais_messages(spark, sf).drop("region")
+    return boxes.region_by_boxes(messages, table, "latitude", "longitude").select("snapshot_id", "region")
+
+
 @query
 def latest_position_per_window(spark, sf):
     return adapters.ais_positions(spark, sf)
@@ -437,6 +456,32 @@ def border_delay_profile(spark, sf):
     return marts.agg_border_delay_profile(history(spark, sf))
 
 
+@query
+def profile_from_stored_counts(spark, sf):
+    """The profile after three loads of the archive, each counted once when it arrives."""
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    source = house.table("raw", "hist_raw", partition="source_file")
+    counts = house.table("analytics_staging", "profile_counts", partition="load_name")
+    raw = adapters.archive_raw(spark, sf)
+    part = F.pmod("historical_id", F.lit(3)).cast("string")
+    for name in "102":
+        source.replace(raw.withColumn("source_file", F.concat(F.lit("part-"), part)).where(part == name))
+        profile = rollups.add_profile_counts(counts, source, staging.stg_border_waits_historical)
+    return profile
+
+
+@query
+def distinct_vessels_by_region(spark, sf):
+    """Vessels per region from daily sketches, beside the exact count; four standard errors count as close."""
+    seen = adapters.ais_messages(spark, sf).select("region", "mmsi", F.to_date("message_ts").alias("day"))
+    daily = pin(rollups.distinct_sketches(seen, ["day", "region"], "mmsi"), "daily-sketches")
+    estimated = rollups.distinct_over(daily, ["region"], "estimate")
+    exact = seen.groupBy("region").agg(F.count_distinct("mmsi").alias("vessels"))
+    joined = exact.join(estimated, exact.region.eqNullSafe(estimated.region)).drop(estimated.region)
+    off = F.abs(F.col("estimate") - F.col("vessels")) / F.col("vessels")
+    return joined.select("region", "vessels", (off <= 4 * rollups.SKETCH_ERROR).alias("is_close"))
+
+
 # --- serving -----------------------------------------------------------------
 
 
@@ -549,6 +594,27 @@ def incremental_border_build(spark, sf):
     )
 
 
+@query
+def versioned_border_build(spark, sf):
+    """Facts from a raw table that grows by three loads whose times overlap, built after each."""
+    house = Warehouse(spark, scratch_path(spark, "house"))
+    raw = house.table("raw", "border_raw", "observation_id")
+    rows = adapters.border_raw(spark, sf).withColumn("day", F.to_date("fetched_at"))
+    for part in (2, 0, 1):
+        raw.replace(rows.where(F.pmod("observation_id", F.lit(3)) == part))
+        facts = warehouse.build_border(house, raw)
+    return facts.select("wait_observation_key", "fetched_at", "delay_minutes", "feed_lag_minutes", "congestion_band")
+
+
+@query
+def crossings_reloaded(spark, sf):
+    """The crossing table truncated and reloaded, then read as a Spark source."""
+    staged, path = waits(spark, sf), scratch_path(spark, "crossings")
+    for rows in (staged.where(F.col("fetched_at") < at("2024-01-10 00:00:00")), staged):
+        replace_table(marts.dim_crossings(rows), path)
+    return read_source(spark, "parquet", current_path(spark, path))
+
+
 # --- streaming ---------------------------------------------------------------
 
 
@@ -601,6 +667,23 @@ def stream_port_congestion(spark, sf):
     )
 
 
+@query
+def stream_congestion_by_batch(spark, sf):
+    """Congestion of closed windows with the vessel table as each batch finds it."""
+    out = scratch_path(spark, "congestion")
+    known = pin(vessels(spark, sf), "vessels")
+    writer = ais_stream.congestion_writer(f"{out}/rows", lambda session: known)
+    (
+        _latest_stream(spark, sf)
+        .writeStream.foreachBatch(writer)
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(f"{out}/rows").drop("batch")
+
+
 @query
 def stream_border_waits(spark, sf):
     """Readings sent twice, staged once."""
@@ -635,6 +718,44 @@ def stream_vessel_static(spark, sf):
     )
 
 
+@query
+def stream_vessel_state(spark, sf):
+    """The same attributes as keyed state, a batch writing its own vessels only."""
+    reports = spark.sql(STATIC_HISTORY_SQL, events=event_stream(spark, sf))
+    out = scratch_path(spark, "vessels")
+    stream = vessel_state.vessel_attributes(
+        reports, "snapshot_ts", ["seen_at", "event_id"], "1 hour", STATIC_HISTORY_COLUMNS
+    )
+    (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(vessel_state.change_writer(f"{out}/changes"))
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return vessel_state.newest_attributes(spark, f"{out}/changes")
+
+
+@query
+def late_border_rows(spark, sf):
+    """Readings behind the watermark, counted batch by batch (R5): all, after one from far later."""
+    raw = adapters.border_raw(spark, sf)
+    landed, out = scratch_path(spark, "landed"), scratch_path(spark, "late")
+    listener = run.LateRows(spark, f"{out}/counts")
+    spark.streams.addListener(listener)
+    later = raw.groupBy().agg(*[F.max(c).alias(c) for c in raw.columns]).withColumn("fetched_at", at("2100-01-01 00:00:00"))
+    try:
+        for rows in (later, later.withColumn("observation_id", F.lit(-1)), raw):
+            rows.select([F.col(f.name).cast(f.dataType) for f in raw.schema]).write.mode("append").parquet(landed)
+            stream = border_stream.staged_waits(spark.readStream.schema(raw.schema).parquet(landed))
+            ended = run.append_available(stream.select("wait_observation_key"), f"{out}/rows", f"{out}/checkpoint")
+            counts = pin(listener.counts(ended), "counts")
+    finally:
+        spark.streams.removeListener(listener)
+    return counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("late_rows"))
+
+
 # --- assertions --------------------------------------------------------------
 
 
@@ -736,7 +857,8 @@ def profile_assertions(spark, sf):
 
 @query
 def temporal_split_counts(spark, sf):
-    cells = model.with_side(model.delay_cells(history(spark, sf)), TRAIN_MAX_YEAR, TEST_YEAR)
+    cells = pin(model.delay_cells(history(spark, sf)), "cells")
+    cells = model.with_side(cells, TRAIN_MAX_YEAR, TEST_YEAR)
     return model.by_side(cells, F.coalesce(F.sum("n"), F.lit(0)).alias("readings"))
 
 
@@ -795,7 +917,8 @@ def baseline_mae(spark, sf):
 
 @query
 def delayed_share(spark, sf):
-    cells = model.with_side(model.delay_cells(history(spark, sf)), TRAIN_MAX_YEAR, TEST_YEAR)
+    cells = pin(model.delay_cells(history(spark, sf)), "cells")
+    cells = model.with_side(cells, TRAIN_MAX_YEAR, TEST_YEAR)
     share = metrics.weighted_mean((F.col("delay_minutes") > 0).cast("double"), F.col("n"))
     return model.by_side(cells, F.round(share, 6).alias("delayed_share"))
 
@@ -864,14 +987,16 @@ def lookup_summary(spark, sf):
     return row.withColumns({c: F.round(c, 6) for c in row.columns if c not in ("retrained_at", "age_label")})
 
 
-_HURDLES: dict[tuple[str, str], tuple] = {}
+_HURDLES: dict[tuple, tuple] = {}
 
 
 def _hurdle(spark, sf):
-    """Both sides of the split and the hurdle model, trained once per session and input."""
-    key = (spark.sparkContext.applicationId, sf)
+    """Both sides of the split and the hurdle model, trained once per session and files."""
+    read = files.landed_files(spark, f"{sf}/lineitem.parquet").orderBy("path").collect()
+    key = (spark.sparkContext.applicationId, *[tuple(row) for row in read])
     if key not in _HURDLES:
         train, test = split_cells(spark, sf)
+        _HURDLES.clear()
         _HURDLES[key] = (train, test, model.fit_hurdle(train))
     return _HURDLES[key]
 
