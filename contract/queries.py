@@ -98,9 +98,8 @@ STATIC_HISTORY_COLUMNS = ["ship_name", "ship_type", "destination", "max_draught"
 # --- sources -----------------------------------------------------------------
 
 
-def feed_bodies(spark, sf):
+def feed_bodies(raw):
     """Rows rendered to feed bodies of at most thirty lines."""
-    raw = adapters.border_raw(spark, sf)
     line = F.concat_ws(
         " ;; ", *[F.coalesce(F.col(c), F.lit("")) for c in border_feed.FEED_COLUMNS]
     )
@@ -120,7 +119,8 @@ def feed_bodies(spark, sf):
 @query
 def load_border_feed(spark, sf):
     """Feed bodies, parsed."""
-    return border_feed.parse_feed(border_feed.feed_lines(feed_bodies(spark, sf))).select(
+    bodies = feed_bodies(adapters.border_raw(spark, sf))
+    return border_feed.parse_feed(border_feed.feed_lines(bodies)).select(
         "fetched_at", *border_feed.FEED_COLUMNS
     )
 
@@ -156,7 +156,9 @@ def collect_border_twice(spark, sf):
     """A folder collected when half of its fetches have landed, and again when all have."""
     feed, root = scratch_path(spark, "feed"), scratch_path(spark, "house")
     house = Warehouse(spark, root)
-    fetches = feed_bodies(spark, sf).withColumn("part", F.pmod(F.xxhash64("source_file"), F.lit(2)))
+    # A sample row has a time of its own; a fetch reads all its crossings at one.
+    raw = adapters.border_raw(spark, sf).withColumn("fetched_at", as_of())
+    fetches = feed_bodies(raw).withColumn("part", F.pmod(F.xxhash64("source_file"), F.lit(2)))
     fetches = pin(fetches, "fetches")
     for part in (0, 1):
         # A file per fetch: bodies are one row each, dealt out by their name.
