@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -9,9 +11,10 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Rows Spark hands to Python at a time, and their bytes; a longer text comes alone.
+#: Rows Spark hands to Python at a time, and their bytes; a longer text comes alone. Several
+#: copies of a batch are alive at once, in the JVM, on the way and as arrays.
 BATCH_ROWS = 2048
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -34,6 +37,23 @@ def once(key: tuple, make: Callable[[], object]):
     return store[key]
 
 
+def give_back() -> None:
+    """Free memory a task leaves goes back to the system: workers outlive tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`mapInArrow`, after which a task gives its memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like `name` that `df` doesn't have."""
     taken = {c.lower() for c in df.columns}
@@ -52,11 +72,13 @@ def text_function(make: Callable[[], Callable[[pa.Array], pa.Array]], kind: str)
         run = make()
         for arrays in batches:
             yield run(*arrays)
+        give_back()
 
     def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = make()
         for array in batches:
             yield run(array)
+        give_back()
 
     several.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
     one.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

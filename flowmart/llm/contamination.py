@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowmart.llm.arrow import bound_batches, text_function, unused
+from flowmart.llm.arrow import bound_batches, map_arrow, text_function, unused
 from flowmart.llm.words import ALPHANUMERIC, shingles, text_buffers, word_slices
 from flowmart.session import Scratch
 
@@ -221,7 +221,7 @@ def benchmark_blocks(
     with Scratch(spark) as scratch:
         items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
         kind = "item string, words array<bigint>, tokens array<bigint>"
-        made = items.mapInArrow(lambda batches: _windows(batches, length, size), kind).distinct()
+        made = map_arrow(items, lambda batches: _windows(batches, length, size), kind).distinct()
         made = scratch.pin(made.withColumn("part", F.xxhash64("words")), "windows")
         # Windows are counted with their items, so a window that all items share fits its block too.
         blocks = max(1, -(-made.count() // block_windows))
@@ -235,8 +235,8 @@ def benchmark_blocks(
             sizes = sorted({min(len(r.words), size) for r in rows})
             listed = np.unique(np.array([t for r in rows for t in r.tokens], np.int64).view(np.uint64))
             tokens = spark.sparkContext.broadcast(listed)
-            counts = docs.select("text").mapInArrow(
-                lambda batches, t=tokens, s=sizes: _count_tokens(batches, t, s), "token bigint, n bigint"
+            counts = map_arrow(
+                docs.select("text"), lambda batches, t=tokens, s=sizes: _count_tokens(batches, t, s), "token bigint, n bigint"
             )
             counted = {r.token: r.n for r in counts.groupBy("token").agg(F.sum("n").alias("n")).collect()}
             yield _index(rows, counted, size)
@@ -260,9 +260,11 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, name: str = "conta
     found = [search(index) for index in benchmark_blocks(docs, benchmark, **options)]
     if found:
         n_words = found[0]["n_words"]
-        spans = [f["spans"] for f in found]
-        n_hit = text_function(lambda: _union, "bigint")(*spans)
         items = F.array_sort(F.array_distinct(F.concat(*[f["items"] for f in found])))
+        if len(found) > 1:
+            n_hit = text_function(lambda: _union, "bigint")(*[f["spans"] for f in found])
+        else:  # a text's spans don't overlap: starts at even places, ends at odd ones
+            n_hit = F.aggregate(found[0]["spans"], F.lit(0).cast("bigint"), lambda total, at: at - total)
     else:
         n_words, n_hit = text_function(lambda: _count_words, "bigint")("text"), F.lit(0).cast("bigint")
         items = F.array().cast("array<string>")

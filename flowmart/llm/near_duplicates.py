@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flowmart.llm import hyperminhash
-from flowmart.llm.arrow import bound_batches, text_function, unused
+from flowmart.llm.arrow import bound_batches, map_arrow, text_function, unused
 from flowmart.llm.links import components
 from flowmart.llm.words import SPACED, distinct, shingles, word_slices
 from flowmart.session import Scratch
@@ -302,9 +302,8 @@ def near_components(docs: DataFrame, size: int = 5, percent: int = 80, block: in
         )
         blocks = _blocked(apart, block).join(sets.select("node", "n", "bands", "cells"), "node")
         keys = ["band", "key", "low", "high"]
-        rest = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-            lambda batches: _block_pairs(batches, percent), "a bigint, b bigint"
-        )
+        dealt = blocks.repartition(*keys).sortWithinPartitions(*keys)
+        rest = map_arrow(dealt, lambda batches: _block_pairs(batches, percent), "a bigint, b bigint")
         rest = scratch.pin(rest, "rest")
         rest_links = confirmed(rest, "rest-links")
         scratch.drop("sets", "apart", "rest", "members", "chosen")

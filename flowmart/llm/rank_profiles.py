@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowmart.llm.arrow import bound_batches, text_function, unused
+from flowmart.llm.arrow import bound_batches, map_arrow, text_function, unused
 from flowmart.llm.words import SLICE_BYTES, pieces, text_buffers
 
 PROFILE = 400
@@ -133,7 +133,7 @@ def profiles(texts: DataFrame, length: int = PROFILE) -> dict[str, list[int]]:
     """
     bound_batches(texts.sparkSession)
     rows = texts.where(F.col("lang").isNotNull()).select("lang", F.lower("text").alias("text"))
-    counts = rows.mapInArrow(_train, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = map_arrow(rows, _train, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= length)
     best = best.limit(length * MOST_LANGUAGES + 1).collect()
@@ -178,31 +178,39 @@ def distances(texts: pa.Array, codes: np.ndarray, ranks: np.ndarray, length: int
 
 
 def predict(text: Column | str, learned: dict[str, list[int]], length: int = PROFILE) -> Column:
-    """Struct of lang and score: how much nearer the first profile is than the second.
+    """Struct of lang, score and distance: how much nearer the first profile is than the second.
 
     The score is the second distance's share of the first two together, 1 for a text
-    that fits one profile exactly, 0.5 for one between two profiles.
+    that fits one profile exactly, 0.5 for one between two profiles. The distance is that to
+    the first profile as a share of the largest there is: 1 where no n-gram is in it.
     """
     text = F.col(text) if isinstance(text, str) else text
-    nothing = F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"))
+    nothing = F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"), F.lit(1.0).alias("distance"))
     if not learned:
         return nothing
     names, codes, ranks = _table(learned, length)
 
     def run(texts: pa.Array) -> pa.Array:
-        total, _ = distances(texts, codes, ranks, length)
+        total, used = distances(texts, codes, ranks, length)
         order = np.argsort(total, axis=1, kind="stable")
         best = np.take_along_axis(total, order[:, :1], 1)[:, 0]
         second = np.take_along_axis(total, order[:, 1:2], 1)[:, 0] if len(names) > 1 else np.ones(len(total))
         score = np.where(best + second > 0, second / np.maximum(best + second, 1), 0.5)
         return pa.StructArray.from_arrays(
-            [pa.array([names[k] for k in order[:, 0]], pa.string()), pa.array(score.astype(np.float64))],
-            names=["lang", "score"],
+            [
+                pa.array([names[k] for k in order[:, 0]], pa.string()),
+                pa.array(score.astype(np.float64)),
+                pa.array(np.where(used > 0, best / np.maximum(used * length, 1), 1.0)),
+            ],
+            names=["lang", "score", "distance"],
         )
 
-    lettered = F.coalesce(text, F.lit("")).rlike(r"\p{L}")
-    guessed = text_function(lambda: run, "struct<lang:string,score:double>")(F.lower(text))
-    return F.when(lettered, guessed).otherwise(nothing)
+    guessed = text_function(lambda: run, "struct<lang:string,score:double,distance:double>")(F.lower(text))
+    return F.when(has_letters(text), guessed).otherwise(nothing)
+
+
+def has_letters(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).rlike(r"\p{L}")
 
 
 def held_out(doc_id: Column | str, parts: int, part: int) -> Column:
@@ -220,9 +228,16 @@ def languages(docs: DataFrame, length: int = PROFILE) -> DataFrame:
 
 
 def in_a_language(docs: DataFrame, length: int = PROFILE) -> DataFrame:
-    """Rows of `docs` whose language can be told, with all their columns; others go."""
+    """Rows of `docs` in a language, with all their columns; others go.
+
+    Rows without a letter go, and those as far from every profile as a text can be: none of
+    their most frequent n-grams is in one. A doubtful or foreign language is no reason, nor is
+    the name of the nearest one. Where there is nothing to learn from, letters alone decide.
+    """
     bound_batches(docs.sparkSession)
     learned = profiles(docs.where(~held_out("doc_id", 4, 2)).select("lang", "text"), length)
+    if not learned:
+        return docs.where(has_letters(docs["text"]))
     name = unused(docs, "_language")
     told = docs.withColumn(name, predict("text", learned, length))
-    return told.where(F.col(name)["lang"] != UNDETERMINED).drop(name)
+    return told.where(F.col(name)["distance"] < 1).drop(name)

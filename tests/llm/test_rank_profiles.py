@@ -92,3 +92,18 @@ def test_ranks_of_very_frequent_grams_follow_their_counts():
     _, codes, ranks = rank_profiles._table(learned, 400)
     a_first, _ = rank_profiles.distances(pa.array([text]), codes, ranks, 400)
     assert b_first[0, 0] < a_first[0, 0]
+
+
+def test_stage_without_labels_keeps_texts_with_letters(documents):
+    rows = [(1, "some words"), (2, "123 ..."), (3, None), (4, "ещё слова")]
+    kept = rank_profiles.in_a_language(documents(rows, lang=None))
+    assert {r.doc_id for r in kept.collect()} == {1, 4}
+
+
+def test_stage_keeps_clean_texts_of_every_learned_language_and_a_learned_und(documents):
+    words = {"en": "the quick brown fox and the lazy dog", "de": "der schnelle braune fuchs und der hund", "und": "zzyx qwv xkcd zzq"}
+    names = sorted(words)
+    rows = [(k, f"{words[names[k % 3]]} {k}") for k in range(60)]
+    rows += [(100, "日本語の文章です"), (101, "Русский текст"), (102, "other words of some tongue"), (103, "4711")]
+    kept = rank_profiles.in_a_language(documents(rows, lang=lambda i: names[i % 3] if i < 60 else None))
+    assert {r.doc_id for r in kept.collect()} == {*range(60), 102}
