@@ -18,22 +18,27 @@ from __future__ import annotations
 import json
 import math
 import re
-import unicodedata
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from tokenizers import Regex
+from tokenizers.normalizers import NFC, Lowercase
+from tokenizers.pre_tokenizers import Split
 
 from flowmart.llm.arrow import bound_batches, once, text_function
+from flowmart.llm.pieces import Memory, PieceTable
 
-#: Steps, or pieces between white space, remembered at a time; of pieces twice as many.
+#: Steps of the transducer remembered at a time.
 REMEMBERED = 1 << 16
-#: Longer pieces between white space are not remembered.
-LONGEST_REMEMBERED = 64
+#: Words, and pieces between white space, remembered at a time, twice.
+REMEMBERED_WORDS = 1 << 17
+#: Tokens decoded together.
+TOKENS_TOGETHER = 1 << 19
 
 
 def byte_symbols() -> list[str]:
@@ -211,26 +216,30 @@ class Transducer:
 
     def word(self, symbols: str) -> Iterator[int]:
         """Tokens of one word as they become final."""
-        if len(self.steps) > REMEMBERED:
-            self.reset()
-        state, steps = 0, self.steps
+        state = 0
         for symbol in symbols[:-1]:
-            step = steps.get((state, symbol)) or self._step(state, symbol)
+            if len(self.steps) > REMEMBERED:
+                # The state alone goes on; a word of any length needs no more.
+                kept, tails = self.states[state]
+                self.reset()
+                state = self._state(kept, tails)
+            step = self.steps.get((state, symbol)) or self._step(state, symbol)
             state = step[0]
             yield from step[1]
         last = symbols[-1] + self.merges.word_end
-        yield from (steps.get((state, last)) or self._step(state, last))[1]
+        yield from (self.steps.get((state, last)) or self._step(state, last))[1]
 
 
 class LockStep:
-    """The transducer's recurrence for many short words at once, a symbol of each per step.
+    """The transducer's steps for many words at once, a symbol of each per step.
 
-    Words that end inside the lookahead are final when they end, so nothing has to be
-    emitted before: the last token of each prefix is found for all words together, and
-    the tokens are read off backwards from the ends.
+    Words that end inside the merge list's lookahead need not emit before they end: the last
+    token of each prefix, which is the transducer's state, is found for all words together,
+    and the tokens are read off backwards from the ends. Words beyond the lookahead, or of
+    more symbols than tables of this kind should have, are streamed one by one.
     """
 
-    #: Symbols of a word; longer ones go through the transducer. Words taken together.
+    #: Symbols of a word at most. Words taken together.
     SYMBOLS = 64
     WORDS = 8192
     _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -239,6 +248,7 @@ class LockStep:
         made = {left + right for left, right in merges.merges}
         if not merges.ordered or len(made) != len(merges.merges):
             raise ValueError("merges must come after those that make their parts, one for each token")
+        self.symbols = min(self.SYMBOLS, merges.lookahead)
         self.size = max(merges.vocab.values()) + 1
         codes = {t: self._codes(merges, t) for t in merges.vocab}
         self.length = np.zeros(self.size, np.int64)
@@ -260,8 +270,8 @@ class LockStep:
         self._edges(merges)
 
     def _power_table(self) -> np.ndarray:
-        table = np.ones(self.SYMBOLS + 1, np.uint64)
-        table[1:] = np.cumprod(np.full(self.SYMBOLS, self._BASE))
+        table = np.ones(self.symbols + 1, np.uint64)
+        table[1:] = np.cumprod(np.full(self.symbols, self._BASE))
         return table
 
     @staticmethod
@@ -376,12 +386,41 @@ class LockStep:
         return [table[k, width - n :].tobytes() for k, n in enumerate(counts.tolist())]
 
 
+def code_points() -> Iterator[tuple[int, str]]:
+    """All that may stand in a text: first code point and characters of one part after another."""
+    for first in range(0, 0x110000, 0x8000):
+        if first != 0xD800 - 0x5800:
+            yield first, "".join(map(chr, range(first, first + 0x8000)))
+        else:  # without surrogates
+            yield first, "".join(map(chr, range(first, 0xD800)))
+            yield 0xE000, "".join(map(chr, range(0xE000, 0x10000)))
+
+
+def class_ranges(kind: str) -> str:
+    """Code points of a class such as `\\p{L}`, as the tokenizers library knows it, as ranges of a pattern.
+
+    Python's own tables belong to another version of Unicode.
+    """
+    found = []
+    for first, text in code_points():
+        runs = Split(Regex(f"[^{kind}]+"), "removed").pre_tokenize_str(text)
+        found += [f"\\U{first + a:08x}-\\U{first + b - 1:08x}" for _, (a, b) in runs]
+    return "".join(found)
+
+
+def lower_table() -> dict[int, str]:
+    """Lower case of all code points that have another one, as the tokenizers library knows it."""
+    table = {}
+    for _, text in code_points():
+        every = text.replace("\n", "")
+        lowered = Lowercase().normalize_str("\n".join(every)).split("\n")
+        table |= {ord(c): low for c, low in zip(every, lowered, strict=True) if c != low}
+    return table
+
+
 class Encoder:
     """A tokenizer file's encoding, piece by piece between white space."""
 
-    #: Bytes of text whose unknown pieces are worked on together.
-    TOGETHER = 1 << 20
-
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -389,7 +428,9 @@ class Encoder:
         if kinds != ["NFC", "Replace", "Lowercase"] or spec["model"]["type"] != "BPE":
             raise ValueError(f"{path}: only composed, lower-cased BPE with word ends is built here")
         cut = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(cut)
+        for kind in (r"\p{L}", r"\p{N}", r"\s"):
+            cut = cut.replace(kind, class_ranges(kind))
+        self.words = re.compile(cut)
         model = spec["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.merges = MergeList(model["vocab"], merges, model["end_of_word_suffix"])
@@ -398,17 +439,20 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text = self.merges.text | {i: t for t, i in self.special.items()}
         self.splits = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
-        self.known: dict[str, bytes] = {}
-        self.known_before: dict[str, bytes] = {}
+        self.lower = lower_table()
+        self.compose = NFC().normalize_str
+        self.word_ids = Memory(self._words, REMEMBERED_WORDS)
+        self.table = PieceTable(self._learned, "<u4", REMEMBERED_WORDS)
 
     def _plain(self, text: str) -> list[bytes]:
         """Words of a text without special tokens."""
-        if not text.isascii():
-            # Composed; the lower case of a sigma doesn't depend on its place here.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        if text.isascii() and text.isalpha():
-            return [text.encode()]
+        if text.isascii():
+            text = text.lower()
+            if text.isalpha():
+                return [text.encode()]
+        else:
+            # Composed; a sigma's lower case doesn't depend on its place here.
+            text = self.compose(text).translate(self.lower)
         return [w.encode() for w in self.words.findall(text)]
 
     def _parts(self, piece: str) -> list[bytes | int]:
@@ -426,56 +470,36 @@ class Encoder:
         """Token ids of a word of any length, as they become final."""
         return self.transducer.word(word.decode("latin-1").translate(_TO_SYMBOLS))
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Take up pieces; their new words are encoded together."""
+    def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, short ones together."""
+        short = [w for w in words if len(w) <= self.lock_step.symbols]
+        made = dict(zip(short, self.lock_step.encode(short), strict=True))
+        for word in words:
+            if word not in made:
+                made[word] = np.fromiter(self.long_word(word), "<u4").tobytes()
+        return made
+
+    def _learned(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces; their words are looked up together."""
         parts = {p: self._parts(p) for p in pieces}
-        words: dict[bytes | int, bytes] = {}
-        short = []
-        for part in {w for found in parts.values() for w in found}:
-            if isinstance(part, int):
-                words[part] = part.to_bytes(4, "little")
-            elif len(part) <= LockStep.SYMBOLS:
-                short.append(part)
-            else:
-                words[part] = np.fromiter(self.long_word(part), "<u4").tobytes()
-        words.update(zip(short, self.lock_step.encode(short), strict=True))
-        for piece, found in parts.items():
-            self.known[piece] = b"".join([words[w] for w in found])
+        words = list({w for found in parts.values() for w in found if not isinstance(w, int)})
+        ids: dict[bytes | int, bytes] = dict(zip(words, self.word_ids(words), strict=True))
+        ids |= {i: i.to_bytes(4, "little") for i in self.special.values()}
+        return {piece: b"".join([ids[w] for w in found]) for piece, found in parts.items()}
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """All token ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= self.TOGETHER):
-                size += len(texts[end])
-                end += 1
-            out += self._together(texts[at:end])
-            at = end
-        return out
+        column = pa.array(texts, pa.string())
+        return [ids[a:b].tobytes() for ids, at in self.table.encode(column) for a, b in zip(at[:-1], at[1:], strict=True)]
 
-    def _together(self, texts: list[str]) -> list[bytes]:
-        # The four separate words for Python but are signs for the tokenizer.
-        cut = [t.split() if not re.search("[\x1c-\x1f]", t) else [p for p in re.split("[ \t\n\r\f\v]+", t) if p] for t in texts]
-        pieces = {p for text in cut for p in text}
-        if len(self.known) > REMEMBERED:
-            self.known_before, self.known = self.known, {}
-        unknown = []
-        for piece in pieces:
-            if piece not in self.known:
-                if (made := self.known_before.get(piece)) is not None:
-                    self.known[piece] = made
-                else:
-                    unknown.append(piece)
-        if unknown:
-            self._learn(unknown)
-        known = self.known
-        out = [b"".join([known[p] for p in text]) for text in cut]
-        for piece in unknown:
-            if len(piece) > LONGEST_REMEMBERED:
-                del known[piece]
-        return out
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """As `encode_batch`, for arrays."""
+        parts = []
+        for ids, at in self.table.encode(texts):
+            offsets = (at * 4).astype(np.int32)
+            data = np.ascontiguousarray(ids)
+            parts.append(pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
 
 class TokenText:
@@ -524,14 +548,22 @@ class TokenText:
         self.held, self.need = b"", 0
         return out
 
+    def transitions(self) -> list[str | None]:
+        """What each token puts out after another one, by id.
+
+        The spelled machine has two states, before the first token and after any, so a table
+        of its outputs in the second runs it; the first token's lacks the space.
+        """
+        self.started = True
+        return [self.feed(k) if k in self.text else None for k in range(max(self.text) + 1)]
+
 
 def encoder(path: str) -> Encoder:
     return once(("bpe", path), lambda: Encoder(path))
 
 
 def _encoded(path: str):
-    encode = encoder(path).encode_batch
-    return lambda texts: pa.array(encode([t or "" for t in texts.to_pylist()]), pa.binary())
+    return encoder(path).encode_column
 
 
 def token_texts(path: str) -> tuple[dict[int, str], str]:
@@ -542,22 +574,37 @@ def token_texts(path: str) -> tuple[dict[int, str], str]:
     return texts, spec["model"]["end_of_word_suffix"]
 
 
-def _decoded(path: str, spelled: bool):
-    texts, word_end = once(("texts", path), lambda: token_texts(path))
+def _outputs(path: str) -> pa.Array:
+    return pa.array(TokenText(*token_texts(path), True).transitions(), pa.string())
 
-    def run(columns: pa.Array) -> pa.Array:
+
+def _decoded(path: str, spelled: bool):
+    def fed(columns: pa.Array) -> pa.Array:
+        texts, word_end = once(("texts", path), lambda: token_texts(path))
         out = []
         for ids in columns.to_pylist():
-            tokens = np.frombuffer(ids or b"", "<u4").tolist()
-            if spelled:
-                # The spelled machine's output as a whole: a space between any two tokens.
-                out.append(" ".join(map(texts.__getitem__, tokens)))
-            else:
-                machine = TokenText(texts, word_end, False)
-                out.append("".join(chain(map(machine.feed, tokens), [machine.finish()])))
+            machine = TokenText(texts, word_end, False)
+            out.append("".join(chain(map(machine.feed, np.frombuffer(ids or b"", "<u4").tolist()), [machine.finish()])))
         return pa.array(out, pa.string())
 
-    return run
+    def run(columns: pa.Array) -> pa.Array:
+        outputs = once(("outputs", path), lambda: _outputs(path))
+        columns = columns.fill_null(b"")
+        offsets = np.frombuffer(columns.buffers()[1], np.int32)[columns.offset : columns.offset + len(columns) + 1] // 4
+        ids = np.frombuffer(columns.buffers()[2] or b"", "<u4")
+        parts = []
+        at = 0
+        while at < len(columns):
+            # A bounded number of tokens at a time; a longer text comes alone.
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + TOKENS_TOGETHER, "right")) - 1)
+            spoken = outputs.take(pa.array(ids[offsets[at] : offsets[end]]))
+            rows = pa.LargeListArray.from_arrays(pa.array((offsets[at : end + 1] - offsets[at]).astype(np.int64)), spoken)
+            # The first token comes in the first state, without the space.
+            parts.append(pc.utf8_slice_codeunits(pc.binary_join(rows, ""), 1))
+            at = end
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    return run if spelled else fed
 
 
 def encode(text: Column | str, path: str) -> Column:
@@ -577,10 +624,20 @@ def token_round_trip(docs: DataFrame, path: str) -> DataFrame:
     tokens. Other columns play no part.
     """
     bound_batches(docs.sparkSession)
-    ids = docs.select("doc_id", encode("text", path).alias("ids"))
-    return ids.select(
+
+    def both():
+        encoded, decoded = _encoded(path), _decoded(path, True)
+
+        def run(texts: pa.Array) -> pa.Array:
+            ids = encoded(texts)
+            return pa.StructArray.from_arrays([ids, decoded(ids)], names=["ids", "decoded"])
+
+        return run
+
+    made = docs.select("doc_id", text_function(both, "struct<ids:binary,decoded:string>")("text").alias("made"))
+    return made.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        "ids",
-        decode("ids", path).alias("decoded"),
+        (F.octet_length("made.ids") / 4).cast("bigint").alias("n_tokens"),
+        "made.ids",
+        "made.decoded",
     )

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -133,3 +134,44 @@ def test_query_matches_the_library(spark, small, library):
         digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert (r.n_tokens, r.ids_sha256) == (len(ids), digest)
         assert r.decoded_sha256 == brute.sha256(library.decode(ids, skip_special_tokens=False))
+
+
+def test_every_code_point_as_the_library(library, encoder):
+    """Alone between letters; in the planes without assignments every 61st."""
+    points = [c for c in range(0x34000) if not 0xD800 <= c < 0xE000] + list(range(0x34000, 0x110000, 61)) + list(range(0xE0000, 0xE0200))
+    texts = [" ".join(f"a{chr(c)}b" for c in points[k : k + 512]) for k in range(0, len(points), 512)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_batch(texts)]
+    assert [hex(points[512 * k]) for k in range(len(texts)) if got[k] != want[k]] == []
+
+
+def test_random_texts_as_the_library(library, encoder):
+    rnd = random.Random(11)
+    ranges = [(0x20, 0x7F), (0xA0, 0x600), (0x1E00, 0x2100), (0x3040, 0x3100), (0x0, 0xD800), (0x10000, 0x20000)]
+    texts = ["".join(chr(rnd.randrange(*rnd.choice(ranges))) for _ in range(14)) for _ in range(20_000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_batch(texts)]
+    assert [t for t, g, w in zip(texts, got, want, strict=True) if g != w] == []
+
+
+def test_one_long_word_in_constant_memory(library, encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 2000)
+    rnd = random.Random(3)
+    word = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzäöé") for _ in range(30_000))
+    transducer = bpe.Transducer(encoder.merges)
+    symbols = word.encode().decode("latin-1").translate(bpe._TO_SYMBOLS)
+    assert list(transducer.word(symbols)) == library.encode(word, add_special_tokens=False).ids
+    assert len(transducer.steps) <= 2001
+    assert max(len(kept) for kept, _ in transducer.states) <= encoder.merges.lookahead
+
+
+def test_decoding_is_the_machine_s(encoder):
+    texts, word_end = bpe.token_texts(TOKENIZER)
+    rnd = random.Random(8)
+    rows = [[rnd.randrange(49408) for _ in range(n)] for n in (0, 1, 2, 500, 0, 7)]
+    column = pa.array([np.array(r, "<u4").tobytes() for r in rows] + [None], pa.binary())
+    for cut in (column, column.slice(2, 4)):
+        got = bpe._decoded(TOKENIZER, True)(cut).to_pylist()
+        for ids, text in zip(cut.to_pylist(), got, strict=True):
+            machine = bpe.TokenText(texts, word_end, True)
+            assert text == "".join(map(machine.feed, np.frombuffer(ids or b"", "<u4").tolist()))
