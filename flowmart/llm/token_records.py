@@ -17,7 +17,6 @@ Other columns play no part. An empty table makes files without records.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,14 +28,14 @@ from tokenizers import Tokenizer
 from flowmart.llm import crc32c
 from flowmart.llm.arrow import bound_batches, once
 from flowmart.llm.files import Ranges, committed, partition_id
+from flowmart.llm.pieces import LONGEST_REMEMBERED, PieceTable
 
 END_ID = 2
-#: Pieces remembered at a time, twice, some 200 bytes each; characters of one; pieces encoded together.
+#: Pieces remembered at a time, twice, some 200 bytes each; pieces encoded together.
 REMEMBERED = 1 << 19
-LONGEST_REMEMBERED = 64
 TOGETHER = 1000
-#: Characters of texts whose pieces are looked up together.
-SLICE = 1 << 20
+#: Bytes of texts whose pieces are looked up together.
+SLICE_BYTES = 4 << 20
 HEAD = 12
 FRAME = HEAD + 4
 ID_BYTES = 9
@@ -50,7 +49,8 @@ class PieceEncoder:
 
     The tokenizer cuts at white space itself and drops it, so a text's ids are those of
     its pieces. Frequent pieces are remembered, in a table of bounded size. Unknown ones
-    are encoded together, with a special token between any two, at which the ids are cut.
+    are encoded together, with a space between any two, and the ids are dealt to them by
+    where in the text their tokens begin.
     """
 
     def __init__(self, path: str):
@@ -58,68 +58,37 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = id_type(self.tokenizer.get_vocab_size())
-        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
-        self.mark, self.mark_id = special[0] if special else ("", -1)
+        self.marks = {t.content[:1] for t in self.tokenizer.get_added_tokens_decoder().values()}
         # Where the tokenizer lower-cases itself, pieces that differ in case only are one.
         letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
         normal = self.tokenizer.normalizer
         self.one_case = normal is not None and normal.normalize_str(letters) == letters.lower()
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
-
-    def _learn(self, pieces: list[str]) -> None:
-        # A piece that may hold the mark itself is encoded alone.
-        alone = [p for p in pieces if not self.mark or self.mark[0] in p or len(p) > LONGEST_REMEMBERED]
-        for piece in alone:
-            self.known[piece] = self._ids(piece).tobytes()
-        joined = [p for p in pieces if p not in self.known]
+        self.table = PieceTable(self._learned, self.kind, REMEMBERED, SLICE_BYTES)
+
+    def _alone(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _together(self, pieces: list[str]) -> dict[str, bytes]:
+        made = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ids = np.array(made.ids, self.kind)
+        begins = np.fromiter((a for a, _ in made.offsets), np.int64, len(ids))
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
+        cuts = np.searchsorted(begins, ends).tolist()
+        return {piece: ids[a:b].tobytes() for piece, a, b in zip(pieces, [0, *cuts[:-1]], cuts, strict=True)}
+
+    def _learned(self, pieces: list[str]) -> dict[str, bytes]:
+        # A piece that may hold an added token is encoded alone, as is a long one.
+        alone = {p for p in pieces if len(p) > LONGEST_REMEMBERED or any(m in p for m in self.marks)}
+        form = {p: p.lower() if self.one_case and p.isascii() else p for p in pieces if p not in alone}
+        joined = list(dict.fromkeys(form.values()))
+        forms: dict[str, bytes] = {}
         for at in range(0, len(joined), TOGETHER):
-            group = joined[at : at + TOGETHER]
-            ids = self._ids(self.mark.join(group))
-            cuts = np.flatnonzero(ids == self.mark_id)
-            if len(cuts) != len(group) - 1:
-                raise ValueError("the special token doesn't separate pieces")
-            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            for piece, a, b in zip(group, starts, ends, strict=True):
-                self.known[piece] = ids[a:b].tobytes()
+            forms |= self._together(joined[at : at + TOGETHER])
+        return {p: self._alone(p) for p in alone} | {p: forms[low] for p, low in form.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE):
-                size += len(texts[end])
-                end += 1
-            out += self._together(texts[at:end])
-            at = end
-        return out
-
-    def _together(self, texts: list[str]) -> list[bytes]:
-        if self.one_case:
-            texts = [t.lower() if t.isascii() and self.mark[:1] not in t else t for t in texts]
-        # Python's other separators are signs for the tokenizer.
-        cut = [t.split() if not re.search("[\x1c-\x1f]", t) else [p for p in re.split("[ \t\n\r\f\v]+", t) if p] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.before, self.known = self.known, {}
-        unknown = []
-        for piece in {p for text in cut for p in text}:
-            if piece not in self.known:
-                if (made := self.before.get(piece)) is not None:
-                    self.known[piece] = made
-                else:
-                    unknown.append(piece)
-        if unknown:
-            self._learn(unknown)
-        known = self.known
-        out = [b"".join([known[p] for p in text]) for text in cut]
-        for piece in unknown:
-            if len(piece) > LONGEST_REMEMBERED:
-                del known[piece]
-        return out
+        column = pa.array(texts, pa.string())
+        return [ids[a:b].tobytes() for ids, at in self.table.encode(column) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def id_type(vocabulary: int) -> str:
