@@ -220,7 +220,7 @@ def _overlaps(left: pa.Array, right: pa.Array) -> pa.Array:
 # --- groups of one shingle -----------------------------------------------------
 
 
-def _dealt(members: DataFrame, block: int) -> DataFrame:
+def _dealt(members: DataFrame, block: int, scratch: Scratch) -> DataFrame:
     """Copies of each member of a shingle's group for the blocks it is compared in.
 
     `inside` marks members of the group's main component, which are compared with those
@@ -230,7 +230,8 @@ def _dealt(members: DataFrame, block: int) -> DataFrame:
         F.ceil(F.count_if("inside") / block).cast("int").alias("ins"),
         F.ceil(F.count_if(~F.col("inside")) / block).cast("int").alias("outs"),
     )
-    rows = members.join(sizes, "shingle")
+    # Pinned, so that the join may split a group of very many members.
+    rows = members.join(scratch.pin(sizes, "sizes"), "shingle")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("inside"), F.col("ins")).otherwise(F.col("outs"))).cast("int")
     outs = F.sequence(F.lit(0), F.col("outs") - 1)
     ins = F.when(F.col("ins") > 0, F.sequence(F.lit(0), F.col("ins") - 1)).otherwise(F.array().cast("array<int>"))
@@ -409,7 +410,7 @@ def jaccard_components(
             apart.select("shingle", "node", "component", (F.col("component") == F.col("main")).alias("inside")), "apart"
         )
         keys = ["shingle", "low", "high"]
-        blocks = _dealt(apart, block).join(profiles, "node").repartition(*keys).sortWithinPartitions(*keys)
+        blocks = _dealt(apart, block, scratch).join(profiles, "node").repartition(*keys).sortWithinPartitions(*keys)
         rest = blocks.mapInArrow(lambda batches: _block_pairs(batches, percent), "a bigint, b bigint").distinct()
         for side in ("a", "b"):
             rest = rest.join(profiles.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n")), side)
