@@ -58,6 +58,13 @@ CLUTTER = frozenset(
     "subscribe subscription signup login social share sharing related recommended recommendations comment comments "
     "commentlist disqus respond reply replies discussion pagination pager search skip".split()
 )
+#: Words about place and form, which leave a name of clutter one.
+FRAMING = frozenset(
+    "area articles bar block body bottom box btn button buttons center col column container content float "
+    "form global group header heading icon icons inner inline item items label left link links list main message "
+    "mobile outer page pane panel post posts primary right row secondary section site slot stories sticky tab "
+    "text title top unit wrap wrapper zone".split()
+)
 HEADERS = frozenset("header heading".split())
 HEADER_OF_SITE = frozenset("site page top global main header".split())
 UNLESS = frozenset("no not has with without is show hide".split())
@@ -111,10 +118,11 @@ def _is_clutter(tag: str, attributes: dict[str, str], inside_article: bool) -> b
     if not attributes or tag in NEVER_BY_CLASS:
         return False
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
-        parts = {p.lower() for p in _NAME_PARTS.findall(name)}
+        parts = {p.lower() for p in _NAME_PARTS.findall(name) if len(p) > 1}
         if parts & UNLESS:
             continue
-        if parts & CLUTTER or (parts & HEADERS and not inside_article and parts <= HEADERS | HEADER_OF_SITE):
+        # The whole name must say so: `ad-slot` does, `ad-hoc` and `related-work` are about something.
+        if (parts & CLUTTER and parts <= CLUTTER | FRAMING) or (parts & HEADERS and not inside_article and parts <= HEADERS | HEADER_OF_SITE):
             return tag not in INLINE or not parts.isdisjoint(CLUTTER)
     return False
 

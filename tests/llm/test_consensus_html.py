@@ -101,3 +101,21 @@ def test_each_layout_of_a_host_gives_its_own_text(spark):
     assert got[0] == got[50] == ("teaser " * 30 + "article " * 90).strip()
     assert ("article " * 90).strip() in got[100]
     assert "once once" in got[30]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["related-work", "share-price", "banner-story", "search-results", "social-policy", "notice-period", "comments-on-law",
+     "skip-intro", "ad-hoc", "menu-recipes", "login-howto", "promo-code-explained", "cookieRecipe"],
+)
+def test_a_word_of_clutter_in_another_name_drops_nothing(name):
+    page = f"<body><nav>menu</nav><article><h1>Head</h1><p>First.</p><div class='{name}'><p>Second.</p></div></article></body>"
+    assert own(page) == "Head First. Second."
+
+
+@pytest.mark.parametrize(
+    "name", ["ad", "ad-slot", "advert-300x250", "cookie-notice", "social-share-buttons", "relatedPosts", "sidebar-left", "comment_list", "newsletter-signup-form"]
+)
+def test_whole_names_of_clutter_go(name):
+    page = f"<body><article><h1>Head</h1><p>First.</p><div class='{name}'><p>Second.</p></div></article></body>"
+    assert own(page) == "Head First."
