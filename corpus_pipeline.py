@@ -20,7 +20,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter have no language and go."""
+    """Documents without a letter go, and those as far from every language's profile as can be."""
     return in_a_language(docs)
 
 
