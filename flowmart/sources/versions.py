@@ -154,17 +154,17 @@ class VersionedTable:
         Returns the commit, 0 if nothing was left to add.
         """
         wanted = {f"{self.partition}={_escaped(name)}" for name in names}
+        left: list[Row] = []
 
         def added(entries: list[Row]) -> list[Row] | None:
             present = {e.folder for e in entries}
-            new = made + [self._nothing(folder) for folder in wanted - {e.folder for e in made}]
-            new = [e for e in new if e.folder not in present]
-            return entries + new if new else None
+            every = made + [self._nothing(folder) for folder in wanted - {e.folder for e in made}]
+            left[:] = [e for e in every if e.folder not in present]
+            return entries + left if left else None
 
         made = self._written(rows, 0)
-        before = self.commit()
         commit = self._attempted(added)
-        return commit if commit > before else 0
+        return commit if left else 0
 
     def _nothing(self, folder: str) -> Row:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -242,9 +242,11 @@ class VersionedTable:
             raise
         return number
 
-    def _replaced(self, entries: list[Row], new: DataFrame, taken: int) -> list[Row]:
+    def _replaced(self, entries: list[Row], new: DataFrame, taken: int) -> list[Row] | None:
         made = self._written(new, taken)
-        if not entries or not made or not self.keys:
+        if not made:  # no rows, no commit
+            return None
+        if not entries or not self.keys:
             return entries + made
         touched = {e.folder for e in made}
         known = new.select(*self.keys)

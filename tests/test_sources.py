@@ -3,7 +3,6 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from flowmart.functions import vessel
 from flowmart.plans import collect, warehouse

@@ -101,6 +101,20 @@ def test_of_two_loads_at_once_the_later_one_starts_anew(spark, table, monkeypatc
     assert bag(table.read()) == [(1, 1, "other"), (2, 2, "mine"), (3, 3, "mine")]
 
 
+def test_a_load_without_rows_is_no_commit(spark, table):
+    assert table.replace(frame(spark, (1, 1, "a")).limit(0)) == 0
+    table.replace(frame(spark, (1, 1, "a")))
+    assert table.replace(frame(spark, (1, 1, "a")).limit(0)) == 1 == table.commit()
+
+
+def test_partitions_another_loader_added_are_left_out(spark):
+    table = VersionedTable(spark, scratch_path(spark, "versions"))
+    rows = frame(spark, (1, 1, "a"), (2, 2, "a"))
+    assert table.add_partitions(rows, ["2026-01-01", "2026-01-02", "2026-01-03"]) == 1
+    assert table.add_partitions(rows, ["2026-01-01", "2026-01-02", "2026-01-03"]) == 0
+    assert table.commit() == 1 and table.read().count() == 2 and len(table.entries()) == 3
+
+
 def test_consumers_get_equal_times_and_late_rows_once(spark, table):
     table.replace(frame(spark, (1, 5, "a"), (2, 5, "a")))
     first = table.commit()
