@@ -23,8 +23,9 @@ class VesselAttributes(StatefulProcessor):
     """Attributes of one vessel.
 
     `open` has the last record of each window the watermark has not passed, `folded` of each
-    attribute the value and window seen last before. A timer per window moves its record
-    from the one to the other. Times are microseconds.
+    attribute the value and window seen last before. A timer at the end of the earliest open
+    window moves what has passed from the one to the other. A batch reads and writes a vessel's
+    state as a whole, as each access is a round trip. Times are microseconds.
     """
 
     def __init__(self, attributes: Sequence[str], order: Sequence[str], record: str, folded: str, window_micros: int):
@@ -33,37 +34,51 @@ class VesselAttributes(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "window bigint", self.record)
+        self.open = handle.getListState("open", f"window bigint, {self.record}")
         self.folded = handle.getValueState("folded", self.folded_type)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self._held()
+        due = min(held, default=None)
         for row in rows:
             window, order = row["_window"], tuple(row[name] for name in self.order)
-            held = self.open.getValue((window,)) if self.open.containsKey((window,)) else None
-            if held is None:
-                end = (window + self.window_micros) // 1000
-                # A window behind the watermark is moved at the next chance.
-                self.handle.registerTimer(max(end, timerValues.getCurrentWatermarkInMs() + 1))
-            if held is None or tuple(held[: len(order)]) <= order:
-                self.open.updateValue((window,), (*order, *[row[name] for name in self.attributes]))
-        state = self.folded.get() if self.folded.exists() else None
-        for window, record in sorted((k[0], tuple(v)) for k, v in self.open.iterator()):
-            state = self._after(state, window, record)
+            if window not in held or held[window][: len(order)] <= order:
+                held[window] = (*order, *[row[name] for name in self.attributes])
+        self._keep(held, timerValues, due)
+        state = self.folded.get()
+        for window in sorted(held):
+            state = self._after(state, window, held[window])
         n = len(self.attributes)
         names = ["mmsi", *self.attributes, "first_seen_at", "last_seen_at"]
         yield Row(**dict(zip(names, [*key, *state[:n], *state[2 * n :]], strict=True)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        state = self.folded.get() if self.folded.exists() else None
-        for window, record in sorted((k[0], tuple(v)) for k, v in self.open.iterator()):
-            if window + self.window_micros <= passed:
-                state = self._after(state, window, record)
-                self.open.removeKey((window,))
-        if state is not None:
+        held = self._held()
+        over = sorted(window for window in held if window + self.window_micros <= passed)
+        if over:
+            state = self.folded.get()
+            for window in over:
+                state = self._after(state, window, held.pop(window))
             self.folded.update(state)
+            self._keep(held, timerValues)
         yield from ()
 
+    def _held(self) -> dict[int, tuple]:
+        return {window: tuple(record) for window, *record in self.open.get()}
+
+    def _keep(self, held: dict[int, tuple], timerValues, due: int | None = None) -> None:
+        """Store the open windows; the earliest gets a timer, unless it is the one that is `due`."""
+        if not held:
+            self.open.clear()
+            return
+        self.open.put([(window, *record) for window, record in held.items()])
+        first = min(held)
+        if due is None or first < due:
+            end = (first + self.window_micros) // 1000
+            # A window behind the watermark is moved at the next chance.
+            self.handle.registerTimer(max(end, timerValues.getCurrentWatermarkInMs() + 1))
+
     def close(self) -> None:
         pass
 

@@ -106,6 +106,58 @@ def test_a_category_that_arrives_counts_from_the_next_window(spark, tmp_path):
 
 VESSEL = "mmsi bigint, at timestamp, seen bigint, ship_name string, ship_type int"
 
+def test_vessel_state_is_read_and_written_once_per_batch():
+    calls = []
+
+    class Handle:
+        def __init__(self):
+            self.rows, self.value = [], None
+
+        def getListState(self, *_):
+            return self
+
+        def getValueState(self, *_):
+            return type("Folded", (), {"get": lambda _: self.value, "update": lambda _, value: setattr(self, "value", value)})()
+
+        def registerTimer(self, at):
+            calls.append(("timer", at))
+
+        def get(self):
+            calls.append(("get",))
+            return iter(self.rows)
+
+        def put(self, rows):
+            calls.append(("put", len(rows)))
+            self.rows = rows
+
+        def clear(self):
+            self.rows = []
+
+    class Times:
+        at = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    handle, times = Handle(), Times()
+    state = vessel_state.VesselAttributes(["name"], ["seen"], "", "", 1000)
+    state.init(handle)
+    rows = [{"_window": w * 1000, "seen": s, "name": f"{w}-{s}" if w % 2 else None} for w in range(50) for s in (2, 1)]
+    (one,) = state.handleInputRows((7,), iter(rows), times)
+    assert one.asDict() == {"mmsi": 7, "name": "49-2", "first_seen_at": 0, "last_seen_at": 49000}
+    assert calls == [("get",), ("put", 50), ("timer", 1)]
+    times.at = 30
+    assert list(state.handleExpiredTimer((7,), times, None)) == []
+    assert calls[3:] == [("get",), ("put", 20), ("timer", 31)]
+    assert handle.value == ("29-2", 29000, 0, 29000)
+    times.at = 60
+    assert list(state.handleExpiredTimer((7,), times, None)) == []
+    assert handle.rows == [] and handle.value == ("49-2", 49000, 0, 49000)
+    (late,) = state.handleInputRows((7,), iter([{"_window": 5000, "seen": 1, "name": "old"}]), times)
+    assert late.asDict() == {"mmsi": 7, "name": "49-2", "first_seen_at": 0, "last_seen_at": 49000}
+    assert calls[-1] == ("timer", 61)
+
+
 
 @pytest.mark.parametrize("files", [[40], [1] * 40, [3, 17, 20], [39, 1]])
 def test_vessel_state_does_not_depend_on_batches(spark, tmp_path, files):
