@@ -98,6 +98,36 @@ STATIC_HISTORY_COLUMNS = ["ship_name", "ship_type", "destination", "max_draught"
 # --- sources -----------------------------------------------------------------
 
 
+def land(fetches, folder):
+    """Write the body of each (source_file, body) row as a file of that name.
+
+    Names are dealt out to 256 folders, so that a listing runs in tasks however many there are.
+    """
+
+    def written(batches):
+        import pyarrow as pa
+        import pyarrow.fs
+        from pyspark import TaskContext
+
+        made, attempt = set(), TaskContext.get().taskAttemptId()
+        files, root = pyarrow.fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name, bucket, body in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                where = f"{root}/{bucket}"
+                if where not in made:
+                    files.create_dir(where, recursive=True)
+                    made.add(where)
+                # Names with an underscore are not data; the file appears when it is complete.
+                with files.open_output_stream(f"{where}/_{name}-{attempt}") as stream:
+                    stream.write(body.encode())
+                files.move(f"{where}/_{name}-{attempt}", f"{where}/{name}.txt")
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    bucket = F.pmod(F.xxhash64("source_file"), F.lit(256)).cast("string")
+    rows = fetches.select("source_file", bucket.alias("bucket"), "body")
+    rows.mapInArrow(written, "files bigint").agg(F.sum("files")).collect()
+
+
 def feed_bodies(raw):
     """Rows rendered to feed bodies of at most thirty lines."""
     line = F.concat_ws(
@@ -161,10 +191,7 @@ def collect_border_twice(spark, sf):
     fetches = feed_bodies(raw).withColumn("part", F.pmod(F.xxhash64("source_file"), F.lit(2)))
     fetches = pin(fetches, "fetches")
     for part in (0, 1):
-        # A file per fetch: bodies are one row each, dealt out by their name.
-        fetches.where(F.col("part") == part).select("source_file", "body").write.mode("append").partitionBy(
-            "source_file"
-        ).text(feed)
+        land(fetches.where(F.col("part") == part), feed)
         collect.collect_border(house, feed)
     house.table("raw", "border_raw", "observation_id").compact()
     return house.read("raw", "border_raw").select(*border_feed.FEED_COLUMNS)

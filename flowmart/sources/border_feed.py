@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from flowmart.functions.text import strip_space
 from flowmart.operators.incremental import read_if_exists
 from flowmart.session import Scratch
-from flowmart.sources.files import EmptyLoad, landed_files, refuse_empty_files
+from flowmart.sources.files import EmptyLoad, landed_files, located_files, refuse_empty_files
 from flowmart.sources.ids import row_id
 from flowmart.sources.schemas import FEED_LEDGER
 from flowmart.sources.versions import VersionedTable
@@ -28,13 +28,13 @@ FEED_COLUMNS = (
 _LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
-def read_feed_files(spark: SparkSession, *paths: str) -> DataFrame:
+def read_feed_files(spark: SparkSession, *paths: str, **options: str) -> DataFrame:
     """Landed fetches as (source_file, landed_at, body), one row per file.
 
     A fetch is one reading of each crossing, some thirty lines, so a file is a
-    small value; Spark packs many files into one task.
+    small value; Spark packs many files into one task. `options` are the scan's.
     """
-    return spark.read.text(list(paths), wholetext=True).select(
+    return spark.read.options(**options).text(list(paths), wholetext=True).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
         F.col("value").alias("body"),
@@ -117,18 +117,20 @@ def append_fetch(
     that broke off before its ledger rows replaces its own rows when repeated.
     Returns the numbers of rows written and of malformed lines skipped.
     """
-    landed = landed_files(spark, *paths)
     ledger = read_if_exists(spark, ledger_path)
     known = spark.createDataFrame([], FEED_LEDGER) if ledger is None else ledger
-    fresh = landed.join(known, ["path", "landed_at"], "left_anti")
-    refuse_empty_files(fresh)
-    # The list of files to scan, which any Spark read keeps on the driver.
-    new = [row.path for row in fresh.select("path").collect()]
-    if not new:
-        return {"rows": 0, "malformed": 0}
     with Scratch(spark) as scratch:
+        fresh = scratch.pin(located_files(spark, *paths).join(known, ["path", "landed_at"], "left_anti"), "fresh")
+        refuse_empty_files(fresh)
+        first = fresh.agg(F.unix_micros(F.min("landed_at"))).first()[0]
+        if first is None:
+            return {"rows": 0, "malformed": 0}
+        # The scan opens no file that landed before the first new one; the join leaves the new ones.
+        files = read_feed_files(spark, *paths, recursiveFileLookup="true")
+        files = files.where(F.col("landed_at") >= F.timestamp_micros(F.lit(first)))
+        files = files.join(fresh.select("source_file"), "source_file", "left_semi")
         seen = Observation("feed")
-        lines = feed_lines(read_feed_files(spark, *new)).observe(
+        lines = feed_lines(files).observe(
             seen,
             F.count_if(~F.col("malformed")).alias("rows"),
             F.count_if("malformed").alias("malformed"),

@@ -16,17 +16,30 @@ def landed_files(spark: SparkSession, *paths: str) -> DataFrame:
     Names starting with `_` or `.` are not data. A scan leaves files without
     bytes out, so these are taken from the listing, which Spark's driver holds.
     """
+    return located_files(spark, *paths).drop("source_file")
+
+
+def located_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """`landed_files` with `source_file`, the path as other scans name it (null without bytes)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    full = files.select(
+        "path",
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("landed_at"),
+        F.col("_metadata.file_path").alias("source_file"),
+    )
+    # Python fetches the listing name by name, so only where the scan has left files out.
+    if len(files._jdf.inputFiles()) == files.count():
+        return full
     listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "name string")
     plain = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
     listed = listed.select(F.regexp_replace(plain, "^([a-z0-9]+):/+(?=[^/])", "$1:/").alias("_key"), plain.alias("_path"))
-    full = files.select(
-        "path", F.regexp_replace("path", "^([a-z0-9]+):/+(?=[^/])", "$1:/").alias("_key"), "length", "modificationTime"
-    )
+    full = full.withColumn("_key", F.regexp_replace("path", "^([a-z0-9]+):/+(?=[^/])", "$1:/"))
     return listed.join(full, "_key", "left").select(
         F.coalesce("path", "_path").alias("path"),
-        F.coalesce("length", F.lit(0).cast("bigint")).alias("bytes"),
-        F.col("modificationTime").alias("landed_at"),
+        F.coalesce("bytes", F.lit(0).cast("bigint")).alias("bytes"),
+        "landed_at",
+        "source_file",
     )
 
 

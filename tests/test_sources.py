@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrame
 
 from flowmart.functions import vessel
 from flowmart.plans import collect, warehouse
@@ -74,6 +76,23 @@ def test_append_fetch(spark, tmp_path):
     assert collect.collect_border(house, path, fetched_at=at) == {"rows": 0, "malformed": 0}
 
 
+def test_collecting_fetches_no_names_and_reads_new_files_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(DataFrame, "inputFiles", lambda _: pytest.fail("names fetched one by one"))
+    read, scans = border_feed.read_feed_files, []
+    monkeypatch.setattr(border_feed, "read_feed_files", lambda *a, **k: scans.append(a[1:]) or read(*a, **k))
+    feed, table, ledger = tmp_path / "feed", str(tmp_path / "table"), str(tmp_path / "ledger")
+    for k in range(3):
+        os.utime(land(feed / "early", f"{k} +%41.txt", HEADER + GOOD), (1_700_000_000 + k, 1_700_000_000 + k))
+    assert border_feed.append_fetch(spark, table, ledger, str(feed)) == {"rows": 3, "malformed": 0}
+    # One that landed before files collected already is new as well.
+    os.utime(land(feed / "late", "3.txt", HEADER + GOOD + "\r\n" + GOOD), (1_600_000_000, 1_600_000_000))
+    assert border_feed.append_fetch(spark, table, ledger, str(feed)) == {"rows": 2, "malformed": 0}
+    assert border_feed.append_fetch(spark, table, ledger, str(feed)) == {"rows": 0, "malformed": 0}
+    assert scans == [(str(feed),)] * 2
+    assert VersionedTable(spark, table).read().count() == 5
+
+
+
 def test_collecting_a_growing_folder(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house"))
     folder = tmp_path / "feed"
