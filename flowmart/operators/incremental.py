@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flowmart.session import ROW_GROUP_BYTES
 
 # Fixed value: the mark of an empty target.
 FIRST_RUN_MARK = "1900-01-01 00:00:00"
@@ -67,6 +68,7 @@ def write_partitioned(df: DataFrame, path: str, partition: str, mode: str = "app
         df.hint("rebalance", partition)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.block.size", ROW_GROUP_BYTES)
         .partitionBy(partition)
         .parquet(path)
     )

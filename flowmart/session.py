@@ -16,7 +16,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What a task reads bounds the rows it sorts or buffers; tables of repeated values hold
+    # millions of rows in a few MB. Many small files still share a task.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.files.openCostInBytes": "256k",
 }
+# Parquet files can only be cut between row groups.
+ROW_GROUP_BYTES = 8 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -87,7 +93,7 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     `spark.sql.autoBroadcastJoinThreshold` and plans a shuffle join beyond.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -102,7 +108,7 @@ class Scratch:
         """As `pin`; a table pinned under the same label before is removed afterwards."""
         old = self.paths.get(label)
         path = self.paths[label] = scratch_path(self.spark, label)
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
         if old:
             discard(self.spark, old)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -258,3 +258,23 @@ def test_a_box_touches_four_cells_at_most(spark):
     cells = boxes.box_cells(table)
     assert cells.groupBy("region").count().agg(F.max("count")).first()[0] <= 4
     assert cells.select("level").distinct().count() <= boxes.LEVELS
+
+
+def test_a_task_reads_a_bounded_part_of_a_pinned_table(spark, tmp_path):
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from flowmart.operators.incremental import write_partitioned
+    from flowmart.session import ROW_GROUP_BYTES, RUNTIME_SETTINGS, pin, scratch_path
+
+    assert RUNTIME_SETTINGS["spark.sql.files.maxPartitionBytes"] == "16m"
+    ids = spark.range(0, 3_000_000, 1, 1).withColumn("day", F.lit("one"))
+    stored = scratch_path(spark, "parts")
+    write_partitioned(ids, stored, "day")
+    folders = [pin(ids, "ids").inputFiles()[0].rsplit("/", 1)[0], f"{stored}/day=one"]
+    for folder in folders:
+        files = [pq.ParquetFile(p).metadata for p in Path(folder.removeprefix("file:").replace("//", "/")).glob("*.parquet")]
+        sizes = [m.row_group(k).total_byte_size for m in files for k in range(m.num_row_groups)]
+        assert sum(m.num_rows for m in files) == 3_000_000
+        assert max(sizes) < 2 * ROW_GROUP_BYTES
