@@ -355,18 +355,20 @@ def jaccard_components(
         profiles = classes.select("node", "n", "profile")
 
         firsts = classes.select("node", "n", "copies", F.posexplode("prefix").alias("place", "shingle"))
-        groups = firsts.groupBy("shingle").agg(
-            F.count("*").alias("size"), F.min(F.struct(-F.col("copies"), "node", "n", "place")).alias("centre")
-        )
-        groups = scratch.pin(groups.where("size > 1").select("shingle", "centre"), "groups")
-        members = firsts.drop("copies").join(groups, "shingle")
+        # Most shingles stand alone: only their counts are dealt out, the rest follows for groups.
+        groups = firsts.groupBy("shingle").agg(F.count("*").alias("size")).where("size > 1").select("shingle")
+        grouped = scratch.pin(firsts.join(scratch.pin(groups, "groups"), "shingle"), "grouped")
+        scratch.drop("groups")
+        centre = F.min(F.struct(-F.col("copies"), "node", "n", "place")).alias("centre")
+        centres = scratch.pin(grouped.groupBy("shingle").agg(centre), "centres")
         members = scratch.pin(
-            members.select(
+            grouped.join(centres, "shingle").select(
                 "shingle", "node", "n", "place",
                 F.col("centre.node").alias("centre"), F.col("centre.n").alias("centre_n"), F.col("centre.place").alias("centre_place"),
             ),
             "members",
         )
+        scratch.drop("grouped", "centres")
 
         def linked(pairs: DataFrame, label: str) -> DataFrame:
             """Pairs (a, b, total) whose overlap, counted fragment by fragment, makes a link."""
@@ -396,6 +398,7 @@ def jaccard_components(
             pairs = pairs.join(one, side)
         pairs = pairs.where(may_link("a_profile", "b_profile", "total")).select("a", "b", "total")
         first_links = linked(scratch.pin(pairs, "first-pairs"), "first-links")
+        scratch.drop("first-pairs")
         first = components(first_links, scratch, "first-components")
 
         grouped = members.select("shingle", "node", "centre").join(first, "node", "left")
@@ -409,14 +412,17 @@ def jaccard_components(
         apart = scratch.pin(
             apart.select("shingle", "node", "component", (F.col("component") == F.col("main")).alias("inside")), "apart"
         )
+        scratch.drop("members", "mixed")
         keys = ["shingle", "low", "high"]
         blocks = _dealt(apart, block, scratch).join(profiles, "node").repartition(*keys).sortWithinPartitions(*keys)
         rest = blocks.mapInArrow(lambda batches: _block_pairs(batches, percent), "a bigint, b bigint").distinct()
         for side in ("a", "b"):
             rest = rest.join(profiles.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n")), side)
         rest = rest.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("total"))
-        rest_links = linked(scratch.pin(rest, "rest-pairs"), "rest-links")
-        scratch.drop("members", "apart", "mixed", "groups", "first-pairs", "rest-pairs")
+        rest = scratch.pin(rest, "rest-pairs")
+        scratch.drop("apart")
+        rest_links = linked(rest, "rest-links")
+        scratch.drop("rest-pairs")
 
         chains = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
         joined = components(chains.unionByName(rest_links), scratch, "components")
