@@ -19,16 +19,18 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from flowmart.llm import crc32c
 from flowmart.llm.arrow import bound_batches, once
 from flowmart.llm.files import Ranges, committed, partition_id
-from flowmart.llm.pieces import LONGEST_REMEMBERED, PieceTable
+from flowmart.llm.pieces import LONGEST_REMEMBERED, ArrayMemory, ArrayTable, gathered
 
 END_ID = 2
 #: Pieces remembered at a time, twice, some 200 bytes each; pieces encoded together.
@@ -63,31 +65,49 @@ class PieceEncoder:
         letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
         normal = self.tokenizer.normalizer
         self.one_case = normal is not None and normal.normalize_str(letters) == letters.lower()
-        self.table = PieceTable(self._learned, self.kind, REMEMBERED, SLICE_BYTES)
-
-    def _alone(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _together(self, pieces: list[str]) -> dict[str, bytes]:
-        made = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        ids = np.array(made.ids, self.kind)
-        begins = np.fromiter((a for a, _ in made.offsets), np.int64, len(ids))
-        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
-        cuts = np.searchsorted(begins, ends).tolist()
-        return {piece: ids[a:b].tobytes() for piece, a, b in zip(pieces, [0, *cuts[:-1]], cuts, strict=True)}
-
-    def _learned(self, pieces: list[str]) -> dict[str, bytes]:
+        self.table = ArrayTable(ArrayMemory(self._learned, self.kind, REMEMBERED), SLICE_BYTES, self._same)
+
+    def _same(self, pieces: pa.Array) -> pa.Array:
+        """Pieces in lower case where this is all one to the tokenizer."""
+        if not self.one_case:
+            return pieces
+        lowered = pc.string_is_ascii(pieces)
+        for mark in self.marks:  # it may begin an added token, which is looked for in the text as given
+            lowered = pc.and_not(lowered, pc.match_substring(pieces, mark))
+        return pc.if_else(lowered, pc.ascii_lower(pieces), pieces)
+
+    def _alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, self.kind) for p in pieces]
+        return np.concatenate([np.empty(0, self.kind), *made]), np.fromiter(map(len, made), np.int64, len(made))
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        text = " ".join(pieces)
         # A piece that may hold an added token is encoded alone, as is a long one.
-        alone = {p for p in pieces if len(p) > LONGEST_REMEMBERED or any(m in p for m in self.marks)}
-        form = {p: p.lower() if self.one_case and p.isascii() else p for p in pieces if p not in alone}
-        joined = list(dict.fromkeys(form.values()))
-        forms: dict[str, bytes] = {}
-        for at in range(0, len(joined), TOGETHER):
-            forms |= self._together(joined[at : at + TOGETHER])
-        return {p: self._alone(p) for p in alone} | {p: forms[low] for p, low in form.items()}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        column = pa.array(texts, pa.string())
+        if sizes.max() > LONGEST_REMEMBERED or any(m in text for m in self.marks):
+            return self._parted(pieces)
+        made = self.tokenizer.encode(text, add_special_tokens=False)
+        begins = np.fromiter((a for a, _ in made.offsets), np.int64, len(made))
+        return np.array(made.ids, self.kind), np.diff(np.searchsorted(begins, np.cumsum(sizes + 1)), prepend=0)
+
+    def _parted(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        alone = np.array([len(p) > LONGEST_REMEMBERED or any(m in p for m in self.marks) for p in pieces])
+        one, other = list(compress(pieces, alone)), list(compress(pieces, ~alone))
+        made = [self._alone(one), *([self._together(other)] if other else [])]
+        lengths = np.empty(len(pieces), np.int64)
+        order = np.concatenate([np.flatnonzero(alone), np.flatnonzero(~alone)])
+        lengths[order] = np.concatenate([n for _, n in made])
+        starts = np.empty(len(pieces), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return gathered(np.concatenate([ids for ids, _ in made]), starts, lengths)[0], lengths
+
+    def _learned(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        made = [self._together(pieces[at : at + TOGETHER]) for at in range(0, len(pieces), TOGETHER)]
+        lengths = np.concatenate([n for _, n in made])
+        return np.concatenate([ids for ids, _ in made]), np.cumsum(lengths) - lengths, lengths
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         return [ids[a:b].tobytes() for ids, at in self.table.encode(column) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
@@ -136,7 +156,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
             if not batch.num_rows:
                 continue
             ids = batch.column(0).to_pylist()
-            made = [m + end for m in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
+            made = [m + end for m in encoder.encode(batch.column(1))]
             heads = [bytes([i is not None]) + (i or 0).to_bytes(8, "little", signed=True) for i in ids]
             data, offsets = framed([h + m for h, m in zip(heads, made, strict=True)])
             stream.write(data)

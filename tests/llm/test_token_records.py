@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -82,3 +83,28 @@ def test_query_matches_the_library(spark, small, library):
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     assert not docs
+
+
+def test_unknown_pieces_make_no_object_each(library):
+    # Long pieces, added tokens and both cases among others, in a memory that forgets.
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(1, 9, 3000)]
+    words[::50] = [w.upper() for w in words[::50]]
+    words[10:2500:500] = ["<|EndOfText|>", "a<|endoftext|>b", "é" * 70, "Z" * 300, "don't!"]
+    texts = [" ".join(words[at : at + 300]) for at in range(0, 3000, 100)] + ["", None]
+    encoder = token_records.PieceEncoder(TOKENIZER)
+    encoder.table.slice_bytes, encoder.table.ids.remembered = 4000, 500
+    for _ in range(2):
+        got = encoder.encode(pa.array(texts, pa.string()))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(g, encoder.kind).tolist() for g in got] == want
+    known = encoder.table.ids.known
+    assert max(map(len, known.number)) <= token_records.LONGEST_REMEMBERED
+    assert len(known.number) == len(known.starts) == len(known.lengths)
+    assert len(known.ids) == known.lengths.sum()
+    # Texts that differ in case only are learned once, in arrays.
+    learned = []
+    memory = token_records.ArrayMemory(lambda p: learned.append(p) or encoder._learned(p), encoder.kind, 500)
+    encoder.table.ids = memory
+    assert encoder.encode(["Cat cat CAT"])[0] == encoder.encode(["cat cat cat"])[0]
+    assert learned == [["cat"]]
