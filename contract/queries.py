@@ -1020,33 +1020,35 @@ _HURDLES: dict[tuple, tuple] = {}
 
 
 def _hurdle(spark, sf):
-    """Both sides of the split and the hurdle model, trained once per session and files."""
+    """Cells of the archive and the hurdle model, counted and trained once per session and files."""
     read = files.landed_files(spark, f"{sf}/lineitem.parquet").orderBy("path").collect()
     key = (spark.sparkContext.applicationId, *[tuple(row) for row in read])
     if key not in _HURDLES:
-        train, test = split_cells(spark, sf)
+        cells = pin(model.delay_cells(history(spark, sf)), "cells")
         _HURDLES.clear()
-        _HURDLES[key] = (train, test, model.fit_hurdle(train))
+        _HURDLES[key] = (cells, model.fit_hurdle(model.temporal_split(cells, TRAIN_MAX_YEAR, TEST_YEAR)[0]))
     return _HURDLES[key]
 
 
 @query
 def prediction_grid(spark, sf):
-    return model.grid_predictions(_hurdle(spark, sf)[2])
+    return model.grid_predictions(_hurdle(spark, sf)[1])
 
 
 @query
 def hurdle_holdout_metrics(spark, sf):
-    train, test, hurdle = _hurdle(spark, sf)
+    cells, hurdle = _hurdle(spark, sf)
+    train, test = model.temporal_split(cells, TRAIN_MAX_YEAR, TEST_YEAR)
     scored = model.lookup_baseline(train, hurdle.predict(test))
     return model.holdout_metrics(scored, model.holdout_name(TEST_YEAR))
 
 
 @query
 def model_summary(spark, sf):
+    cells, hurdle = _hurdle(spark, sf)
     metric_rows, _ = model.train_and_score(
         history(spark, sf), waits(spark, sf), train_max_year=TRAIN_MAX_YEAR, test_year=TEST_YEAR,
-        fitted=_hurdle(spark, sf)[2],
+        fitted=hurdle, cells=cells,
     )
     return serving.model_summary(
         metric_rows, model.holdout_name(TEST_YEAR), model.LIVE, F.current_timestamp()

@@ -394,13 +394,15 @@ def train_and_score(
     train_max_year: int = TRAIN_MAX_YEAR,
     test_year: int = TEST_YEAR,
     fitted: HurdleModel | None = None,
+    cells: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Metric table and prediction grid of one training run (M16), or of a model fitted before.
 
     `history` and `live` are staged or mart rows; write the results with
-    `replace_table` (S15).
+    `replace_table` (S15). `cells` are the pinned cells of `history`, if they were
+    counted before; it is not read again then.
     """
-    cells = pin(delay_cells(history), "cells")
+    cells = pin(delay_cells(history), "cells") if cells is None else cells
     train, test = temporal_split(cells, train_max_year, test_year)
     require_rows(train=train, test=test)
     model = fitted or fit_hurdle(train, rounds)

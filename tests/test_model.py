@@ -79,6 +79,24 @@ def test_training_run(spark, small, history, split):
     assert summary.retrained_at is not None and summary.age_label.endswith("min old")
 
 
+def test_summary_counts_the_archive_once(spark, small, monkeypatch):
+    from contract import queries
+
+    counted, cells_of, fit = [], model.delay_cells, model.fit_hurdle
+    monkeypatch.setattr(model, "delay_cells", lambda rows: counted.append(rows.columns) or cells_of(rows))
+    monkeypatch.setattr(model, "fit_hurdle", lambda train: fit(train, 2))
+    monkeypatch.setattr(queries, "_HURDLES", {})
+    row = queries.REGISTRY["model_summary"](spark, small).first()
+    assert ["local_year_pt" in columns for columns in counted] == [True, False]
+    # What it says is what the rows say when they are counted anew.
+    archive, live = queries.history(spark, small), queries.waits(spark, small)
+    metrics, _ = model.train_and_score(archive, live, 2, 1999, 2000, queries._hurdle(spark, small)[1])
+    found = {(r.evaluation, r.metric): r.value for r in metrics.collect()}
+    assert row.roc_auc == pytest.approx(found[model.holdout_name(2000), "stage1_roc_auc"])
+    assert row.model_mae_minutes == pytest.approx(found[model.holdout_name(2000), "model_mae_minutes"])
+    assert row.live_delayed_share == pytest.approx(found[model.LIVE, "delayed_share"])
+
+
 def test_cell_means_give_the_splits_of_single_readings(spark, split):
     from pyspark.ml.regression import DecisionTreeRegressor
 
