@@ -5,7 +5,7 @@ import io
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from flowmart.session import scratch_path
 from flowmart.sources import versions
@@ -171,6 +171,38 @@ def test_a_load_reads_the_keys_of_few_folders(spark, monkeypatch, spread):
         table.replace(day_of(3, 10).withColumn("day", F.lit(date(2026, 1, 25))))
 
 
+def test_the_keys_of_a_large_load_are_not_broadcast(spark, table, monkeypatch):
+    """Their file is small, as they compress well; the driver would hold each of them."""
+    joined = []
+    holding = VersionedTable._holding
+
+    def held(self, entries, known):
+        stored = self._rows(entries).select("id")
+        joined.append((scanned(stored.join(known, "id", "left_semi")), scanned(stored.join(known, "id", "left_anti"))))
+        return holding(self, entries, known)
+
+    monkeypatch.setattr(VersionedTable, "_holding", held)
+    many = spark.range(versions.FEW_KEYS + 1).select("id", F.lit(date(2026, 1, 1)).alias("day"), F.lit("a").alias("value"))
+    table.replace(many)
+    table.replace(many.withColumn("value", F.lit("b")))
+    table.replace(many.limit(3))
+    assert all("SortMergeJoin" in plan and "BroadcastExchange" not in plan for plan in joined[0])
+    assert all("BroadcastExchange" in plan for plan in joined[1])
+    counts = {r["value"]: r["count"] for r in table.read().groupBy("value").count().collect()}
+    assert counts == {"a": 3, "b": versions.FEW_KEYS - 2}
+
+
+def test_the_plan_of_an_index_does_not_grow_with_the_folders(spark, table):
+    def plan(folders):
+        made = [Row(folder=f"day=2026-01-{i:05d}", bits=32) for i in range(folders)]
+        keyed = spark.createDataFrame([(e.folder, (i,)) for i, e in enumerate(made)], "folder string, key struct<id:bigint>")
+        words = table._filters(keyed, made)
+        assert words.select("folder").distinct().count() == folders
+        return scanned(words)
+
+    assert len(plan(400)) < len(plan(4)) + 400
+
+
 def test_partition_filters_reach_the_scan(spark, table):
     table.replace(frame(spark, *[(d, d, "a") for d in range(1, 8)]))
     few = table.read().where(F.col("day") >= F.lit(date(2026, 1, 6)))
