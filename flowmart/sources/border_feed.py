@@ -7,10 +7,18 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from flowmart.functions.text import strip_space
 from flowmart.operators.incremental import read_if_exists
 from flowmart.session import Scratch
-from flowmart.sources.files import EmptyLoad, landed_files, located_files, refuse_empty_files
+from flowmart.sources.files import (
+    EmptyLoad,
+    few_tasks,
+    is_packed,
+    landed_files,
+    located_files,
+    refuse_empty_files,
+    scanned_files,
+)
 from flowmart.sources.ids import row_id
 from flowmart.sources.schemas import FEED_LEDGER
-from flowmart.sources.versions import VersionedTable
+from flowmart.sources.versions import FEW_KEYS, VersionedTable
 
 # The shape of the feed.
 DELIMITER = ";;"
@@ -28,17 +36,28 @@ FEED_COLUMNS = (
 _LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
-def read_feed_files(spark: SparkSession, *paths: str, **options: str) -> DataFrame:
+def read_feed_files(
+    spark: SparkSession, *paths: str, listed: DataFrame | None = None, packed: bool = True, **options: str
+) -> DataFrame:
     """Landed fetches as (source_file, landed_at, body), one row per file.
 
     A fetch is one reading of each crossing, some thirty lines, so a file is a
-    small value; Spark packs many files into one task. `options` are the scan's.
+    small value; Spark packs many files into one task. The text source sets up a
+    reader of its own for each file, which takes five times as long as its bytes, so
+    only files it has to unpack go through it; without any, say `packed=False`.
+    `options` are the scan's; `listed` is a scan of the same paths made before, which
+    spares another listing.
     """
-    return spark.read.options(**options).text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_modification_time").alias("landed_at"),
-        F.col("value").alias("body"),
-    )
+    if listed is None:
+        listed = scanned_files(spark, *paths, **options)
+    name = F.col("_metadata.file_path")
+    head = [name.alias("source_file"), F.col("_metadata.file_modification_time").alias("landed_at")]
+    body = F.col("content").cast("string").alias("body")
+    if not packed:
+        return listed.select(*head, body)
+    texts = spark.read.options(**options).text(list(paths), wholetext=True)
+    unpacked = texts.where(is_packed(spark, name)).select(*head, F.col("value").alias("body"))
+    return listed.where(~is_packed(spark, name)).select(*head, body).unionByName(unpacked)
 
 
 def stream_feed_files(spark: SparkSession, path: str) -> DataFrame:
@@ -68,14 +87,15 @@ def feed_lines(files: DataFrame, strict: bool = True) -> DataFrame:
         if strict
         else F.lit(None)
     ).cast("array<string>")
-    bodies = files.withColumn("lines", lines).withColumn(
-        "data", F.when(usable, data).otherwise(refused)
-    )
-    cells = F.transform(F.split("line", DELIMITER, -1), strip_space)
+    # Through a generator, below which the test that the next one has rows is not pushed; else
+    # every body is cut into lines once more there.
+    bodies = files.select("source_file", "landed_at", F.stack(F.lit(1), lines).alias("lines"))
+    bodies = bodies.withColumn("data", F.when(usable, data).otherwise(refused))
+    parts = F.split("line", DELIMITER, -1)
     return (
         bodies.select("source_file", "landed_at", F.posexplode("data").alias("line_no", "line"))
-        .withColumn("cells", cells)
-        .withColumn("malformed", F.size("cells") < len(FEED_COLUMNS))
+        .withColumn("cells", F.transform(parts, strip_space))
+        .withColumn("malformed", F.size(parts) < len(FEED_COLUMNS))
     )
 
 
@@ -120,15 +140,27 @@ def append_fetch(
     ledger = read_if_exists(spark, ledger_path)
     known = spark.createDataFrame([], FEED_LEDGER) if ledger is None else ledger
     with Scratch(spark) as scratch:
-        fresh = scratch.pin(located_files(spark, *paths).join(known, ["path", "landed_at"], "left_anti"), "fresh")
+        listed = scanned_files(spark, *paths, recursiveFileLookup="true")
+        landed = scratch.pin(located_files(spark, *paths, listed=listed), "landed")
+        # Merged: names compress so well that Spark would broadcast hundreds of thousands.
+        unknown = landed.join(known.hint("merge"), ["path", "landed_at"], "left_anti")
+        fresh = scratch.pin(unknown, "fresh")
         refuse_empty_files(fresh)
-        first = fresh.agg(F.unix_micros(F.min("landed_at"))).first()[0]
-        if first is None:
+        new = fresh.agg(
+            F.unix_micros(F.min("landed_at")).alias("first"),
+            F.count("*").alias("files"),
+            F.sum("bytes").alias("bytes"),
+            F.coalesce(F.max(is_packed(spark, F.col("source_file"))), F.lit(False)).alias("packed"),
+        ).first()
+        if new.first is None:
             return {"rows": 0, "malformed": 0}
-        # The scan opens no file that landed before the first new one; the join leaves the new ones.
-        files = read_feed_files(spark, *paths, recursiveFileLookup="true")
-        files = files.where(F.col("landed_at") >= F.timestamp_micros(F.lit(first)))
-        files = files.join(fresh.select("source_file"), "source_file", "left_semi")
+        # The scan opens no file that landed before the first new one.
+        since = F.col("landed_at") >= F.timestamp_micros(F.lit(new.first))
+        files = read_feed_files(spark, *paths, listed=listed, packed=new.packed, recursiveFileLookup="true")
+        files = few_tasks(files.where(since), new.files, new.bytes)
+        if landed.where(since).count() > new.files:  # files collected before are among them
+            names = fresh.select("source_file")
+            files = files.join(names.hint("merge") if new.files > FEW_KEYS else names, "source_file", "left_semi")
         seen = Observation("feed")
         lines = feed_lines(files).observe(
             seen,

@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+import bz2
+import gzip
 import os
 from datetime import datetime
 
 import pytest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from flowmart.functions import vessel
 from flowmart.plans import collect, warehouse
-from flowmart.sources import ais, archive, border_feed
+from flowmart.session import RUNTIME_SETTINGS, Scratch
+from flowmart.sources import ais, archive, border_feed, files
 from flowmart.sources.files import EmptyLoad
 from flowmart.sources.tables import Warehouse
 from flowmart.sources.versions import VersionedTable
@@ -93,6 +96,42 @@ def test_collecting_fetches_no_names_and_reads_new_files_only(spark, tmp_path, m
 
 
 
+def test_fetches_are_read_as_the_text_source_reads_them(spark, tmp_path):
+    land(tmp_path / "feed", "a +%41.txt", HEADER + GOOD)
+    (tmp_path / "feed" / "odd.csv").write_bytes(b"\xff\x00a\r\nb\xfe")
+    for name, pack in (("z.txt.gz", gzip.compress), ("z.bz2", bz2.compress)):
+        (tmp_path / "feed" / name).write_bytes(pack((HEADER + GOOD).encode()))
+    name, at = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    want = spark.read.text(str(tmp_path / "feed"), wholetext=True).select(name, at, F.hex("value"))
+    got = border_feed.read_feed_files(spark, str(tmp_path / "feed")).select("source_file", "landed_at", F.hex("body"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() == 4
+    table, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
+    (tmp_path / "feed" / "odd.csv").unlink()
+    for counts in ({"rows": 3, "malformed": 0}, {"rows": 0, "malformed": 0}):
+        assert border_feed.append_fetch(spark, table, ledger, str(tmp_path / "feed")) == counts
+
+
+def test_small_fetches_share_tasks_and_are_cut_into_lines_once(spark, tmp_path, monkeypatch):
+    for k in range(60):
+        land(tmp_path / "feed", f"{k}.txt", HEADER + GOOD)
+    pinned, pin, listed = {}, Scratch.pin, []
+    monkeypatch.setattr(Scratch, "pin", lambda self, df, label: pinned.setdefault(label, df) and pin(self, df, label))
+    scanned = files.scanned_files
+    monkeypatch.setattr(border_feed, "scanned_files", lambda *a, **k: listed.append(1) or scanned(*a, **k))
+    # Without a bound on their number Spark gives each of these files a task.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = border_feed.append_fetch(spark, str(tmp_path / "table"), str(tmp_path / "ledger"), str(tmp_path / "feed"))
+        tasks = {label: pinned[label].rdd.getNumPartitions() for label in ("landed", "feed")}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", RUNTIME_SETTINGS["spark.sql.files.maxPartitionBytes"])
+    assert got == {"rows": 60, "malformed": 0} and listed == [1]
+    assert max(tasks.values()) <= spark.sparkContext.defaultParallelism < 60
+    plan = pinned["feed"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\A\x{FEFF}+") == 1
+    assert "binaryFile" in str(pinned["feed"]._jdf.queryExecution().executedPlan()) and "Join" not in plan
+
+
 def test_collecting_a_growing_folder(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house"))
     folder = tmp_path / "feed"
