@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     # millions of rows in a few MB. Many small files still share a task.
     "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.files.openCostInBytes": "256k",
+    # Listings share this many tasks; otherwise each folder of a table is one.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 # Parquet files can only be cut between row groups.
 ROW_GROUP_BYTES = 8 << 20

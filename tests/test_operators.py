@@ -278,3 +278,17 @@ def test_a_task_reads_a_bounded_part_of_a_pinned_table(spark, tmp_path):
         sizes = [m.row_group(k).total_byte_size for m in files for k in range(m.num_row_groups)]
         assert sum(m.num_rows for m in files) == 3_000_000
         assert max(sizes) < 2 * ROW_GROUP_BYTES
+
+
+def test_a_listing_of_many_folders_takes_few_tasks(spark, tmp_path):
+    path, context = str(tmp_path / "table"), spark.sparkContext
+    spark.range(100).withColumn("day", F.col("id")).repartition(1).write.partitionBy("day").parquet(path)
+    context.setJobGroup("listing", "many folders")
+    try:
+        assert spark.read.parquet(*[f"{path}/day={k}" for k in range(100)]).count() == 100
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= 64
